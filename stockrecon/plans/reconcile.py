@@ -20,7 +20,6 @@ from stockrecon.operators.crosstab import (
 )
 from stockrecon.operators.measures import (
     derive_measures,
-    nonzero_filter,
     order_report,
     rename_measures,
 )
@@ -29,6 +28,9 @@ from stockrecon.operators.regrades import flag_regrades
 from stockrecon.operators.skew import HOT_ROWS, keep_matching, slice_for_join
 
 
+ROW_QUANTITIES = ["discrepant_quantity", "quantity", "Disp_reimbrsble"]
+
+
 def with_optional_counts(rec: DataFrame) -> DataFrame:
     """Stock columns the balances read, 0 where the report lacks them."""
     missing = [c for c in ("discrepant_quantity", "quantity") if c not in rec.columns]
@@ -73,9 +75,20 @@ def balanced_rows(rec: DataFrame, products: DataFrame, hot_rows: int = HOT_ROWS)
 def build_report(
     rec: DataFrame, adj: DataFrame, rei: DataFrame, buckets: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Per-product report from clipped inputs and the burst buckets of ``adj``."""
-    products = product_table(adj, rei, flag_regrades(adj, buckets))
-    return nonzero_filter(rename_measures(balanced_rows(rec, products, hot_rows)))
+    """Per-product report from clipped inputs and the burst buckets of ``adj``.
+
+    Balances are zero when every quantity under them is, so the non-zero test
+    looks at one flag per product and the row's own quantities. That keeps the
+    condition short, which matters to whoever filters the report: the optimizer
+    restates a condition for every renamed column in it.
+    """
+    products = product_table(adj, rei, flag_regrades(adj, buckets)).withColumn(
+        "moved", F.expr(" OR ".join(f"`{c}` <> 0" for c in PRODUCT_SUMS))
+    )
+    rows = fan_out_disposals(product_rows(rec, products, hot_rows))
+    own = " OR ".join(f"coalesce({c}, 0L) <> 0" for c in ROW_QUANTITIES)
+    rows = rows.where(f"coalesce(moved, false) OR {own}").drop("moved")
+    return rename_measures(derive_measures(rows.fillna(0, subset=["Disp_reimbrsble"])))
 
 
 def with_bursts_only(df: DataFrame, buckets: DataFrame) -> DataFrame:

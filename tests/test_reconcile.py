@@ -1,0 +1,196 @@
+import pytest
+from conftest import rows
+from golden import ADJ_EXPECTED, AS_OF, REPORT, REPORT_COLUMNS, frames
+from pyspark.sql import functions as F
+
+from stockrecon.domain import DRILLDOWN_KEYS, measure_columns
+from stockrecon.operators.catalogue import complete_catalogue
+from stockrecon.operators.clip import clip_adjustments, clip_reimbursements
+from stockrecon.operators.crosstab import crosstab, crosstab_margins, pivot_long, present_states
+from stockrecon.operators.regrades import detect_regrades
+from stockrecon.plans.reconcile import package_outcome, product_rows, reconcile
+
+
+@pytest.mark.parametrize("client", [None, "acme"])
+def test_report_matches_hand_computed_case(spark, client):
+    result = reconcile(*frames(spark, client), AS_OF)
+    got = [tuple(r) for r in result["df_rec"].select(*[f"`{c}`" for c in REPORT_COLUMNS]).collect()]
+    assert got == REPORT  # in this order
+    assert result["df_rec"].columns == sorted(result["df_rec"].columns)
+    shown = set(REPORT_COLUMNS)
+    others = [c for c in measure_columns() if c not in shown]
+    assert {v for r in rows(result["df_rec"], *others) for v in r} == {0}
+
+
+def test_bursts_and_cases_of_hand_computed_case(spark):
+    _, adj, _ = frames(spark)
+    adj = clip_adjustments(adj, AS_OF)
+    flagged = rows(detect_regrades(adj), "transaction_item_id", "tr_id", "case1")
+    assert flagged == sorted(
+        ((r[0], r[7], r[8]) for r in ADJ_EXPECTED if r[8]), key=repr
+    )
+    result = reconcile(*frames(spark), AS_OF)["df_adj_filtered"]
+    assert rows(result, "transaction_item_id", "tr_id") == sorted(
+        ((r[0], r[7]) for r in ADJ_EXPECTED if r[7] is not None), key=repr
+    )
+
+
+def test_crosstab_totals(spark):
+    result = reconcile(*frames(spark, "acme"), AS_OF)
+    table = result["table"].collect()
+    last = table[-1]
+    assert (last["fnsku"], last["adjusted_date"], last["tr_id"], last["All"]) == ("All", "", None, -26)
+    detail = table[:-1]
+    assert [r["fnsku"] for r in detail] == sorted(r["fnsku"] for r in detail)
+    states = [c for c in result["table"].columns if c not in ["client", "All", *DRILLDOWN_KEYS]]
+    assert states == sorted(states)
+    for s in [*states, "All"]:
+        assert sum(r[s] or 0 for r in detail) == (last[s] or 0)
+    for r in detail:
+        assert sum(r[s] or 0 for s in states) == r["All"]
+    assert detail[0]["EXPIRED"] is None  # absent cells stay empty
+
+
+def test_crosstab_columns_can_follow_the_data(spark):
+    found = reconcile(*frames(spark, "acme"), AS_OF)["df_adj_filtered"]
+    assert present_states(found) == [
+        "CUSTOMER_DAMAGED", "Z__SELLABLE", "Zz_UNSELLABLE", "Zz_WAREHOUSE_DAMAGED",
+    ]
+    odd = found.withColumn("disposition", F.lit("LOST_IN_SPACE"))
+    assert "LOST_IN_SPACE" in crosstab(odd, present_states(odd)).columns
+    # a state without a column still counts in the totals
+    total = crosstab(odd).where("fnsku = 'All'").collect()[0]
+    assert total["All"] == -26 and total["EXPIRED"] is None
+
+
+def test_long_forms_agree_with_the_crosstab(spark):
+    found = reconcile(*frames(spark, "acme"), AS_OF)["df_adj_filtered"]
+    cells = rows(pivot_long(found), *DRILLDOWN_KEYS, "disposition", "quantity")
+    margins = crosstab_margins(found)
+    inner = margins.where("fnsku <> 'All' AND disposition <> 'All'")
+    assert rows(inner, *DRILLDOWN_KEYS, "disposition", "quantity") == cells
+    grand = margins.where("fnsku = 'All' AND disposition = 'All'").collect()
+    assert [r["quantity"] for r in grand] == [-26]
+
+
+def test_crosstab_of_nothing_is_empty_and_typed(spark):
+    empty = reconcile(*frames(spark), AS_OF)["df_adj_filtered"].where("false")
+    assert crosstab(empty).count() == 0
+    assert crosstab_margins(empty).count() == 0
+    assert dict(crosstab(empty).dtypes)["Z__SELLABLE"] == "bigint"
+
+
+def test_rows_with_a_missing_key_or_quantity_leave_the_crosstab(spark):
+    found = reconcile(*frames(spark, "acme"), AS_OF)["df_adj_filtered"]
+    broken = found.withColumn(
+        "quantity", F.when(F.col("transaction_item_id") != 400000, F.col("quantity"))
+    ).withColumn("reason", F.when(F.col("transaction_item_id") != 100000, F.col("reason")))
+    assert crosstab(broken).where("fnsku = 'All'").collect()[0]["All"] == -26 + 8 + 5
+
+
+def test_dates_typed_or_text_and_opening_date(spark):
+    _, adj, rei = frames(spark)
+    for kind in ("string", "date", "timestamp", "timestamp_ntz"):
+        typed = adj.withColumn("adjusted_date", F.col("adjusted_date").cast(kind))
+        assert clip_adjustments(typed, AS_OF).count() == 13
+        assert clip_adjustments(typed, AS_OF, "2022-01-01").count() == 13  # only later dates move it
+        assert clip_adjustments(typed, AS_OF, "2023-05-01").count() == 4
+    assert clip_reimbursements(rei, AS_OF).count() == 3
+    no_date = adj.withColumn("adjusted_date", F.lit(None).cast("string"))
+    assert clip_adjustments(no_date, AS_OF).count() == 0
+    stamped = adj.withColumn("adjusted_date", F.concat("adjusted_date", F.lit("T10:00:00")))
+    assert clip_adjustments(stamped, AS_OF).count() == 13
+    # month arithmetic stops at the month's end
+    assert spark.range(1).select(
+        F.add_months(F.lit("2024-08-31").cast("date"), -18).cast("string")
+    ).collect()[0][0] == "2023-02-28"
+
+
+def test_placeholders(spark):
+    rec, _, rei = frames(spark, "acme")
+    full = complete_catalogue(rec, rei)
+    added = full.where("fnsku = 'X3'").collect()
+    assert full.count() == 4 and len(added) == 1
+    assert added[0].asDict() == {
+        "client": "acme", "sku": "sku", "fnsku": "X3", "asin": "asin",
+        "product_name": "product_name", "condition": "condition",
+        "discrepant_quantity": 0, "quantity": 0,
+    }
+    # ids are compared null-safely: one unknown product, once
+    none = rei.withColumn("fnsku", F.lit(None).cast("string"))
+    assert complete_catalogue(rec, none).where("fnsku IS NULL").count() == 1
+
+
+def test_same_product_of_two_clients_stays_apart(spark):
+    a, b = frames(spark, "a"), frames(spark, "b")
+    doubled = b[1].withColumn("quantity", F.col("quantity") * 2)
+    both = [a[0].unionByName(b[0]), a[1].unionByName(doubled), a[2].unionByName(b[2])]
+    report = reconcile(*both, AS_OF)["df_rec"]
+    alone = reconcile(*a, AS_OF)["df_rec"]
+    assert rows(report.where("client = 'a'")) == rows(alone)
+    assert rows(report.where("client = 'b'"), "02_Misplaced") != rows(alone, "02_Misplaced")
+
+
+def test_optional_stock_columns_and_further_counts(spark):
+    rec, adj, rei = frames(spark, "acme")
+    slim = rec.drop("quantity", "discrepant_quantity").withColumn("ending_balance", F.lit(7))
+    report = reconcile(slim, adj, rei, AS_OF)["df_rec"]
+    got = {(r["00_fnsku"], r["ending_balance"]) for r in report.collect()}
+    assert got == {("X1", 7), ("X2", 7), ("X3", 0)}
+    assert {r["02_Discrepancy"] for r in report.collect()} == {0}
+
+
+def test_repeated_stock_rows_each_get_the_sums(spark):
+    rec, adj, rei = frames(spark, "acme")
+    twice = rec.unionByName(rec.withColumn("sku", F.concat("sku", F.lit("-b"))))
+    report = reconcile(twice, adj, rei, AS_OF)["df_rec"]
+    assert report.where("`00_fnsku` = 'X2'").select("`02_Misplaced`").collect() == [(-11,), (-11,)]
+    assert report.where("`00_fnsku` = 'X1'").count() == 4
+
+
+def test_stock_rows_without_a_product_id_are_kept_until_the_filter(spark):
+    rec, adj, rei = frames(spark, "acme")
+    lost_id = rec.where("fnsku = 'X1'").withColumn("fnsku", F.lit(None).cast("string"))
+    report = reconcile(rec.unionByName(lost_id), adj, rei, AS_OF)["df_rec"]
+    odd = report.where("`00_fnsku` IS NULL").collect()
+    assert len(odd) == 1 and odd[0]["10_LOST"] == -2  # its own discrepancy only
+
+
+def test_gate_on_bursts_is_per_client(spark):
+    a, b = frames(spark, "a"), frames(spark, "b")
+    lonely = b[1].withColumn("transaction_item_id", F.col("transaction_item_id") * 1000000)
+    both = [a[0].unionByName(b[0]), a[1].unionByName(lonely), a[2].unionByName(b[2])]
+    free = reconcile(*both, AS_OF)
+    gated = reconcile(*both, AS_OF, gate_on_bursts=True)
+    assert {r["client"] for r in free["df_rec"].collect()} == {"a", "b"}
+    assert {r["client"] for r in gated["df_rec"].collect()} == {"a"}
+    assert {r["client"] for r in gated["df_adj_filtered"].collect()} == {"a"}
+    outcome = package_outcome(both[0], gated)
+    assert rows(outcome, "client", "outcome") == [
+        ("a", "Macros reply - Ok"), ("b", "Nothing to do"),
+    ]
+    single = frames(spark)
+    single[1] = single[1].withColumn("transaction_item_id", F.col("transaction_item_id") * 1000000)
+    assert reconcile(*single, AS_OF, gate_on_bursts=True)["df_rec"].count() == 0
+    assert reconcile(*frames(spark), AS_OF, gate_on_bursts=True)["df_rec"].count() == 4
+
+
+def test_hot_product_is_sliced_without_changing_the_rows(spark):
+    rec, adj, rei = frames(spark, "acme")
+    many = rec.unionByName(
+        rec.where("fnsku = 'X1'").crossJoin(spark.range(60, numPartitions=6)).drop("id")
+    )
+    from stockrecon.operators.bursts import burst_buckets
+    from stockrecon.plans.reconcile import build_report
+
+    adj, rei = clip_adjustments(adj, AS_OF), clip_reimbursements(rei, AS_OF)
+    buckets = burst_buckets(adj)
+    plain = build_report(many, adj, rei, buckets)
+    sliced = build_report(many, adj, rei, buckets, hot_rows=7)
+    assert rows(sliced) == rows(plain)
+    assert sliced.count() == 61 * 2 + 2
+    from stockrecon.operators.products import product_table
+    from stockrecon.operators.regrades import flag_regrades
+
+    wide = product_table(adj, rei, flag_regrades(adj, buckets))
+    assert product_rows(many, wide, hot_rows=7).count() == 63 + 1  # X2, X4, placeholder X3
