@@ -125,8 +125,9 @@ def file_headers(spark: SparkSession, paths, kind: str) -> DataFrame:
     lines = _csv_files(spark, paths, kind, line, sep="\u0001", quote="", header=False)
     return (
         lines.where((F.col("_metadata.file_block_start") == 0) & (F.trim("line") != ""))
+        .select("path", "line", F.monotonically_increasing_id().alias("position"))
         .groupBy("path")
-        .agg(F.min_by("line", F.monotonically_increasing_id()).alias("header"))
+        .agg(F.min_by("line", "position").alias("header"))
     )
 
 

@@ -23,6 +23,7 @@ from stockrecon.sources.scratch import store
 from stockrecon.sources.sinks import write_results
 
 POLL = "2 hours"
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def _today() -> dt.date:
@@ -37,7 +38,7 @@ def arrivals(
 
     ``archive_to`` moves a file there once its batch is done.
     """
-    reader = spark.readStream.format("binaryFile")
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if archive_to:
