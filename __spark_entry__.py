@@ -16,7 +16,7 @@ from stockrecon import fixtures
 from stockrecon.functions.text import client_key
 from stockrecon.operators import bursts, catalogue, clip, crosstab, measures, products, regrades
 from stockrecon.plans import reconcile as plan
-from stockrecon.sources import packages
+from stockrecon.sources import archives, packages
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -43,21 +43,31 @@ def _balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.balanced_rows(fixtures.stock(spark, sf_dir), table)
 
 
-def _results(spark: SparkSession, sf_dir: str, **options) -> dict[str, DataFrame]:
-    """All three results, on text dates."""
+def _report(spark: SparkSession, sf_dir: str, gate_on_bursts: bool = False) -> DataFrame:
+    adj = _adj(spark, sf_dir)
+    buckets = bursts.burst_buckets(adj)
+    report = plan.build_report(fixtures.stock(spark, sf_dir), adj, _rei(spark, sf_dir), buckets)
+    return plan.with_bursts_only(report, buckets) if gate_on_bursts else report
+
+
+def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    adj = _adj(spark, sf_dir)
+    buckets = bursts.burst_buckets(adj)
+    report = plan.build_report(fixtures.stock(spark, sf_dir), adj, _rei(spark, sf_dir), buckets)
+    return plan.drill_down(adj, report, buckets)
+
+
+def _results(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All three results, dates as ISO text."""
     return plan.reconcile(
         fixtures.stock(spark, sf_dir),
         _adj(spark, sf_dir),
         _rei(spark, sf_dir),
         fixtures.AS_OF,
-        **options,
+        ordered=False,
     )
 
 
-def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _results(spark, sf_dir)["df_adj_filtered"]
-
-
 def _allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = fixtures.table(spark, sf_dir, "nation")
     mail = (
@@ -71,9 +81,66 @@ def _allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packages.allowed_only(mail, listed).select("c_custkey", "sender")
 
 
+def _stock_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File names made from parts: brands as clients, sizes as report kinds."""
+    kind = F.get(
+        F.array(*map(F.lit, ["REC", "adj", "rei", "notes"])), (F.col("p_size") % 4).cast("int")
+    )
+    files = fixtures.table(spark, sf_dir, "part").select(
+        F.concat(F.col("p_brand"), F.lit(" "), F.col("p_type"), F.col("p_size")).alias("client"),
+        F.concat(F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("_"), kind, F.lit(".CSV")).alias(
+            "name"
+        ),
+    )
+    return packages.report_status(files)
+
+
+def _mail_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as mail: the customer's segment is the subject, with reply marks."""
+    mark = (
+        F.when(F.col("o_orderkey") % 3 == 0, "Re: ")
+        .when(F.col("o_orderkey") % 3 == 1, "Fwd: Re:")
+        .otherwise("")
+    )
+    customer = fixtures.table(spark, sf_dir, "customer")
+    mail = (
+        fixtures.table(spark, sf_dir, "orders")
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .select(
+            F.col("o_orderkey").alias("package"),
+            F.concat(mark, "c_mktsegment", F.lit(" report")).alias("subject"),
+            F.col("o_orderdate").alias("arrived"),
+        )
+    )
+    return packages.name_clients(mail).select("package", "subject", "client")
+
+
+def _report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adjustments as CSV text in two column orders, some rows too long, read back."""
+    layouts = [
+        ["transaction-item-id", "adjusted-date", "fnsku", "fulfillment-center-id", "reason",
+         "disposition", "quantity"],
+        ["quantity", "fnsku", "disposition", "reason", "transaction-item-id",
+         "fulfillment-center-id", "adjusted-date"],
+    ]
+    first = F.col("client").isin("C0", "C2")
+
+    def line(names: list[str]):
+        return F.concat_ws(",", *[F.col(n.replace("-", "_")) for n in names])
+
+    extra = F.when(F.col("fulfillment_center_id") == "FC7", ",surplus").otherwise("")
+    lines = _adj(spark, sf_dir).select(
+        "client",
+        F.lit("x_adj.csv").alias("name"),
+        F.when(first, ",".join(layouts[0])).otherwise(",".join(layouts[1])).alias("header"),
+        F.concat(F.when(first, line(layouts[0])).otherwise(line(layouts[1])), extra).alias("line"),
+    )
+    return archives.reports_from_lines(lines)["adj"]
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Ranked report of every client, worst balance first."""
-    return _results(spark, SMOKE_DIR)["df_rec"]
+    return measures.order_report(_report(spark, SMOKE_DIR))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -109,23 +176,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "nonzero_filter": lambda spark, sf: measures.nonzero_filter(
             measures.rename_measures(_balanced(spark, sf))
         ),
-        "report": lambda spark, sf: _results(spark, sf)["df_rec"],
-        "report_gated": lambda spark, sf: _results(spark, sf, gate_on_bursts=True)["df_rec"],
+        "report": lambda spark, sf: measures.order_report(_report(spark, sf)),
+        "report_gated": lambda spark, sf: _report(spark, sf, gate_on_bursts=True),
         "adj_filtered": _rows,
         "disposition_recode": on_adj(crosstab.recode_dispositions),
-        "crosstab": lambda spark, sf: _results(spark, sf)["table"],
+        "crosstab": on_rows(lambda rows: crosstab.order_crosstab(crosstab.crosstab(rows))),
         "crosstab_present_states": on_rows(
             lambda rows: crosstab.crosstab(rows, crosstab.present_states(rows))
         ),
         "crosstab_margins": on_rows(crosstab.crosstab_margins),
         "pivot_long": on_rows(crosstab.pivot_long),
         "package_outcome": lambda spark, sf: plan.package_outcome(
-            fixtures.stock(spark, sf).select("client"), _results(spark, sf, ordered=False)
+            fixtures.stock(spark, sf).select("client"), _results(spark, sf)
         ),
         "client_key": lambda spark, sf: fixtures.table(spark, sf, "conversations").select(
             "conv_id", "turn", client_key(F.col("text")).alias("client")
         ),
         "allow_list": _allow_list,
+        "report_status": _stock_files,
+        "name_clients": _mail_names,
+        "report_lines": _report_lines,
     }
 
 

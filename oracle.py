@@ -289,6 +289,37 @@ _STATEMENTS: dict[str, str] = {
                      regexp_extract(replace(replace(text, 'Re:', ''), 'Fwd:', ''),
                                     '[^\\s\\x1c-\\x1f\\x0b\\x85\\p{Z}]+') AS word
               FROM conversations)""",
+    "report_status": """
+        SELECT client, rec_files, adj_files, rei_files,
+               CASE WHEN rec_files = 0 THEN 'no file for rec'
+                    WHEN rec_files > 1 THEN 'several files for rec'
+                    WHEN adj_files = 0 THEN 'no file for adj'
+                    WHEN adj_files > 1 THEN 'several files for adj'
+                    WHEN rei_files = 0 THEN 'no file for rei'
+                    WHEN rei_files > 1 THEN 'several files for rei'
+                    ELSE 'ok' END AS status
+        FROM (SELECT p_brand || ' ' || p_type || p_size AS client,
+                     count(*) FILTER (WHERE p_size % 4 = 0) AS rec_files,
+                     count(*) FILTER (WHERE p_size % 4 = 1) AS adj_files,
+                     count(*) FILTER (WHERE p_size % 4 = 2) AS rei_files
+              FROM part GROUP BY client)""",
+    "name_clients": """
+        SELECT package, subject,
+               CASE WHEN nth = 1 THEN segment
+                    ELSE segment || strftime(arrived, '_%y%m%d_%H%M%S')
+                         || CASE WHEN again > 1 THEN '_' || again ELSE '' END END AS client
+        FROM (SELECT *, row_number() OVER (PARTITION BY segment, arrived, nth = 1
+                                           ORDER BY package) AS again
+              FROM (SELECT o_orderkey AS package, o_orderdate AS arrived, c_mktsegment AS segment,
+                           CASE o_orderkey % 3 WHEN 0 THEN 'Re: ' WHEN 1 THEN 'Fwd: Re:' ELSE '' END
+                             || c_mktsegment || ' report' AS subject,
+                           row_number() OVER (PARTITION BY c_mktsegment
+                                              ORDER BY o_orderdate, o_orderkey) AS nth
+                    FROM orders JOIN customer ON o_custkey = c_custkey))""",
+    "report_lines": """
+        SELECT client, adjusted_date, fnsku, fulfillment_center_id, reason, disposition,
+               transaction_item_id, quantity
+        FROM adj WHERE fulfillment_center_id <> 'FC7'""",
     "allow_list": """
         SELECT c_custkey, n_name AS sender
         FROM customer JOIN nation ON c_nationkey = n_nationkey

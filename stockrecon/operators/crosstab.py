@@ -65,8 +65,9 @@ def crosstab(adj: DataFrame, states: list[str] | None = None) -> DataFrame:
     states = drilldown_states() if states is None else states
     client = keys_of(adj)
     rows = _countable(adj)
+    state = F.col("disposition")
     cells = [
-        F.sum(F.when(F.col("disposition") == s, F.col("quantity"))).alias(s) for s in states
+        F.sum(F.when(state == s, F.col("quantity"))).alias(s) for s in states
     ]
     every = client + DRILLDOWN_KEYS
     grouped = rows.groupingSets([every, client], *every).agg(

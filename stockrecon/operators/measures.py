@@ -36,7 +36,7 @@ def derive_measures(df: DataFrame) -> DataFrame:
 def rename_measures(df: DataFrame) -> DataFrame:
     """Report headings, columns in name order."""
     renamed = df.withColumnsRenamed(REPORT_NAMES)
-    return renamed.select(*[_c(name) for name in sorted(renamed.columns)])
+    return renamed.selectExpr(*[f"`{name}`" for name in sorted(renamed.columns)])
 
 
 def nonzero_filter(report: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000  # rows of one key that deserve a task of their own
 MAX_HOT_KEYS = 10_000  # no key outside the list can hold more than 1/10,000 of the rows
 KEY_COPIES = 64
+BROADCAST_ROWS = 100_000
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -51,6 +52,15 @@ def slice_for_join(
     return many, one
 
 
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast after counting that it has at most ``limit`` rows.
+
+    For short key lists whose size the planner cannot guess. Runs a job; beyond
+    the limit the frame is returned as it is and joins shuffle.
+    """
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def keep_matching(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``df`` whose keys occur in ``other``.
 

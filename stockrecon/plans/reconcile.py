@@ -50,9 +50,8 @@ def product_rows(rec: DataFrame, products: DataFrame, hot_rows: int = HOT_ROWS)
     stock, sums = slice_for_join(rec.withColumn("stocked", F.lit(True)), products, keys, hot_rows)
     # A sliced product is a stocked one, so a copy of it that meets no stock row
     # is not a placeholder.
-    only_reimbursed = (F.col("rei_rows") > 0) & (F.col("slices") == 1)
     joined = stock.join(sums, keys + ["slice"], "full_outer").where(
-        F.col("stocked") | (F.col("stocked").isNull() & only_reimbursed)
+        "stocked OR (stocked IS NULL AND rei_rows > 0 AND slices = 1)"
     )
     filled = {
         f.name: F.when(F.col("stocked"), F.col(f.name)).otherwise(placeholder_value(f))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stockrecon.domain import REPORT_KINDS
 from stockrecon.functions.text import client_key, file_kind_matches, repeat_suffix
+from stockrecon.operators.skew import slice_for_join
 
 
 def classify_reports(files: DataFrame) -> DataFrame:
@@ -73,7 +74,8 @@ def name_clients(packages: DataFrame, seen: DataFrame | None = None) -> DataFram
     else:
         used = seen.select(F.col("client").alias("key")).distinct().withColumn("known", F.lit(True))
         first = first.join(used, "key", "left").fillna(False, subset=["known"])
-    keyed = keyed.join(first, "key")
+    keyed, first = slice_for_join(keyed, first, ["key"])
+    keyed = keyed.join(first, ["key", "slice"])
     plain = ~F.col("known") & (F.col("package") == F.col("first.package"))
     named = keyed.withColumn("again", F.when(~plain, repeat_suffix(F.col("arrived"))))
     same_second = Window.partitionBy("key", "again").orderBy("arrived", "package")

@@ -10,7 +10,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from stockrecon.domain import REPORT_KINDS
 from stockrecon.functions.text import file_kind_matches
-from stockrecon.operators.skew import keep_matching
+from stockrecon.operators.skew import broadcast_if_small
 from stockrecon.schemas import REPORT_SCHEMAS
 from stockrecon.sources.packages import exactly_one_each, kinds_found, report_status
 from stockrecon.sources.scratch import store
@@ -180,9 +180,10 @@ def read_packages(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The three reports of every complete client folder, and ``status`` of all."""
     files = list_files(spark, root)
     status = report_status(files)
-    complete = kinds_found(files, ["client"]).where(exactly_one_each())
+    complete = kinds_found(files, ["client"]).where(exactly_one_each()).select("client")
+    complete = broadcast_if_small(store(complete))
     reports = {
-        kind: keep_matching(read_report(spark, f"{root}/*/*", kind), complete, ["client"])
+        kind: read_report(spark, f"{root}/*/*", kind).join(complete, "client", "left_semi")
         for kind in REPORT_KINDS
     }
     return {**reports, "status": status}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stockrecon.operators.skew import keep_matching
+from stockrecon.operators.skew import broadcast_if_small
 from stockrecon.sources.archives import (
     OK,
     archive_lines,
@@ -70,14 +70,13 @@ def reconcile_batch(
             known_clients(spark, out, run),
         )
     )
-    archives = batch.join(
-        names.select(F.col("package").alias("path"), "client"), "path"
-    )
+    named = broadcast_if_small(names.select(F.col("package").alias("path"), "client"))
+    archives = batch.join(named, "path")
     status = package_status(archive_members(archives))
     status.coalesce(1).write.mode("overwrite").parquet(f"{out}/status/run={run}")
     status = spark.read.parquet(f"{out}/status/run={run}")
-    usable = status.where(F.col("status") == OK)
-    lines = store(archive_lines(keep_matching(archives, usable, ["client"])))
+    usable = broadcast_if_small(status.where(F.col("status") == OK).select("client"))
+    lines = store(archive_lines(archives.join(usable, "client", "left_semi")))
     reports = reports_from_lines(lines)
     written = write_results(
         reports["rec"], reports["adj"], reports["rei"], as_of, out,

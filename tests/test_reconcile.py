@@ -6,9 +6,18 @@ from pyspark.sql import functions as F
 from stockrecon.domain import DRILLDOWN_KEYS, measure_columns
 from stockrecon.operators.catalogue import complete_catalogue
 from stockrecon.operators.clip import clip_adjustments, clip_reimbursements
-from stockrecon.operators.crosstab import crosstab, crosstab_margins, pivot_long, present_states
-from stockrecon.operators.regrades import detect_regrades
-from stockrecon.plans.reconcile import package_outcome, product_rows, reconcile
+from stockrecon.operators.bursts import burst_buckets
+from stockrecon.operators.crosstab import (
+    crosstab,
+    crosstab_margins,
+    order_crosstab,
+    pivot_long,
+    present_states,
+)
+from stockrecon.operators.products import product_table
+from stockrecon.operators.regrades import detect_regrades, flag_regrades
+from stockrecon.plans.reconcile import build_report, package_outcome, product_rows, reconcile
+from stockrecon.sources.scratch import store
 
 
 @pytest.mark.parametrize("client", [None, "acme"])
@@ -35,8 +44,14 @@ def test_bursts_and_cases_of_hand_computed_case(spark):
     )
 
 
-def test_crosstab_totals(spark):
-    result = reconcile(*frames(spark, "acme"), AS_OF)
+@pytest.fixture(scope="module")
+def found(spark):
+    """Drill-down rows of the hand-computed case."""
+    return store(reconcile(*frames(spark, "acme"), AS_OF)["df_adj_filtered"])
+
+
+def test_crosstab_totals(found):
+    result = {"table": order_crosstab(crosstab(found))}
     table = result["table"].collect()
     last = table[-1]
     assert (last["fnsku"], last["adjusted_date"], last["tr_id"], last["All"]) == ("All", "", None, -26)
@@ -51,8 +66,7 @@ def test_crosstab_totals(spark):
     assert detail[0]["EXPIRED"] is None  # absent cells stay empty
 
 
-def test_crosstab_columns_can_follow_the_data(spark):
-    found = reconcile(*frames(spark, "acme"), AS_OF)["df_adj_filtered"]
+def test_crosstab_columns_can_follow_the_data(found):
     assert present_states(found) == [
         "CUSTOMER_DAMAGED", "Z__SELLABLE", "Zz_UNSELLABLE", "Zz_WAREHOUSE_DAMAGED",
     ]
@@ -63,8 +77,7 @@ def test_crosstab_columns_can_follow_the_data(spark):
     assert total["All"] == -26 and total["EXPIRED"] is None
 
 
-def test_long_forms_agree_with_the_crosstab(spark):
-    found = reconcile(*frames(spark, "acme"), AS_OF)["df_adj_filtered"]
+def test_long_forms_agree_with_the_crosstab(found):
     cells = rows(pivot_long(found), *DRILLDOWN_KEYS, "disposition", "quantity")
     margins = crosstab_margins(found)
     inner = margins.where("fnsku <> 'All' AND disposition <> 'All'")
@@ -73,15 +86,14 @@ def test_long_forms_agree_with_the_crosstab(spark):
     assert [r["quantity"] for r in grand] == [-26]
 
 
-def test_crosstab_of_nothing_is_empty_and_typed(spark):
-    empty = reconcile(*frames(spark), AS_OF)["df_adj_filtered"].where("false")
+def test_crosstab_of_nothing_is_empty_and_typed(found):
+    empty = found.drop("client").where("false")
     assert crosstab(empty).count() == 0
     assert crosstab_margins(empty).count() == 0
     assert dict(crosstab(empty).dtypes)["Z__SELLABLE"] == "bigint"
 
 
-def test_rows_with_a_missing_key_or_quantity_leave_the_crosstab(spark):
-    found = reconcile(*frames(spark, "acme"), AS_OF)["df_adj_filtered"]
+def test_rows_with_a_missing_key_or_quantity_leave_the_crosstab(found):
     broken = found.withColumn(
         "quantity", F.when(F.col("transaction_item_id") != 400000, F.col("quantity"))
     ).withColumn("reason", F.when(F.col("transaction_item_id") != 100000, F.col("reason")))
@@ -180,17 +192,11 @@ def test_hot_product_is_sliced_without_changing_the_rows(spark):
     many = rec.unionByName(
         rec.where("fnsku = 'X1'").crossJoin(spark.range(60, numPartitions=6)).drop("id")
     )
-    from stockrecon.operators.bursts import burst_buckets
-    from stockrecon.plans.reconcile import build_report
-
     adj, rei = clip_adjustments(adj, AS_OF), clip_reimbursements(rei, AS_OF)
     buckets = burst_buckets(adj)
     plain = build_report(many, adj, rei, buckets)
     sliced = build_report(many, adj, rei, buckets, hot_rows=7)
     assert rows(sliced) == rows(plain)
     assert sliced.count() == 61 * 2 + 2
-    from stockrecon.operators.products import product_table
-    from stockrecon.operators.regrades import flag_regrades
-
     wide = product_table(adj, rei, flag_regrades(adj, buckets))
     assert product_rows(many, wide, hot_rows=7).count() == 63 + 1  # X2, X4, placeholder X3
