@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from stockrecon.domain import PRODUCT_SUMS, REPLY_NOTHING, REPLY_OK, keys_of
+from stockrecon.domain import (
+    PRODUCT_SUMS,
+    REPLY_NOTHING,
+    REPLY_OK,
+    keys_of,
+    measure_columns,
+)
 from stockrecon.operators.bursts import attach_bursts, burst_buckets
 from stockrecon.operators.catalogue import placeholder_value
 from stockrecon.operators.clip import clip_adjustments, clip_reimbursements
@@ -31,6 +37,17 @@ from stockrecon.operators.skew import HOT_ROWS, keep_matching, slice_for_join
 ROW_QUANTITIES = ["discrepant_quantity", "quantity", "Disp_reimbrsble"]
 
 
+def with_own_names(rec: DataFrame) -> DataFrame:
+    """Rename further stock columns that differ from a measure only in case.
+
+    Column names are compared without case, so a stock count `misplaced` would
+    collide with the sum `Misplaced`; it becomes `misplaced_rec`.
+    """
+    measures = {c.lower() for c in PRODUCT_SUMS + measure_columns() + ["disposition"]}
+    clashes = {c: f"{c}_rec" for c in rec.columns if c.lower() in measures}
+    return rec.withColumnsRenamed(clashes)
+
+
 def with_optional_counts(rec: DataFrame) -> DataFrame:
     """Stock columns the balances read, 0 where the report lacks them."""
     missing = [c for c in ("discrepant_quantity", "quantity") if c not in rec.columns]
@@ -45,7 +62,7 @@ def product_rows(rec: DataFrame, products: DataFrame, hot_rows: int = HOT_ROWS)
     repeated product gets the full sums.
     """
     keys = keys_of(rec, "fnsku")
-    rec = with_optional_counts(rec)
+    rec = with_own_names(with_optional_counts(rec))
     numbers = [f.name for f in rec.schema if isinstance(f.dataType, NumericType)]
     stock, sums = slice_for_join(rec.withColumn("stocked", F.lit(True)), products, keys, hot_rows)
     # A sliced product is a stocked one, so a copy of it that meets no stock row

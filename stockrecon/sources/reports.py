@@ -152,7 +152,8 @@ def read_report(
         found = None
     else:
         found = store(file_headers(spark, paths, kind))
-        headers = {r.header: parse_header(r.header) for r in found.select("header").distinct().collect()}
+        lines = found.select("header").distinct().collect()
+        headers = {r.header: parse_header(r.header) for r in lines}
         if not headers:
             return spark.createDataFrame([], REPORT_SCHEMAS[kind])
     width = max(map(len, headers.values()))
@@ -160,7 +161,7 @@ def read_report(
         spark, paths, kind, cell_schema(width), header=True, multiLine=multi_line
     ).withColumn("client", client_of(F.col("path")))
     if len(headers) > 1:
-        cells = cells.join(found, "path")
+        cells = cells.join(broadcast_if_small(found), "path")
     return shape_rows(cells, headers, kind, text_columns)
 
 

@@ -35,7 +35,8 @@ def _balanced(df: DataFrame) -> DataFrame:
 
 def _written(df: DataFrame, path: str) -> DataFrame:
     write_report(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored.selectExpr(*[f"`{c}`" for c in df.columns])
 
 
 def write_results(
@@ -74,6 +75,6 @@ def write_results(
     )
     results = {"df_rec": report, "table": table, "df_adj_filtered": rows}
     outcome = package_outcome(clients, results).withColumn("run", F.lit(str(run)))
-    outcome.coalesce(1).write.mode("overwrite").parquet(place("outcome"))
+    outcome.write.mode("overwrite").parquet(place("outcome"))
     outcome = outcome.sparkSession.read.schema(outcome.schema).parquet(place("outcome"))
     return {**results, "pivot": long, "outcome": outcome}

@@ -73,7 +73,7 @@ def reconcile_batch(
     named = broadcast_if_small(names.select(F.col("package").alias("path"), "client"))
     archives = batch.join(named, "path")
     status = package_status(archive_members(archives))
-    status.coalesce(1).write.mode("overwrite").parquet(f"{out}/status/run={run}")
+    status.write.mode("overwrite").parquet(f"{out}/status/run={run}")
     status = spark.read.parquet(f"{out}/status/run={run}")
     usable = broadcast_if_small(status.where(F.col("status") == OK).select("client"))
     lines = store(archive_lines(archives.join(usable, "client", "left_semi")))

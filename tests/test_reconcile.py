@@ -145,10 +145,14 @@ def test_same_product_of_two_clients_stays_apart(spark):
 
 def test_optional_stock_columns_and_further_counts(spark):
     rec, adj, rei = frames(spark, "acme")
-    slim = rec.drop("quantity", "discrepant_quantity").withColumn("ending_balance", F.lit(7))
+    slim = rec.drop("quantity", "discrepant_quantity").withColumns(
+        {"ending_balance": F.lit(7), "misplaced": F.lit(9), "found": F.lit(1)}
+    )
     report = reconcile(slim, adj, rei, AS_OF)["df_rec"]
     got = {(r["00_fnsku"], r["ending_balance"]) for r in report.collect()}
     assert got == {("X1", 7), ("X2", 7), ("X3", 0)}
+    # a stock count named like a measure but for case does not replace it
+    assert {(r["Misplaced"], r["misplaced_rec"]) for r in report.collect()} == {(0, 9), (0, 0)}
     assert {r["02_Discrepancy"] for r in report.collect()} == {0}
 
 
