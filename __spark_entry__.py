@@ -17,6 +17,7 @@ from stockrecon.functions.text import client_key
 from stockrecon.operators import bursts, catalogue, clip, crosstab, measures, products, regrades
 from stockrecon.plans import reconcile as plan
 from stockrecon.sources import archives, packages
+from stockrecon.sources.scratch import store
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -38,34 +39,39 @@ def _rei(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     adj = _adj(spark, sf_dir)
-    flagged = regrades.flag_regrades(adj, bursts.burst_buckets(adj))
+    flagged = regrades.flag_regrades(adj, store(bursts.burst_buckets(adj)))
     table = products.product_table(adj, _rei(spark, sf_dir), flagged)
     return plan.balanced_rows(fixtures.stock(spark, sf_dir), table)
 
 
-def _report(spark: SparkSession, sf_dir: str, gate_on_bursts: bool = False) -> DataFrame:
+def _report(
+    spark: SparkSession, sf_dir: str, gate_on_bursts: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Report, clipped adjustments and their stored burst buckets."""
     adj = _adj(spark, sf_dir)
-    buckets = bursts.burst_buckets(adj)
+    buckets = store(bursts.burst_buckets(adj))
     report = plan.build_report(fixtures.stock(spark, sf_dir), adj, _rei(spark, sf_dir), buckets)
-    return plan.with_bursts_only(report, buckets) if gate_on_bursts else report
+    if gate_on_bursts:
+        report = plan.with_bursts_only(report, buckets)
+    return report, adj, buckets
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    adj = _adj(spark, sf_dir)
-    buckets = bursts.burst_buckets(adj)
-    report = plan.build_report(fixtures.stock(spark, sf_dir), adj, _rei(spark, sf_dir), buckets)
+    report, adj, buckets = _report(spark, sf_dir)
     return plan.drill_down(adj, report, buckets)
 
 
-def _results(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All three results, dates as ISO text."""
-    return plan.reconcile(
-        fixtures.stock(spark, sf_dir),
+def _outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rec = fixtures.stock(spark, sf_dir)
+    results = plan.reconcile(
+        rec,
         _adj(spark, sf_dir),
         _rei(spark, sf_dir),
         fixtures.AS_OF,
         ordered=False,
+        store_shared=True,
     )
+    return plan.package_outcome(rec.select("client"), results)
 
 
 def _allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +146,7 @@ def _report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Ranked report of every client, worst balance first."""
-    return measures.order_report(_report(spark, SMOKE_DIR))
+    return measures.order_report(_report(spark, SMOKE_DIR)[0])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -176,8 +182,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "nonzero_filter": lambda spark, sf: measures.nonzero_filter(
             measures.rename_measures(_balanced(spark, sf))
         ),
-        "report": lambda spark, sf: measures.order_report(_report(spark, sf)),
-        "report_gated": lambda spark, sf: _report(spark, sf, gate_on_bursts=True),
+        "report": lambda spark, sf: measures.order_report(_report(spark, sf)[0]),
+        "report_gated": lambda spark, sf: _report(spark, sf, gate_on_bursts=True)[0],
         "adj_filtered": _rows,
         "disposition_recode": on_adj(crosstab.recode_dispositions),
         "crosstab": on_rows(lambda rows: crosstab.order_crosstab(crosstab.crosstab(rows))),
@@ -186,9 +192,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "crosstab_margins": on_rows(crosstab.crosstab_margins),
         "pivot_long": on_rows(crosstab.pivot_long),
-        "package_outcome": lambda spark, sf: plan.package_outcome(
-            fixtures.stock(spark, sf).select("client"), _results(spark, sf)
-        ),
+        "package_outcome": _outcome,
         "client_key": lambda spark, sf: fixtures.table(spark, sf, "conversations").select(
             "conv_id", "turn", client_key(F.col("text")).alias("client")
         ),

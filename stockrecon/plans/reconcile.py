@@ -32,6 +32,7 @@ from stockrecon.operators.measures import (
 from stockrecon.operators.products import fan_out_disposals, product_table
 from stockrecon.operators.regrades import flag_regrades
 from stockrecon.operators.skew import HOT_ROWS, keep_matching, slice_for_join
+from stockrecon.sources.scratch import store
 
 
 ROW_QUANTITIES = ["discrepant_quantity", "quantity", "Disp_reimbrsble"]
@@ -131,21 +132,26 @@ def reconcile(
     *,
     gate_on_bursts: bool = False,
     ordered: bool = True,
+    store_shared: bool = False,
 ) -> dict[str, DataFrame]:
     """Report (``df_rec``), cross-tab (``table``) and its rows (``df_adj_filtered``).
 
     ``as_of`` is the day the history window counts back from. With
     ``gate_on_bursts`` a client without any burst gets no results at all.
-    Everything is lazy; ``stockrecon.sources.sinks.write_results`` runs the
-    three results as one job that computes shared parts once.
+    Everything is lazy, and results that are read separately repeat shared work;
+    with ``store_shared`` the parts they share are computed now, once, into the
+    checkpoint folder. ``stockrecon.sources.sinks.write_results`` does the same
+    with the result tables themselves.
     """
+    keep = store if store_shared else lambda df: df
     adj = clip_adjustments(adj, as_of, opening)
     rei = clip_reimbursements(rei, as_of, opening)
-    buckets = burst_buckets(adj)
+    buckets = keep(burst_buckets(adj))
     report = build_report(rec, adj, rei, buckets)
     if gate_on_bursts:
         report = with_bursts_only(report, buckets)
-    rows = drill_down(adj, report, buckets)
+    report = keep(report)
+    rows = keep(drill_down(adj, report, buckets))
     table = crosstab(rows)
     if ordered:
         report, table = order_report(report), order_crosstab(table)
