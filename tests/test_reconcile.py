@@ -194,7 +194,10 @@ def test_gate_on_bursts_is_per_client(spark):
 def test_hot_product_is_sliced_without_changing_the_rows(spark):
     rec, adj, rei = frames(spark, "acme")
     many = rec.unionByName(
-        rec.where("fnsku = 'X1'").crossJoin(spark.range(60, numPartitions=6)).drop("id")
+        rec.where("fnsku = 'X1'")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(60))))
+        .drop("copy")
+        .repartition(6)
     )
     adj, rei = clip_adjustments(adj, AS_OF), clip_reimbursements(rei, AS_OF)
     buckets = burst_buckets(adj)
