@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
+import tempfile
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -22,6 +24,41 @@ from stockrecon.sources.scratch import store
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
+def _with_folder(query: Callable) -> Callable:
+    """A local session without a checkpoint folder gets one; clusters must name theirs."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        context = spark.sparkContext
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if not named and context.master.startswith("local["):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="stockrecon-"))
+        return query(spark, sf_dir)
+
+    return run
+
+
+def _llm() -> tuple[dict[str, Callable], dict[str, str]]:
+    """Queries and SQL of the corpus operators, where that subpackage is installed."""
+    found: dict[str, Callable] = {}
+    twins: dict[str, str] = {}
+    if _has("stockrecon.llm") and _has("stockrecon.llm.registry"):
+        from stockrecon.llm import registry
+
+        found |= registry.queries()
+        twins |= registry.oracle_sql()
+        if _has("corpus_pipeline"):
+            import corpus_pipeline
+
+            found["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL:
+                twins["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, twins
+
+
+def _has(module: str) -> bool:
+    return importlib.util.find_spec(module) is not None
+
+
 def _iso(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.date_format(column, "yyyy-MM-dd"))
 
@@ -146,7 +183,7 @@ def _report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Ranked report of every client, worst balance first."""
-    return measures.order_report(_report(spark, SMOKE_DIR)[0])
+    return queries()["report"](spark, SMOKE_DIR)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -159,7 +196,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def on_rows(op):
         return lambda spark, sf: op(_rows(spark, sf))
 
-    return {
+    found = {
         "cutoff_adjustments": _adj,
         "cutoff_reimbursements": _rei,
         "cutoff_opening_date": lambda spark, sf: _adj(spark, sf, "2001-02-01"),
@@ -200,8 +237,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_status": _stock_files,
         "name_clients": _mail_names,
         "report_lines": _report_lines,
+        **_llm()[0],
     }
+    return {name: _with_folder(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return oracle.statements() | _llm()[1]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,21 +10,47 @@ _KEY = "spark.checkpoint.dir"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint folder of the session; a temporary one only in local mode."""
+    """Checkpoint folder of the session; an error where none is set."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     folder = spark.conf.get(_KEY, None) or context.getConf().get(_KEY)
     if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {_KEY} to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="stockrecon-")
+        raise ValueError(f"set {_KEY} to a folder that the driver and every executor can reach")
     context.setCheckpointDir(folder)
-    return folder
+    return context.getCheckpointDir()
 
 
 def store(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into reliable storage that outlives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+class Shelf:
+    """Written tables of one job under the checkpoint folder.
+
+    ``put`` computes a frame once into Parquet and reads it back; ``clear``
+    deletes everything that was put, after which those frames are dead.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{ensure_checkpoint_dir(spark)}/shelf-{uuid.uuid4().hex}"
+        self._tables = 0
+
+    def place(self) -> str:
+        self._tables += 1
+        return f"{self.folder}/{self._tables}"
+
+    def put(self, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        path = self.place()
+        df.write.partitionBy(*partition_by).parquet(path)
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        return stored.select(*[f"`{c}`" for c in df.columns])
+
+    def clear(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
