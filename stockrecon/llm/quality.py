@@ -8,7 +8,6 @@ normalised difference of the two sizes is calibrated to a probability.
 from __future__ import annotations
 
 import functools
-import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,12 +32,12 @@ FIT_PIECES = 4_000
 
 @dataclass(frozen=True)
 class CompressionModel:
-    """Dictionaries of both classes and the line from size difference to log-odds."""
+    """Dictionaries of both classes and the curve from size difference to probability."""
 
     good: bytes
     bad: bytes
-    slope: float
-    offset: float
+    at: tuple[float, ...]
+    chance: tuple[float, ...]
 
 
 def _pieces(text: bytes) -> list[bytes]:
@@ -62,23 +61,24 @@ def size_difference(text: bytes, good: bytes, bad: bytes) -> float:
     return (b - a) / (a + b) if pieces else 0.0
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3) -> tuple[float, float]:
-    """Slope and offset of the logistic curve through (x, y), by Newton's method.
+def _isotonic(
+    d: np.ndarray, y: np.ndarray, weight: np.ndarray
+) -> tuple[tuple[float, ...], tuple[float, ...]]:
+    """Knots of the rising step curve of least squares through (d, y).
 
-    x is scaled by its spread first, and a slight penalty keeps separable data finite.
+    Neighbours that would fall are pooled. Each pool stands at its mean difference
+    with its share of good texts, drawn slightly to the middle.
     """
-    scale = float(np.std(x)) or 1.0
-    design = np.stack((x / scale, np.ones_like(x)), axis=1)
-    weights = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ weights, -30, 30)))
-        gradient = design.T @ (p - y) / len(y) + penalty * weights
-        curve = (design * (p * (1 - p))[:, None]).T @ design / len(y) + penalty * np.eye(2)
-        step = np.linalg.solve(curve, gradient)
-        weights -= step
-        if np.abs(step).max() < 1e-9:
-            break
-    return float(weights[0] / scale), float(weights[1])
+    pools: list[list[float]] = []  # weight, weight * y, weight * d
+    for x, label, w in sorted(zip(d.tolist(), y.tolist(), weight.tolist())):
+        pools.append([w, w * label, w * x])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0]:
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
+    return (
+        tuple(p[2] / p[0] for p in pools),
+        tuple((p[1] + 0.5) / (p[0] + 1.0) for p in pools),
+    )
 
 
 def _dictionary(pieces: list[bytes]) -> bytes:
@@ -135,10 +135,10 @@ def fit(
     for label in (1, 0):
         part = pieces.where(F.col("label") == label).orderBy(F.xxhash64("piece"), "piece")
         bodies.append([bytes(r[0]) for r in part.select("piece").limit(FIT_PIECES).collect()])
-    share = min(max(total.get(1, 0) / (sum(total.values()) or 1), 1e-6), 1 - 1e-6)
+    share = total.get(1, 0) / sum(total.values()) if total else 0.5
     if not all(bodies):
         shelf.clear()
-        return CompressionModel(b"", b"", 0.0, math.log(share / (1 - share)))
+        return CompressionModel(b"", b"", (0.0,), (share,))
     good, bad = map(_dictionary, bodies)
 
     def measure(batches):
@@ -159,11 +159,10 @@ def fit(
     shelf.clear()
     d, y = np.array([r[1] for r in pairs]), np.array([float(r[0]) for r in pairs])
     if len(set(y)) < 2:
-        return CompressionModel(good, bad, 0.0, math.log(share / (1 - share)))
-    slope, offset = _logistic(d, y)
-    drawn = y.mean()
-    offset += math.log(share / (1 - share)) - math.log(drawn / (1 - drawn))
-    return CompressionModel(good, bad, slope, offset)
+        return CompressionModel(good, bad, (0.0,), (share,))
+    # The sample holds both classes in equal number; weights restore their shares.
+    weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
+    return CompressionModel(good, bad, *_isotonic(d, y, weight))
 
 
 def _chances(texts: pa.Array, model: CompressionModel) -> pa.Array:
@@ -173,8 +172,7 @@ def _chances(texts: pa.Array, model: CompressionModel) -> pa.Array:
             for t in texts.cast(pa.binary()).to_pylist()
         ]
     )
-    odds = np.clip(model.slope * d + model.offset, -700, 700)
-    return pa.array(1 / (1 + np.exp(-odds)), pa.float64())
+    return pa.array(np.interp(d, model.at, model.chance), pa.float64())
 
 
 def score(
@@ -182,7 +180,7 @@ def score(
 ) -> DataFrame:
     """``doc_id, score`` for every row; score is the calibrated chance of label 1.
 
-    Null and empty texts have no size difference and get the model's offset.
+    Null and empty texts have no size difference and get the curve's value at 0.
     Repeated rows keep a row each; other columns are not read.
     """
     ship_package(docs.sparkSession)
