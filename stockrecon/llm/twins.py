@@ -51,7 +51,8 @@ _RULED = """
         FROM g GROUP BY host),
     d AS (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM h GROUP BY ALL),
     s AS (SELECT suffix, sum(n) AS n, sum(good) AS good FROM d GROUP BY ALL),
-    w AS (SELECT (coalesce(sum(good), 0) + 1) / (coalesce(sum(n), 0) + 2) AS m FROM s),
+    w AS (SELECT (coalesce(sum(good), 0) + 1) / (coalesce(sum(n), 0) + 2) AS m,
+                 coalesce(sum(n), 0) AS above_n FROM s),
 """
 
 
@@ -72,7 +73,7 @@ def _level(name: str, groups: str, columns: str) -> str:
     return f"""
     {name} AS (
         SELECT {columns}, n, good, (good + k * m) / (n + k) AS mean, k
-        FROM (SELECT *, {_strength(groups)} AS k FROM {groups}))
+        FROM (SELECT *, least({_strength(groups)}, above_n + 2) AS k FROM {groups}))
     """
 
 
@@ -102,11 +103,11 @@ TWINS = {
     """,
     "op6_url_filter": f"""
         WITH {_RULED}
-        s0 AS (SELECT s.*, w.m FROM s, w),
+        s0 AS (SELECT s.*, w.m, w.above_n FROM s, w),
         {_level("s1", "s0", "suffix")},
-        d0 AS (SELECT d.*, s1.mean AS m FROM d JOIN s1 USING (suffix)),
+        d0 AS (SELECT d.*, s1.mean AS m, s1.n AS above_n FROM d JOIN s1 USING (suffix)),
         {_level("d1", "d0", "domain")},
-        h0 AS (SELECT h.*, d1.mean AS m FROM h JOIN d1 USING (domain)),
+        h0 AS (SELECT h.*, d1.mean AS m, d1.n AS above_n FROM h JOIN d1 USING (domain)),
         {_level("h1", "h0", "host")},
         b AS (SELECT host, mean + 1.645 * sqrt(mean * (1 - mean) / (n + k + 1)) AS upper FROM h1)
         SELECT page_id, host, path, rule,

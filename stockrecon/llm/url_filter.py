@@ -108,15 +108,23 @@ def host_reputation(outcomes: DataFrame, shelf: Shelf) -> DataFrame:
     overall = ((row["good"] or 0) + 1) / ((row["n"] or 0) + 2)
 
     def shrunk(groups: DataFrame, above: str, name: str) -> DataFrame:
-        """Each group's mean after its own pages, around the mean ``above``."""
-        s = _strength(groups, above)
-        mean = (F.col("good") + F.lit(s) * F.col(above)) / (F.col("n") + F.lit(s))
-        return groups.withColumn(name, mean).withColumn("strength", F.lit(s))
-
-    suffixes = shrunk(suffixes.withColumn("whole", F.lit(overall)), "whole", "suffix_mean")
-    suffixes = shelf.put(suffixes.select("suffix", "suffix_mean"))
-    domains = shrunk(domains.join(suffixes, "suffix"), "suffix_mean", "domain_mean")
-    domains = shelf.put(domains.select("domain", "domain_mean"))
+        """Each group's mean after its own pages, around the mean ``above``.
+
+        The prior is worth no more pages than two above those it was seen in.
+        """
+        s = F.least(F.lit(_strength(groups, above)), F.col("above_n") + F.lit(2.0))
+        groups = groups.withColumn("strength", s)
+        mean = (F.col("good") + F.col("strength") * F.col(above)) / (
+            F.col("n") + F.col("strength")
+        )
+        return groups.withColumn(name, mean)
+
+    suffixes = suffixes.withColumns({"whole": F.lit(overall), "above_n": F.lit(row["n"] or 0)})
+    suffixes = shrunk(suffixes, "whole", "suffix_mean").select(
+        "suffix", "suffix_mean", F.col("n").alias("above_n")
+    )
+    domains = shrunk(domains.join(shelf.put(suffixes), "suffix"), "suffix_mean", "domain_mean")
+    domains = shelf.put(domains.select("domain", "domain_mean", F.col("n").alias("above_n")))
     hosts = shrunk(hosts.join(domains, "domain"), "domain_mean", "mean")
     total = F.col("n") + F.col("strength")
     deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (total + 1))

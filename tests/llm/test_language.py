@@ -1,0 +1,60 @@
+import os
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from common import empty_documents, odd_documents
+from stockrecon.llm import language, registry
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+def test_held_out_accuracy(spark):
+    rows = registry.op4_language(spark, SF).collect()
+    docs = {r.doc_id: r for r in registry.table(spark, SF, "documents").collect()}
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1
+    held = [r.lang_pred == docs[r.doc_id].lang for r in rows if r.held_out]
+    assert np.mean(held) > 0.97
+
+
+def model(spark):
+    texts = {
+        "aa": "the quick brown fox jumps over the lazy dog again and again",
+        "bb": "zwölf boxkämpfer jagen viktor quer über den großen sylter deich",
+    }
+    rows = [
+        (i, f"{' '.join(texts[lang].split()[i % 5:])} {i}", lang)
+        for i in range(60) for lang in texts
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    return language.fit(docs, F.lit(True), landmarks=8, fit_rows=40)
+
+
+def test_odd_documents(spark):
+    fitted = model(spark)
+    rows = {r.doc_id: r for r in language.identify(odd_documents(spark), fitted).collect()}
+    for empty in (1, 2, 6):
+        assert (rows[empty].lang_pred, rows[empty].score) == ("und", 0.0)
+    assert rows[8].lang_pred == "aa"
+    assert language.identify(empty_documents(spark), fitted).count() == 0
+
+
+def test_no_training_rows(spark):
+    fitted = language.fit(odd_documents(spark), F.lit(False))
+    rows = language.identify(odd_documents(spark), fitted).collect()
+    assert {(r.lang_pred, r.score) for r in rows} == {("und", 0.0)}
+
+
+def test_portions_do_not_change_the_sets(monkeypatch):
+    texts = ["Über den Fluss", "", "a" * 50 + "b" * 50, "12 34"]
+    whole = language.gram_sets(texts)
+    monkeypatch.setattr(language, "_POINTS", 7)
+    for a, b in zip(whole, language.gram_sets(texts)):
+        # a cut adds at most the grams with the blanks behind a portion
+        assert set(a) <= set(b)
