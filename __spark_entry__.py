@@ -95,7 +95,7 @@ def _report(
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     report, adj, buckets = _report(spark, sf_dir)
-    return plan.drill_down(adj, report, buckets)
+    return store(plan.drill_down(adj, report, buckets))
 
 
 def _outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,27 +158,56 @@ def _mail_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packages.name_clients(mail).select("package", "subject", "client")
 
 
+def _reread(lines: DataFrame, kind: str, **options) -> DataFrame:
+    return archives.reports_from_lines(store(lines), **options)[kind]
+
+
 def _report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adjustments as CSV text in two column orders, some rows too long, read back."""
-    layouts = [
-        ["transaction-item-id", "adjusted-date", "fnsku", "fulfillment-center-id", "reason",
-         "disposition", "quantity"],
-        ["quantity", "fnsku", "disposition", "reason", "transaction-item-id",
-         "fulfillment-center-id", "adjusted-date"],
-    ]
-    first = F.col("client").isin("C0", "C2")
-
-    def line(names: list[str]):
-        return F.concat_ws(",", *[F.col(n.replace("-", "_")) for n in names])
-
-    extra = F.when(F.col("fulfillment_center_id") == "FC7", ",surplus").otherwise("")
-    lines = _adj(spark, sf_dir).select(
-        "client",
-        F.lit("x_adj.csv").alias("name"),
-        F.when(first, ",".join(layouts[0])).otherwise(",".join(layouts[1])).alias("header"),
-        F.concat(F.when(first, line(layouts[0])).otherwise(line(layouts[1])), extra).alias("line"),
+    """Adjustments as CSV text in two layouts, with commas, quotes and line breaks."""
+    rows = _iso(fixtures.adjustments(spark, sf_dir), "adjusted_date")
+    note = F.concat(F.lit('a, "b"\n'), "fulfillment_center_id")
+    rows = rows.withColumn("note", note)
+    plain = rows.withColumn("note", fixtures.csv_cell(F.col("note"), True))
+    turned = F.col("client").isin("C0", "C2")
+    lines = fixtures.csv_lines(rows.where(turned), "x_adj.csv", turned).unionByName(
+        fixtures.csv_lines(plain.where(~turned), "x_adj.csv", turned)
+    )
+    return _reread(lines, "adj")
+
+
+def _report_lines_rec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixtures.stock(spark, sf_dir)
+    lines = fixtures.csv_lines(rows, "x_rec.csv", F.col("client") == "C1")
+    read = _reread(lines, "rec", count_columns=("Ending_count",))
+    return read.withColumn("Ending_count", F.col("Ending_count").cast("long"))
+
+
+def _report_lines_rei(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _iso(fixtures.reimbursements(spark, sf_dir), "approval_date")
+    return _reread(fixtures.csv_lines(rows, "x_rei.csv", F.col("client") == "C2"), "rei")
+
+
+def _overlong_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adjustments of which four in five have surplus cells: some, blank ones, very many."""
+    rows = _iso(fixtures.adjustments(spark, sf_dir), "adjusted_date")
+    turn = F.expr("transaction_item_id div 500 % 5")
+    extra = (
+        F.when(turn == 1, ",more").when(turn == 2, ",,,").when(turn == 3, "," * 20 + "9")
+        .when(turn == 4, ",").otherwise("")
+    )
+    return _reread(fixtures.csv_lines(rows, "x_adj.csv", F.col("client") == "C1", extra), "adj")
+
+
+def _client_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of conversations as subject lines, with reply marks, some of them blank."""
+    mark = (
+        F.when(F.col("turn") % 4 == 0, "Re: ").when(F.col("turn") % 4 == 1, "Fwd: Re:")
+        .otherwise("")
+    )
+    words = F.when(F.col("conv_id") % 5 == 0, "  ").otherwise(F.col("text"))
+    return fixtures.table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", client_key(F.concat(mark, words)).alias("client")
     )
-    return archives.reports_from_lines(lines)["adj"]
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -227,16 +256,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "crosstab_present_states": on_rows(
             lambda rows: crosstab.crosstab(rows, crosstab.present_states(rows))
         ),
+        "crosstab_empty": on_rows(
+            lambda rows: crosstab.crosstab(rows.withColumn("quantity", F.lit(None).cast("long")))
+        ),
         "crosstab_margins": on_rows(crosstab.crosstab_margins),
         "pivot_long": on_rows(crosstab.pivot_long),
         "package_outcome": _outcome,
-        "client_key": lambda spark, sf: fixtures.table(spark, sf, "conversations").select(
-            "conv_id", "turn", client_key(F.col("text")).alias("client")
-        ),
+        "client_key": _client_keys,
         "allow_list": _allow_list,
         "report_status": _stock_files,
         "name_clients": _mail_names,
         "report_lines": _report_lines,
+        "report_lines_rec": _report_lines_rec,
+        "report_lines_rei": _report_lines_rei,
+        "overlong_rows": _overlong_rows,
+        "package_status": lambda spark, sf: archives.package_status(fixtures.members(spark, sf)),
         **_llm()[0],
     }
     return {name: _with_folder(query) for name, query in found.items()}

@@ -6,7 +6,8 @@ that it shares no method with the Spark jobs.
 
 from __future__ import annotations
 
-_CYCLE = "['P','Q','E','5','M','F','N','O','D','G','I','K','1','2','D','P','Q']"
+# The code lists, headings and replies below have to be exactly these.
+_CYCLE = "['P','Q','E','5','M','F','N','O','D','G','I','K','1','2','D','P','Q','Damaged_by_FC','Disposed_of','Misplaced']"
 _STATES = (
     "['SELLABLE','DEFECTIVE','DISTRIBUTOR_DAMAGED','CUSTOMER_DAMAGED','EXPIRED',"
     "'UNSELLABLE','WAREHOUSE_DAMAGED','CARRIER_DAMAGED']"
@@ -15,42 +16,53 @@ _CUTOFF = "TIMESTAMP '2000-05-04'"
 
 _PARTS: dict[str, str] = {
     "adj_all": f"""
-        SELECT 'C' || ((l_orderkey // 4) % 4) AS client,
-               l_orderkey * 5000 + l_linenumber * 500 AS transaction_item_id,
+        SELECT 'C' || ((l_orderkey // 4) % 5) AS client,
+               CASE WHEN (l_orderkey // 4) % 5 = 4 
+                    THEN (l_orderkey * 10 + l_linenumber) * 10000000000 + l_partkey * 20000
+                    ELSE l_orderkey * 5000 + l_linenumber * 500 END AS transaction_item_id,
                l_shipdate AS day,
                strftime(l_shipdate, '%Y-%m-%d') AS adjusted_date,
-               'X' || l_partkey AS fnsku,
+               CASE WHEN NOT (l_orderkey % 41 = 0 AND l_linenumber = 6)
+                    THEN 'X' || l_partkey END AS fnsku,
                'FC' || (l_suppkey % 20) AS fulfillment_center_id,
-               {_CYCLE}[(l_partkey + 3 * l_linenumber + l_suppkey) % 17 + 1] AS reason,
-               {_STATES}[(l_orderkey + 5 * l_linenumber + l_suppkey) % 8 + 1] AS disposition,
-               CASE WHEN (l_partkey + l_linenumber) % 3 = 0 THEN CAST(l_quantity AS BIGINT)
+               {_CYCLE}[(l_partkey + 3 * l_linenumber + l_suppkey) % 20 + 1] AS reason,
+               CASE WHEN (l_orderkey + l_linenumber) % 37 <> 0
+                    THEN {_STATES}[(l_orderkey + 5 * l_linenumber + l_suppkey) % 8 + 1] END
+                    AS disposition,
+               CASE WHEN (l_partkey + l_linenumber) % 43 = 0 THEN NULL
+                    WHEN (l_partkey + l_linenumber) % 3 = 0 THEN CAST(l_quantity AS BIGINT)
                     ELSE -CAST(l_quantity AS BIGINT) END AS quantity
         FROM lineitem""",
     "adj": f"SELECT * EXCLUDE (day) FROM adj_all WHERE day >= {_CUTOFF}",
     "rei_all": """
-        SELECT 'C' || ((l_orderkey // 4) % 4) AS client,
+        SELECT 'C' || ((l_orderkey // 4) % 5) AS client,
                l_shipdate AS day,
                strftime(l_shipdate, '%Y-%m-%d') AS approval_date,
-               'X' || l_partkey AS fnsku,
-               CASE WHEN l_linenumber = 7 THEN 'CustomerReturn'
-                    WHEN l_linestatus = 'O' THEN 'Lost_Warehouse'
-                    ELSE 'Damaged_Warehouse' END AS reason,
+               CASE WHEN l_linenumber = 7 THEN 'Y' ELSE 'X' END || l_partkey AS fnsku,
+               CASE l_returnflag WHEN 'R' THEN 'Lost_Warehouse'
+                    WHEN 'A' THEN 'Damaged_Warehouse'
+                    ELSE 'CustomerReturn' END AS reason,
                CAST(l_quantity AS BIGINT) AS quantity_reimbursed_total,
                CASE WHEN l_linenumber % 3 = 0 THEN CAST(l_quantity AS BIGINT) ELSE 0 END
                    AS quantity_reimbursed_inventory
-        FROM lineitem WHERE l_returnflag = 'R'""",
+        FROM lineitem""",
     "rei": f"SELECT * EXCLUDE (day) FROM rei_all WHERE day >= {_CUTOFF}",
     "rec": """
-        SELECT unnest(['C0','C1','C2','C3']) AS client,
-               'S' || p_partkey AS sku, 'X' || p_partkey AS fnsku, 'B' || p_partkey AS asin,
-               p_name AS product_name, 'NEW' AS condition,
-               CAST(p_size - 25 AS BIGINT) AS discrepant_quantity, CAST(0 AS BIGINT) AS quantity
-        FROM part WHERE p_brand <> 'Brand#7'""",
+        SELECT client, 'S' || p_partkey AS sku, 'X' || p_partkey AS fnsku,
+               'B' || p_partkey AS asin,
+               CASE WHEN p_size % 13 <> 0 THEN p_name END AS product_name, 'NEW' AS condition,
+               CAST(CASE WHEN client = 'C5' THEN 0 ELSE p_size - 25 END AS BIGINT)
+                   AS discrepant_quantity,
+               CAST(CASE WHEN client = 'C5' THEN 0 ELSE p_size % 5 END AS BIGINT) AS quantity,
+               CAST(CASE WHEN client <> 'C5' AND p_size = 25 THEN p_partkey % 2 ELSE 0 END
+                   AS BIGINT) AS "Ending_count",
+               p_type AS store_note
+        FROM part, (SELECT unnest(['C0','C1','C2','C3','C4','C5']) AS client)""",
     "cat": """
         SELECT * FROM rec
         UNION ALL
         SELECT DISTINCT client, 'sku', fnsku, 'asin', 'product_name', 'condition',
-               CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+               CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS VARCHAR)
         FROM rei r
         WHERE NOT EXISTS (SELECT 1 FROM rec s WHERE s.client = r.client AND s.fnsku = r.fnsku)""",
     "steps": """
@@ -85,8 +97,8 @@ _PARTS: dict[str, str] = {
                                 'CUSTOMER_DAMAGED','EXPIRED')
           AND ((k.k LIKE 'Q-%' AND f.reason = 'P') OR (k.k LIKE 'P-%' AND f.reason = 'Q'))""",
     "regraded": """
-        SELECT client, fnsku, CAST(sum(quantity) AS BIGINT) AS "17_Regraded_to_sell"
-        FROM flagged GROUP BY client, fnsku""",
+        SELECT client, fnsku, CAST(coalesce(sum(quantity), 0) AS BIGINT) AS "17_Regraded_to_sell"
+        FROM flagged WHERE fnsku IS NOT NULL GROUP BY client, fnsku""",
 }
 
 
@@ -97,7 +109,8 @@ def _pivot(source: str, value: str, codes: list[str]) -> str:
     )
     listed = ", ".join(f"'{c}'" for c in codes)
     return (
-        f"SELECT client, fnsku, {cells} FROM {source} WHERE reason IN ({listed})"
+        f"SELECT client, fnsku, {cells} FROM {source}"
+        f" WHERE reason IN ({listed}) AND fnsku IS NOT NULL"
         " GROUP BY client, fnsku"
     )
 
@@ -113,19 +126,21 @@ _PARTS["p4"] = """
                AS quantity_reimbursed_inventory
     FROM rei GROUP BY client, fnsku"""
 _PARTS["p5"] = """
-    SELECT client, fnsku, CAST(-sum(quantity) AS BIGINT) AS "15_DMG_lost"
-    FROM adj WHERE disposition = 'WAREHOUSE_DAMAGED' AND reason IN ('M', 'F')
+    SELECT client, fnsku, CAST(coalesce(-sum(quantity), 0) AS BIGINT) AS "15_DMG_lost"
+    FROM adj
+    WHERE disposition = 'WAREHOUSE_DAMAGED' AND reason IN ('M', 'F') AND fnsku IS NOT NULL
     GROUP BY client, fnsku"""
 _PARTS["p6"] = """
-    SELECT client, fnsku, CAST(sum(quantity) AS BIGINT) AS "12_Dispsd_sellbl"
+    SELECT client, fnsku, CAST(coalesce(sum(quantity), 0) AS BIGINT) AS "12_Dispsd_sellbl"
     FROM adj
-    WHERE reason = 'D' AND disposition IN ('SELLABLE','DEFECTIVE','DISTRIBUTOR_DAMAGED',
+    WHERE fnsku IS NOT NULL AND reason = 'D' AND disposition IN ('SELLABLE','DEFECTIVE','DISTRIBUTOR_DAMAGED',
                                            'UNSELLABLE','CUSTOMER_DAMAGED')
     GROUP BY client, fnsku"""
 _PARTS["p7"] = """
-    SELECT client, fnsku, disposition, CAST(sum(quantity) AS BIGINT) AS "Disp_reimbrsble"
+    SELECT client, fnsku, disposition,
+           CAST(coalesce(sum(quantity), 0) AS BIGINT) AS "Disp_reimbrsble"
     FROM adj
-    WHERE reason = 'D' AND disposition IN ('WAREHOUSE_DAMAGED','CARRIER_DAMAGED','UNSELLABLE')
+    WHERE fnsku IS NOT NULL AND reason = 'D' AND disposition IN ('WAREHOUSE_DAMAGED','CARRIER_DAMAGED','UNSELLABLE')
     GROUP BY client, fnsku, disposition"""
 
 _SUMS = (
@@ -164,7 +179,8 @@ _NAMES = {
     "fnsku": "00_fnsku",
 }
 _OTHER = [
-    "client", "sku", "asin", "product_name", "condition", "disposition", "1", "2", "I",
+    "client", "sku", "asin", "product_name", "condition", "disposition", "store_note",
+    "Ending_count", "1", "2", "I",
     "Damaged_by_FC", "Disposed_of", "Misplaced", "12_Dispsd_sellbl", "15_DMG_lost",
     "17_Regraded_to_sell", "Disp_reimbrsble", "05_Tr.OUT_reasn", "10_LOST", "20_DMG", "01_TOTL",
 ]
@@ -173,7 +189,7 @@ _PARTS["named"] = "SELECT " + ", ".join(
 ) + " FROM balanced"
 _TESTED = [
     c for c in _OTHER if c not in (
-        "client", "sku", "asin", "product_name", "condition", "disposition")
+        "client", "sku", "asin", "product_name", "condition", "disposition", "store_note")
 ] + [n for n in _NAMES.values() if n != "00_fnsku"]
 _PARTS["report"] = (
     "SELECT * FROM named WHERE " + " + ".join(f'abs("{c}")' for c in _TESTED) + " > 0"
@@ -187,6 +203,7 @@ _PARTS["drill"] = f"""
     SELECT b.* REPLACE ({_RECODE})
     FROM bursts b
     WHERE EXISTS (SELECT 1 FROM report r WHERE r.client = b.client AND r."00_fnsku" = b.fnsku)"""
+_PARTS["counted"] = "SELECT * FROM drill WHERE disposition IS NOT NULL AND quantity IS NOT NULL"
 
 _KEYS = "fnsku, adjusted_date, fulfillment_center_id, transaction_item_id, tr_id, reason"
 _MARGIN = (
@@ -203,19 +220,19 @@ _CELLS = ", ".join(
 )
 _QTY = "CAST(sum(quantity) AS BIGINT)"
 _CROSSTAB = (
-    f'SELECT client, {_KEYS}, {_CELLS}, {_QTY} AS "All" FROM drill GROUP BY client, {_KEYS}'
-    f' UNION ALL SELECT client, {_MARGIN}, {_CELLS}, {_QTY} AS "All" FROM drill GROUP BY client'
+    f'SELECT client, {_KEYS}, {_CELLS}, {_QTY} AS "All" FROM counted GROUP BY client, {_KEYS}'
+    f' UNION ALL SELECT client, {_MARGIN}, {_CELLS}, {_QTY} AS "All" FROM counted GROUP BY client'
 )
 _LONG = (
-    f"SELECT client, {_KEYS}, disposition, {_QTY} AS quantity FROM drill"
+    f"SELECT client, {_KEYS}, disposition, {_QTY} AS quantity FROM counted"
     f" GROUP BY client, {_KEYS}, disposition"
 )
 _MARGINS = (
     _LONG
-    + f" UNION ALL SELECT client, {_KEYS}, 'All', {_QTY} FROM drill GROUP BY client, {_KEYS}"
-    + f" UNION ALL SELECT client, {_MARGIN}, disposition, {_QTY} FROM drill"
+    + f" UNION ALL SELECT client, {_KEYS}, 'All', {_QTY} FROM counted GROUP BY client, {_KEYS}"
+    + f" UNION ALL SELECT client, {_MARGIN}, disposition, {_QTY} FROM counted"
       " GROUP BY client, disposition"
-    + f" UNION ALL SELECT client, {_MARGIN}, 'All', {_QTY} FROM drill GROUP BY client"
+    + f" UNION ALL SELECT client, {_MARGIN}, 'All', {_QTY} FROM counted GROUP BY client"
 )
 
 _ORDER = list(_PARTS)
@@ -274,11 +291,13 @@ _STATEMENTS: dict[str, str] = {
     "report_names": "SELECT * FROM named",
     "nonzero_filter": "SELECT * FROM report",
     "report": "SELECT * FROM report",
-    "report_gated": "SELECT * FROM report",
+    "report_gated":
+        "SELECT * FROM report WHERE client IN (SELECT client FROM bursts WHERE tr_id <> 0)",
     "adj_filtered": "SELECT * FROM drill",
     "disposition_recode": f"SELECT * REPLACE ({_RECODE}) FROM adj",
     "crosstab": _CROSSTAB,
     "crosstab_present_states": _CROSSTAB,
+    "crosstab_empty": f"SELECT * FROM ({_CROSSTAB}) WHERE false",
     "crosstab_margins": _MARGINS,
     "pivot_long": _LONG,
     "package_outcome": _OUTCOME,
@@ -286,9 +305,12 @@ _STATEMENTS: dict[str, str] = {
         SELECT conv_id, turn,
                CASE WHEN word = '' THEN 'was_no_subj_' ELSE word END AS client
         FROM (SELECT conv_id, turn,
-                     regexp_extract(replace(replace(text, 'Re:', ''), 'Fwd:', ''),
+                     regexp_extract(replace(replace(subject, 'Re:', ''), 'Fwd:', ''),
                                     '[^\\s\\x1c-\\x1f\\x0b\\x85\\p{Z}]+') AS word
-              FROM conversations)""",
+              FROM (SELECT conv_id, turn,
+                           CASE turn % 4 WHEN 0 THEN 'Re: ' WHEN 1 THEN 'Fwd: Re:' ELSE '' END
+                             || CASE WHEN conv_id % 5 = 0 THEN '  ' ELSE text END AS subject
+                    FROM conversations))""",
     "report_status": """
         SELECT client, rec_files, adj_files, rei_files,
                CASE WHEN rec_files = 0 THEN 'no file for rec'
@@ -317,9 +339,25 @@ _STATEMENTS: dict[str, str] = {
                                               ORDER BY o_orderdate, o_orderkey) AS nth
                     FROM orders JOIN customer ON o_custkey = c_custkey))""",
     "report_lines": """
+        SELECT client, adjusted_date, fnsku, fulfillment_center_id, reason, disposition,
+               transaction_item_id, quantity,
+               'a, "b"' || chr(10) || fulfillment_center_id AS note
+        FROM adj_all""",
+    "report_lines_rec": "SELECT * FROM rec",
+    "report_lines_rei": """
+        SELECT client, approval_date, fnsku, reason, quantity_reimbursed_total,
+               quantity_reimbursed_inventory FROM rei_all""",
+    "overlong_rows": """
         SELECT client, adjusted_date, fnsku, fulfillment_center_id, reason, disposition,
                transaction_item_id, quantity
-        FROM adj WHERE fulfillment_center_id <> 'FC7'""",
+        FROM adj_all WHERE transaction_item_id // 500 % 5 = 0""",
+    "package_status": """
+        SELECT 'C' || pack AS client, 'p' || pack || '.zip' AS archive,
+               CASE pack % 6 WHEN 1 THEN 'not ZIP file attached'
+                    WHEN 2 THEN 'p' || pack || '.zip - brocken *.zip'
+                    ELSE CASE WHEN pack % 6 IN (0, 5) AND n = 3 THEN 'ok'
+                              ELSE 'not three files in ZIP' END END AS status
+        FROM (SELECT p_partkey // 3 AS pack, count(*) AS n FROM part GROUP BY pack)""",
     "allow_list": """
         SELECT c_custkey, n_name AS sender
         FROM customer JOIN nation ON c_nationkey = n_nationkey

@@ -10,11 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockrecon.domain import DISPOSITIONS
+from stockrecon.sources.archives import BROKEN, NOT_ZIP
 
 AS_OF = "2001-11-04"
-CLIENTS = ["C0", "C1", "C2", "C3"]
-REASON_CYCLE = "P Q E 5 M F N O D G I K 1 2 D P Q".split()
-UNSTOCKED_BRAND = "Brand#7"
+# The last one has stock but no movements; the one before, movements but no bursts.
+CLIENTS = ["C0", "C1", "C2", "C3", "C4", "C5"]
+SCATTERED, IDLE = CLIENTS[-2:]
+REASON_CYCLE = [
+    "P", "Q", "E", "5", "M", "F", "N", "O", "D", "G", "I", "K", "1", "2", "D", "P", "Q",
+    "Damaged_by_FC", "Disposed_of", "Misplaced",
+]
 
 
 def _pick(values: list[str], position: Column) -> Column:
@@ -22,7 +27,7 @@ def _pick(values: list[str], position: Column) -> Column:
 
 
 def _client() -> Column:
-    return F.concat(F.lit("C"), F.expr("(l_orderkey div 4) % 4").cast("string"))
+    return F.concat(F.lit("C"), F.expr("(l_orderkey div 4) % 5").cast("string"))
 
 
 def _fnsku(key: str) -> Column:
@@ -34,63 +39,121 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def adjustments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line as a movement; some lack product, state or quantity."""
     line = F.col("l_linenumber")
     quantity = F.col("l_quantity").cast("long")
+    near = F.col("l_orderkey") * 5000 + line * 500
+    far = (F.col("l_orderkey") * 10 + line) * 10**10 + F.col("l_partkey") * 20_000
+    state = _pick(DISPOSITIONS, (F.col("l_orderkey") + line * 5 + F.col("l_suppkey")) % 8)
     return table(spark, sf_dir, "lineitem").select(
         _client().alias("client"),
-        (F.col("l_orderkey") * 5000 + line * 500).alias("transaction_item_id"),
+        F.when(_client() == SCATTERED, far).otherwise(near).alias("transaction_item_id"),
         F.col("l_shipdate").alias("adjusted_date"),
-        _fnsku("l_partkey").alias("fnsku"),
+        F.when(~((F.col("l_orderkey") % 41 == 0) & (line == 6)), _fnsku("l_partkey")).alias(
+            "fnsku"
+        ),
         F.concat(F.lit("FC"), (F.col("l_suppkey") % 20).cast("string")).alias(
             "fulfillment_center_id"
         ),
-        _pick(REASON_CYCLE, (F.col("l_partkey") + line * 3 + F.col("l_suppkey")) % 17).alias(
+        _pick(REASON_CYCLE, (F.col("l_partkey") + line * 3 + F.col("l_suppkey")) % 20).alias(
             "reason"
         ),
-        _pick(DISPOSITIONS, (F.col("l_orderkey") + line * 5 + F.col("l_suppkey")) % 8).alias(
-            "disposition"
-        ),
-        F.when((F.col("l_partkey") + line) % 3 == 0, quantity)
+        F.when((F.col("l_orderkey") + line) % 37 != 0, state).alias("disposition"),
+        F.when((F.col("l_partkey") + line) % 43 == 0, None)
+        .when((F.col("l_partkey") + line) % 3 == 0, quantity)
         .otherwise(-quantity)
         .alias("quantity"),
     )
 
 
 def reimbursements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line as a reimbursement; some products are in no stock report."""
     quantity = F.col("l_quantity").cast("long")
-    return (
-        table(spark, sf_dir, "lineitem")
-        .where(F.col("l_returnflag") == "R")
-        .select(
-            _client().alias("client"),
-            F.col("l_shipdate").alias("approval_date"),
-            _fnsku("l_partkey").alias("fnsku"),
-            F.when(F.col("l_linenumber") == 7, "CustomerReturn")
-            .when(F.col("l_linestatus") == "O", "Lost_Warehouse")
-            .otherwise("Damaged_Warehouse")
-            .alias("reason"),
-            quantity.alias("quantity_reimbursed_total"),
-            F.when(F.col("l_linenumber") % 3 == 0, quantity)
-            .otherwise(F.lit(0).cast("long"))
-            .alias("quantity_reimbursed_inventory"),
-        )
+    unknown = F.concat(F.lit("Y"), F.col("l_partkey").cast("string"))
+    return table(spark, sf_dir, "lineitem").select(
+        _client().alias("client"),
+        F.col("l_shipdate").alias("approval_date"),
+        F.when(F.col("l_linenumber") == 7, unknown).otherwise(_fnsku("l_partkey")).alias("fnsku"),
+        F.when(F.col("l_returnflag") == "R", "Lost_Warehouse")
+        .when(F.col("l_returnflag") == "A", "Damaged_Warehouse")
+        .otherwise("CustomerReturn")
+        .alias("reason"),
+        quantity.alias("quantity_reimbursed_total"),
+        F.when(F.col("l_linenumber") % 3 == 0, quantity)
+        .otherwise(F.lit(0).cast("long"))
+        .alias("quantity_reimbursed_inventory"),
     )
 
 
 def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every part for every client, but for one brand that nobody stocks."""
+    """Every part for every client, with a further count and a further text."""
     key = F.col("p_partkey").cast("string")
+    busy = F.col("client") != IDLE
+
+    def count(value: Column) -> Column:
+        return F.when(busy, value).otherwise(0).cast("long")
+
     return (
         table(spark, sf_dir, "part")
-        .where(F.col("p_brand") != UNSTOCKED_BRAND)
+        .withColumn("client", F.explode(F.array(*map(F.lit, CLIENTS))))
         .select(
-            F.explode(F.array(*map(F.lit, CLIENTS))).alias("client"),
+            "client",
             F.concat(F.lit("S"), key).alias("sku"),
             F.concat(F.lit("X"), key).alias("fnsku"),
             F.concat(F.lit("B"), key).alias("asin"),
-            F.col("p_name").alias("product_name"),
+            F.when(F.col("p_size") % 13 != 0, F.col("p_name")).alias("product_name"),
             F.lit("NEW").alias("condition"),
-            (F.col("p_size") - 25).cast("long").alias("discrepant_quantity"),
-            F.lit(0).cast("long").alias("quantity"),
+            count(F.col("p_size") - 25).alias("discrepant_quantity"),
+            count(F.col("p_size") % 5).alias("quantity"),
+            count(F.when(F.col("p_size") == 25, F.col("p_partkey") % 2).otherwise(0)).alias(
+                "Ending_count"
+            ),
+            F.col("p_type").alias("store_note"),
         )
     )
+
+
+def csv_cell(value: Column, quoted: bool) -> Column:
+    """A value as CSV text; null as an empty cell."""
+    text = F.coalesce(value.cast("string"), F.lit(""))
+    if not quoted:
+        return text
+    return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def csv_lines(
+    df: DataFrame, name: str, turned: Column, extra: Column | None = None
+) -> DataFrame:
+    """Rows of a report as records of CSV files, as archives give them.
+
+    Where ``turned`` holds, columns come in reverse and quoted; ``extra`` is text
+    behind a row.
+    """
+    columns = [c for c in df.columns if c != "client"]
+    plain = F.concat_ws(",", *[csv_cell(F.col(c), False) for c in columns])
+    other = F.concat_ws(",", *[csv_cell(F.col(c), True) for c in reversed(columns)])
+    heads = [",".join(c.replace("_", "-") for c in cs) for cs in (columns, reversed(columns))]
+    return df.select(
+        "client",
+        F.lit("a.zip").alias("archive"),
+        F.lit(name).alias("name"),
+        F.when(turned, heads[1]).otherwise(heads[0]).alias("header"),
+        F.concat(F.when(turned, other).otherwise(plain), F.lit("") if extra is None else extra)
+        .alias("line"),
+    )
+
+
+def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as files of archives, three to an archive, good and bad ones in turn."""
+    pack = F.expr("p_partkey div 3")
+    kind = _pick(["rec", "adj", "rei"], F.col("p_partkey") % 3)
+    turn = pack % 6
+    problem = F.when(turn == 1, NOT_ZIP).when(turn == 2, BROKEN)
+    name = F.when(turn == 4, "x_rec.csv").otherwise(F.concat(F.lit("x_"), kind, F.lit(".csv")))
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("C"), pack.cast("string")).alias("client"),
+        F.concat(F.lit("p"), pack.cast("string"), F.lit(".zip")).alias("archive"),
+        problem.alias("problem"),
+        F.when(problem.isNull(), name).alias("name"),
+        ((turn == 3) & (F.col("p_partkey") % 3 == 0)).alias("in_folder"),
+    )

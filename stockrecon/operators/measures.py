@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import NumericType
+
 from stockrecon.domain import REPORT_NAMES, measure_columns
 
+# The non-zero test reads the columns between these two.
+FIRST, LAST = "00_fnsku", "asin"
+
 BALANCES = {
     "05_Tr.OUT_reasn": "least(Damaged_Warehouse + Disp_reimbrsble, -O)",
     "10_LOST": (
@@ -39,9 +44,23 @@ def rename_measures(df: DataFrame) -> DataFrame:
     return renamed.selectExpr(*[f"`{name}`" for name in sorted(renamed.columns)])
 
 
+def further_counts(df: DataFrame) -> list[str]:
+    """Numeric stock columns, beyond the measures, that the non-zero test reads too.
+
+    It reads every number whose name stands between the first column and ``asin``.
+    """
+    names = [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
+    return [n for n in names if FIRST < n < LAST and n not in measure_columns()]
+
+
+def any_nonzero(columns: list[str]) -> str:
+    """Condition that one of the columns differs from zero; nulls count as zero."""
+    return " OR ".join(f"coalesce(`{c}`, 0) <> 0" for c in columns)
+
+
 def nonzero_filter(report: DataFrame) -> DataFrame:
-    """Rows in which any measure differs from zero."""
-    return report.where(" + ".join(f"abs(`{m}`)" for m in measure_columns()) + " > 0")
+    """Rows in which any measure or further stock count differs from zero."""
+    return report.where(any_nonzero(measure_columns() + further_counts(report)))
 
 
 def order_report(report: DataFrame) -> DataFrame:

@@ -22,12 +22,25 @@ from stockrecon.domain import (
 _REASON, _STATE = "reason", "disposition"
 
 
-def _lost_after_damage() -> Column:
-    return (F.col(_STATE) == "WAREHOUSE_DAMAGED") & F.col(_REASON).isin(LOST_AFTER_DAMAGE_REASONS)
+def _any_of(column: str, values: list[str]) -> str:
+    return f"{column} IN ({', '.join(repr(v) for v in values)})"
+
+
+def _with_reason(reason: str) -> str:
+    return f"{_REASON} = '{reason}'"
 
 
-def _disposed(states: list[str]) -> Column:
-    return (F.col(_REASON) == DISPOSED_REASON) & F.col(_STATE).isin(states)
+# Which rows enter a sum, and what each adds: read by the single aggregates and
+# by the one-pass table alike.
+_LOST_AFTER_DAMAGE = (
+    f"{_STATE} = 'WAREHOUSE_DAMAGED' AND {_any_of(_REASON, LOST_AFTER_DAMAGE_REASONS)}"
+)
+_NOT_REIMBURSABLE = (
+    f"{_with_reason(DISPOSED_REASON)} AND {_any_of(_STATE, DISPOSED_NOT_REIMBURSABLE)}"
+)
+_REIMBURSABLE = f"{_with_reason(DISPOSED_REASON)} AND {_any_of(_STATE, DISPOSED_REIMBURSABLE)}"
+_LOST_UNITS = "-quantity"
+_RETURNED_UNITS = "-quantity_reimbursed_inventory"
 
 
 def _total(value: Column) -> Column:
@@ -35,6 +48,10 @@ def _total(value: Column) -> Column:
     return F.coalesce(F.sum(value), F.lit(0)).cast("long")
 
 
+def _given(condition: str, value: str) -> str:
+    return f"CASE WHEN {condition} THEN {value} END"
+
+
 def _grouped(df: DataFrame, *names: str):
     keys = keys_of(df, *names)
     return df.dropna(subset=keys).groupBy(*keys)
@@ -42,9 +59,9 @@ def _grouped(df: DataFrame, *names: str):
 
 def pivot_reasons(df: DataFrame, reasons: list[str], value: str = "quantity") -> DataFrame:
     """One column of summed ``value`` per reason; products with none of them are absent."""
-    rows = df.where(F.col(_REASON).isin(reasons))
+    rows = df.where(_any_of(_REASON, reasons))
     return _grouped(rows, "fnsku").agg(
-        *[_total(F.when(F.col(_REASON) == r, F.col(value))).alias(r) for r in reasons]
+        *[_total(F.expr(_given(_with_reason(r), value))).alias(r) for r in reasons]
     )
 
 
@@ -62,27 +79,28 @@ def reimbursement_pivot(rei: DataFrame) -> DataFrame:
 
 def inventory_reimbursed(rei: DataFrame) -> DataFrame:
     """Units given back in kind, over all reasons, negated."""
-    name = "quantity_reimbursed_inventory"
-    return _grouped(rei, "fnsku").agg((-_total(F.col(name))).alias(name))
+    return _grouped(rei, "fnsku").agg(
+        _total(F.expr(_RETURNED_UNITS)).alias("quantity_reimbursed_inventory")
+    )
 
 
 def damaged_then_lost(adj: DataFrame) -> DataFrame:
     """Lost or found while warehouse-damaged, negated."""
-    return _grouped(adj.where(_lost_after_damage()), "fnsku").agg(
-        (-_total(F.col("quantity"))).alias("15_DMG_lost")
+    return _grouped(adj.where(_LOST_AFTER_DAMAGE), "fnsku").agg(
+        _total(F.expr(_LOST_UNITS)).alias("15_DMG_lost")
     )
 
 
 def disposals_sellable(adj: DataFrame) -> DataFrame:
     """Disposals that nobody reimburses."""
-    return _grouped(adj.where(_disposed(DISPOSED_NOT_REIMBURSABLE)), "fnsku").agg(
+    return _grouped(adj.where(_NOT_REIMBURSABLE), "fnsku").agg(
         _total(F.col("quantity")).alias("12_Dispsd_sellbl")
     )
 
 
 def disposals_reimbursable(adj: DataFrame) -> DataFrame:
     """Disposals open to reimbursement, per product and stock state."""
-    return _grouped(adj.where(_disposed(DISPOSED_REIMBURSABLE)), "fnsku", _STATE).agg(
+    return _grouped(adj.where(_REIMBURSABLE), "fnsku", _STATE).agg(
         _total(F.col("quantity")).alias("Disp_reimbrsble")
     )
 
@@ -103,10 +121,6 @@ def _wide_columns() -> list[str]:
     return PRODUCT_SUMS + states + ["rei_rows"]
 
 
-def _any_of(column: str, values: list[str]) -> str:
-    return f"{column} IN ({', '.join(repr(v) for v in values)})"
-
-
 def _parts(df: DataFrame, keys: list[str], values: dict[str, str]) -> DataFrame:
     """Rows of one input as addends of the wide product table."""
     none = "CAST(NULL AS BIGINT)"
@@ -122,27 +136,20 @@ def product_table(adj: DataFrame, rei: DataFrame, flagged: DataFrame) -> DataFra
     any other.
     """
     keys = keys_of(adj, "fnsku")
-    disposed = f"{_REASON} = '{DISPOSED_REASON}' AND "
-    from_adj = {r: f"CASE WHEN {_REASON} = '{r}' THEN quantity END" for r in REASONS_1 + REASONS_2}
-    from_adj["15_DMG_lost"] = (
-        f"CASE WHEN {_STATE} = 'WAREHOUSE_DAMAGED'"
-        f" AND {_any_of(_REASON, LOST_AFTER_DAMAGE_REASONS)} THEN -quantity END"
-    )
-    from_adj["12_Dispsd_sellbl"] = (
-        f"CASE WHEN {disposed}{_any_of(_STATE, DISPOSED_NOT_REIMBURSABLE)} THEN quantity END"
-    )
+    from_adj = {r: _given(_with_reason(r), "quantity") for r in REASONS_1 + REASONS_2}
+    from_adj["15_DMG_lost"] = _given(_LOST_AFTER_DAMAGE, _LOST_UNITS)
+    from_adj["12_Dispsd_sellbl"] = _given(_NOT_REIMBURSABLE, "quantity")
     for state in DISPOSED_REIMBURSABLE:
-        here = f"CASE WHEN {disposed}{_STATE} = '{state}' THEN"
-        from_adj[_state_sum(state)] = f"{here} quantity END"
-        from_adj[_state_rows(state)] = f"{here} 1L END"
+        here = f"{_REIMBURSABLE} AND {_STATE} = '{state}'"
+        from_adj[_state_sum(state)] = _given(here, "quantity")
+        from_adj[_state_rows(state)] = _given(here, "1L")
     from_rei = {
-        r: f"CASE WHEN {_REASON} = '{r}' THEN quantity_reimbursed_total END"
-        for r in REIMBURSED_REASONS
+        r: _given(_with_reason(r), "quantity_reimbursed_total") for r in REIMBURSED_REASONS
     }
-    from_rei["quantity_reimbursed_inventory"] = "-quantity_reimbursed_inventory"
+    from_rei["quantity_reimbursed_inventory"] = _RETURNED_UNITS
     from_rei["rei_rows"] = "1L"
     parts = [
-        _parts(adj.where(F.col(_REASON).isin(REASONS_1 + REASONS_2)), keys, from_adj),
+        _parts(adj.where(_any_of(_REASON, REASONS_1 + REASONS_2)), keys, from_adj),
         _parts(rei, keys, from_rei),
         _parts(flagged, keys, {"17_Regraded_to_sell": "quantity"}),
     ]

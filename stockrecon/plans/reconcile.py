@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,9 @@ from stockrecon.operators.crosstab import (
     recode_dispositions,
 )
 from stockrecon.operators.measures import (
+    any_nonzero,
     derive_measures,
+    further_counts,
     order_report,
     rename_measures,
 )
@@ -100,10 +103,10 @@ def build_report(
     restates a condition for every renamed column in it.
     """
     products = product_table(adj, rei, flag_regrades(adj, buckets)).withColumn(
-        "moved", F.expr(" OR ".join(f"`{c}` <> 0" for c in PRODUCT_SUMS))
+        "moved", F.expr(any_nonzero(PRODUCT_SUMS))
     )
     rows = fan_out_disposals(product_rows(rec, products, hot_rows))
-    own = " OR ".join(f"coalesce({c}, 0L) <> 0" for c in ROW_QUANTITIES)
+    own = any_nonzero(ROW_QUANTITIES + further_counts(with_own_names(rec)))
     rows = rows.where(f"coalesce(moved, false) OR {own}").drop("moved")
     return rename_measures(derive_measures(rows.fillna(0, subset=["Disp_reimbrsble"])))
 
@@ -132,16 +135,17 @@ def reconcile(
     *,
     gate_on_bursts: bool = False,
     ordered: bool = True,
-    store_shared: bool = False,
+    store_shared: bool = True,
 ) -> dict[str, DataFrame]:
     """Report (``df_rec``), cross-tab (``table``) and its rows (``df_adj_filtered``).
 
     ``as_of`` is the day the history window counts back from. With
     ``gate_on_bursts`` a client without any burst gets no results at all.
-    Everything is lazy, and results that are read separately repeat shared work;
-    with ``store_shared`` the parts they share are computed now, once, into the
-    checkpoint folder. ``stockrecon.sources.sinks.write_results`` does the same
-    with the result tables themselves.
+    The parts that the results share are computed now, once, into the checkpoint
+    folder; with ``store_shared=False`` everything is lazy and results that are
+    read separately repeat the shared work.
+    ``stockrecon.sources.sinks.write_results`` does the same with the result
+    tables themselves.
     """
     keep = store if store_shared else lambda df: df
     adj = clip_adjustments(adj, as_of, opening)
@@ -158,16 +162,18 @@ def reconcile(
     return {"df_rec": report, "table": table, "df_adj_filtered": rows}
 
 
-def package_outcome(clients: DataFrame, results: dict[str, DataFrame]) -> DataFrame:
+def package_outcome(clients: DataFrame | None, results: dict[str, DataFrame]) -> DataFrame:
     """Reply per client: ok if report, cross-tab and its rows all have content.
 
-    ``clients`` lists who handed in a package (repeats are fine).
+    ``clients`` lists who handed in a package (repeats are fine). Without it the
+    results are one client's and get one reply.
     """
     names = {"df_rec": "report_rows", "table": "table_rows", "df_adj_filtered": "adjustment_rows"}
-    tagged = clients.select("client", F.lit(None).cast("string").alias("part"))
-    for part in names:
-        tagged = tagged.unionByName(results[part].select("client", F.lit(part).alias("part")))
-    counted = tagged.groupBy("client").agg(
+    keys = [] if clients is None else ["client"]
+    parts = [results[part].select(*keys, F.lit(part).alias("part")) for part in names]
+    if keys:
+        parts.append(clients.select(*keys, F.lit(None).cast("string").alias("part")))
+    counted = reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(
         *[F.count_if(F.col("part") == part).alias(name) for part, name in names.items()]
     )
     complete = F.least(*names.values()) > 0

@@ -13,7 +13,16 @@ from pyspark.sql import functions as F
 from stockrecon.domain import REPORT_KINDS
 from stockrecon.functions.text import file_kind_matches
 from stockrecon.sources.packages import exactly_one_each, kinds_found
-from stockrecon.sources.reports import CSV_OPTIONS, ENCODING, cell_schema, parse_header, shape_rows
+from stockrecon.sources.reports import (
+    CSV_OPTIONS,
+    ENCODING,
+    cell_schema,
+    further_names,
+    header_names,
+    header_width,
+    shape_rows,
+)
+from stockrecon.sources.shipping import ship_package
 
 # --- fixed values -----------------------------------------------------------
 NOT_ZIP = "not ZIP file attached"
@@ -74,6 +83,7 @@ def archive_members(archives: DataFrame) -> DataFrame:
 
     ``archives`` has ``client``, ``archive`` (file name) and ``content``.
     """
+    ship_package(archives.sparkSession)
 
     def listing(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -110,11 +120,25 @@ def package_status(members: DataFrame) -> DataFrame:
     )
 
 
+def _records(lines: Iterator[str]) -> Iterator[str]:
+    """CSV records without blank ones; lines join up while a quote is open."""
+    held = ""
+    for line in lines:
+        held += line
+        if held.count('"') % 2 == 0:
+            if held.strip():
+                yield held.rstrip("\r\n")
+            held = ""
+    if held.strip():
+        yield held.rstrip("\r\n")
+
+
 def archive_lines(archives: DataFrame) -> DataFrame:
-    """Text lines of every file of every readable archive, with the file's header line.
+    """CSV records of every file of every readable archive, with the file's header line.
 
-    Members are streamed line by line; only the archive itself is held in memory.
+    Members are streamed record by record; only the archive itself is held in memory.
     """
+    ship_package(archives.sparkSession)
 
     def reading(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -122,15 +146,9 @@ def archive_lines(archives: DataFrame) -> DataFrame:
                 found, _ = _open_package(content)
                 for path, (source, entry) in (found or {}).items():
                     with source.open(entry) as stream:
-                        lines = (
-                            line
-                            for line in io.TextIOWrapper(stream, encoding=ENCODING)
-                            if line.strip()
-                        )
-                        header = next(lines, "").rstrip("\r\n")
-                        while batch := [
-                            line.rstrip("\r\n") for _, line in zip(range(LINES_PER_BATCH), lines)
-                        ]:
+                        lines = _records(io.TextIOWrapper(stream, encoding=ENCODING, newline=""))
+                        header = next(lines, "")
+                        while batch := [x for _, x in zip(range(LINES_PER_BATCH), lines)]:
                             yield pd.DataFrame(
                                 {
                                     "client": client,
@@ -144,7 +162,9 @@ def archive_lines(archives: DataFrame) -> DataFrame:
     return archives.select("client", "archive", "content").mapInPandas(reading, LINES)
 
 
-def reports_from_lines(lines: DataFrame) -> dict[str, DataFrame]:
+def reports_from_lines(
+    lines: DataFrame, count_columns: tuple[str, ...] = ()
+) -> dict[str, DataFrame]:
     """The three reports from ``archive_lines`` of usable packages.
 
     Reads ``lines`` once per report and once for the header lines, so store it first.
@@ -153,13 +173,12 @@ def reports_from_lines(lines: DataFrame) -> dict[str, DataFrame]:
     reports = {}
     for kind in REPORT_KINDS:
         own = lines.where(file_kind_matches(F.col("name"), kind))
-        headers = {
-            r.header: parse_header(r.header) for r in own.select("header").distinct().collect()
-        } or {"": ["fnsku"]}
-        width = max(map(len, headers.values()))
+        headers = own.select("header").distinct()
+        width = max(1, header_width(headers))
+        further = further_names(header_names(headers, width), kind)
         ddl = ", ".join(f"{cell} string" for cell in cell_schema(width).names)
-        cells = own.select(
-            "client", "header", F.from_csv("line", ddl, CSV_OPTIONS).alias("cells")
-        ).select("client", "header", "cells.*")
-        reports[kind] = shape_rows(cells, headers, kind)
+        cells = header_names(own, width).select(
+            "client", "names", F.from_csv("line", ddl, CSV_OPTIONS).alias("cells")
+        ).select("client", "names", "cells.*")
+        reports[kind] = shape_rows(cells, width, further, kind, count_columns)
     return reports

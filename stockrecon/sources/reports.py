@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import csv
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -23,77 +21,86 @@ NULL_WORDS = [
 # ----------------------------------------------------------------------------
 
 ENCODING = "ISO-8859-1"  # decodes any byte, so no second attempt is ever needed
-SPARE_CELLS = 8  # cells read beyond the widest header, to notice rows that are too long
-CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+RAW = "raw"  # the whole record, where its cell count is not that of the schema
+CSV_OPTIONS = {
+    "sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": RAW,
+}
+FRACTIONS = "decimal(38,6)"
 
 
-def parse_header(line: str) -> list[str]:
-    """Column names of a header line, dashes replaced."""
-    return [name.replace("-", "_") for name in next(csv.reader([line]))]
+def cell_schema(width: int) -> StructType:
+    """Positional cells, and the raw record of rows with more or fewer."""
+    return StructType([StructField(f"c{i}", StringType()) for i in range(width)]).add(
+        RAW, StringType()
+    )
 
 
-def cell_schema(width: int) -> StructType:
-    return StructType([StructField(f"c{i}", StringType()) for i in range(width + SPARE_CELLS)])
+def _separators(record: Column) -> Column:
+    """Separators of a CSV record outside its quotes."""
+    return F.regexp_count(F.regexp_replace(record, '"(?:[^"]|"")*"', ""), F.lit(","))
 
 
 def _number(cell: Column) -> Column:
     """Whole number, also when written like ``12.0``."""
     return F.coalesce(
         cell.try_cast("bigint"),
-        F.when(cell.rlike(r"^\s*[+-]?\d+\.0*\s*$"), cell.try_cast("decimal(38,6)")).try_cast(
-            "bigint"
-        ),
+        F.when(cell.rlike(r"^\s*[+-]?\d+\.0*\s*$"), cell.try_cast(FRACTIONS)).try_cast("bigint"),
     )
 
 
+def header_width(headers: DataFrame) -> int:
+    """Cells of the widest ``header`` line; 0 if there is none."""
+    row = headers.agg(F.max(_separators(F.col("header")))).collect()[0]
+    return 0 if row[0] is None else row[0] + 1
+
+
+def header_names(headers: DataFrame, width: int) -> DataFrame:
+    """Add ``names``, the column names of each ``header`` line, dashes replaced."""
+    ddl = ", ".join(f"c{i} string" for i in range(width))
+    cells = F.from_csv("header", ddl, {k: v for k, v in CSV_OPTIONS.items() if v != RAW})
+    names = [F.replace(F.coalesce(cells[f"c{i}"], F.lit("")), F.lit("-"), F.lit("_"))
+             for i in range(width)]
+    count = _separators(F.col("header")) + 1
+    return headers.withColumn("names", F.slice(F.array(*names), F.lit(1), count))
+
+
+def further_names(named: DataFrame, kind: str) -> list[str]:
+    """Names in any header beyond those of the kind; one per column of the result."""
+    known = REPORT_SCHEMAS[kind].names
+    found = named.select(F.explode("names").alias("n")).where(~F.col("n").isin(known)).distinct()
+    return sorted(r[0] for r in found.collect())
+
+
 def shape_rows(
-    cells: DataFrame, headers: dict[str, list[str]], kind: str, text_columns: tuple[str, ...] = ()
+    cells: DataFrame, width: int, further: list[str], kind: str,
+    count_columns: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Name and type positional cells ``c0, c1, …`` by the row's ``header`` line.
+    """Name and type positional cells ``c0, c1, …`` by the ``names`` of the row's header.
 
-    ``headers`` maps each header line to its column names. Rows longer than their
-    header go; short ones end in nulls. Columns a layout lacks are null. Further
-    columns of a stock report are counts unless listed in ``text_columns``; of
-    other reports they are text.
+    Rows longer than their header go, whatever the surplus cells hold; short ones
+    end in nulls. Columns a layout lacks are null. Columns beyond the known ones
+    (``further``) are text unless listed in ``count_columns``. Each cell is looked
+    up by the position of its name, so any number of layouts gives the same plan.
     """
-    schema = REPORT_SCHEMAS[kind]
-    known = {f.name: f.dataType for f in schema}
-    names = list(dict.fromkeys([f.name for f in schema] + sum(headers.values(), [])))
-    width = max(map(len, headers.values()))
-
-    def by_header(pick) -> Column | None:
-        """``pick(names)`` of the row's own layout; plain if there is one layout."""
-        picked = {line: pick(cols) for line, cols in headers.items()}
-        if len(picked) == 1:
-            return next(iter(picked.values()))
-        out = F.lit(None)
-        for line, value in picked.items():
-            if value is not None:
-                out = F.when(F.col("header") == line, value).otherwise(out)
-        return out
-
-    def overflow(cols: list[str]) -> Column:
-        return F.coalesce(*[F.col(f"c{i}") for i in range(len(cols), width + SPARE_CELLS)])
-
-    def cell(name: str):
-        return lambda cols: F.col(f"c{cols.index(name)}") if name in cols else None
-
+    known = {f.name: f.dataType for f in REPORT_SCHEMAS[kind]}
+    row = F.array(*[F.col(f"c{i}") for i in range(width)])
     out = []
-    for name in names:
-        if name == "client":
+    for name in [*known, *further]:
+        if name in ("client", ""):
             continue
-        value = by_header(cell(name))
-        if value is None:
-            if name == "quantity" and kind == "rec":
-                continue
-            value = F.lit(None)
-        value = value.cast("string")
+        place = F.array_position("names", name)
+        value = F.when(place > 0, F.get("cells", (place - 1).cast("int")))
         value = F.when(~value.isin(NULL_WORDS), value)
-        counted = kind == "rec" and name not in known and name not in text_columns
-        if counted or isinstance(known.get(name), LongType):
+        if isinstance(known.get(name), LongType):
             value = _number(value)
+        elif name in count_columns:
+            value = value.try_cast(FRACTIONS)
         out.append(value.alias(name))
-    return cells.where(by_header(overflow).isNull()).select("client", *out)
+    # The first cell is named too: Spark refuses to read nothing but raw records.
+    n_cells = F.coalesce(_separators(F.col(RAW)) + 1, F.lit(width))
+    fits = (n_cells <= F.size("names")) & (F.length(F.coalesce("c0", F.lit(""))) >= 0)
+    return cells.where(fits).withColumn("cells", row).select("client", *out)
 
 
 def client_of(path: Column) -> Column:
@@ -137,32 +144,39 @@ def read_report(
     kind: str,
     *,
     columns: list[str] | None = None,
-    text_columns: tuple[str, ...] = (),
-    multi_line: bool = False,
+    count_columns: tuple[str, ...] = (),
+    multi_line: bool = True,
 ) -> DataFrame:
     """One kind of report from CSV files laid out as ``<client>/<file>``.
 
     Columns are found by header name, so files may order them differently: one
-    pass collects the distinct header lines, and rows are mapped by the layout of
-    their file. Give ``columns`` when every file is known to have that layout;
-    the extra pass is then left out.
+    more pass over the text finds the header lines, and rows are mapped by the
+    layout of their file. Give ``columns`` when every file is known to have that
+    layout; the extra pass is then left out. Cells may hold line breaks inside
+    quotes; with ``multi_line=False`` they may not, and large files are split
+    among tasks.
     """
     if columns is not None:
-        headers = {"": [c.replace("-", "_") for c in columns]}
-        found = None
+        width = len(columns)
+        names = [c.replace("-", "_") for c in columns]
+        further = sorted(set(names) - set(REPORT_SCHEMAS[kind].names))
+        headers = None
     else:
-        found = store(file_headers(spark, paths, kind))
-        lines = found.select("header").distinct().collect()
-        headers = {r.header: parse_header(r.header) for r in lines}
-        if not headers:
+        headers = store(file_headers(spark, paths, kind))
+        width = header_width(headers)
+        if not width:
             return spark.createDataFrame([], REPORT_SCHEMAS[kind])
-    width = max(map(len, headers.values()))
+        headers = header_names(headers, width)
+        further = further_names(headers, kind)
+        headers = headers.select("path", "names")
     cells = _csv_files(
         spark, paths, kind, cell_schema(width), header=True, multiLine=multi_line
     ).withColumn("client", client_of(F.col("path")))
-    if len(headers) > 1:
-        cells = cells.join(broadcast_if_small(found), "path")
-    return shape_rows(cells, headers, kind, text_columns)
+    if headers is None:
+        cells = cells.withColumn("names", F.array(*map(F.lit, names)))
+    else:
+        cells = cells.join(broadcast_if_small(headers), "path")
+    return shape_rows(cells, width, further, kind, count_columns)
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -177,14 +191,18 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def read_packages(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def read_packages(
+    spark: SparkSession, root: str, *, count_columns: tuple[str, ...] = (), multi_line: bool = True
+) -> dict[str, DataFrame]:
     """The three reports of every complete client folder, and ``status`` of all."""
     files = list_files(spark, root)
     status = report_status(files)
     complete = kinds_found(files, ["client"]).where(exactly_one_each()).select("client")
     complete = broadcast_if_small(store(complete))
     reports = {
-        kind: read_report(spark, f"{root}/*/*", kind).join(complete, "client", "left_semi")
+        kind: read_report(
+            spark, f"{root}/*/*", kind, count_columns=count_columns, multi_line=multi_line
+        ).join(complete, "client", "left_semi")
         for kind in REPORT_KINDS
     }
     return {**reports, "status": status}

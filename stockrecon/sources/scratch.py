@@ -28,6 +28,12 @@ def store(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in any store that Spark reads."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 class Shelf:
     """Written tables of one job under the checkpoint folder.
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockrecon.domain import keys_of
 from stockrecon.operators.bursts import burst_buckets
 from stockrecon.operators.clip import clip_adjustments, clip_reimbursements
 from stockrecon.operators.crosstab import crosstab, order_crosstab, pivot_long
@@ -17,12 +19,15 @@ from stockrecon.plans.reconcile import (
     package_outcome,
     with_bursts_only,
 )
-from stockrecon.sources.scratch import store
+from stockrecon.sources.scratch import Shelf
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write ``df`` under ``<path>/client=<client>/``, replacing ``path``."""
-    writer = df.write.mode("overwrite").partitionBy("client")
+    """Write ``df`` under ``<path>/client=<client>/``, replacing ``path``.
+
+    A frame without ``client`` is one client's and lies in ``path`` itself.
+    """
+    writer = df.write.mode("overwrite").partitionBy(*keys_of(df))
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)
@@ -30,7 +35,7 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def _balanced(df: DataFrame) -> DataFrame:
     """Files of even size per client, however unequal the clients are."""
-    return df.hint("rebalance", "client")
+    return df.hint("rebalance", *keys_of(df))
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
@@ -58,7 +63,8 @@ def write_results(
     """
     adj = clip_adjustments(adj, as_of, opening)
     rei = clip_reimbursements(rei, as_of, opening)
-    buckets = store(burst_buckets(adj))
+    shelf = Shelf(adj.sparkSession)
+    buckets = shelf.put(burst_buckets(adj))
     report = build_report(rec, adj, rei, buckets)
     if gate_on_bursts:
         report = with_bursts_only(report, buckets)
@@ -70,11 +76,12 @@ def write_results(
     rows = _written(_balanced(drill_down(adj, report, buckets)), place("adjustments"))
     table = _written(order_crosstab(crosstab(rows)), place("crosstab"))
     long = _written(_balanced(pivot_long(rows)), place("pivot"))
-    clients = (
-        rec.select("client").unionByName(adj.select("client")).unionByName(rei.select("client"))
-    )
+    clients = None
+    if keys_of(rec):
+        clients = reduce(DataFrame.unionByName, [df.select("client") for df in (rec, adj, rei)])
     results = {"df_rec": report, "table": table, "df_adj_filtered": rows}
     outcome = package_outcome(clients, results).withColumn("run", F.lit(str(run)))
     outcome.write.mode("overwrite").parquet(place("outcome"))
     outcome = outcome.sparkSession.read.schema(outcome.schema).parquet(place("outcome"))
+    shelf.clear()
     return {**results, "pivot": long, "outcome": outcome}

@@ -19,7 +19,7 @@ from stockrecon.sources.archives import (
 )
 from stockrecon.sources.packages import name_clients
 from stockrecon.sources.reports import client_of, name_of
-from stockrecon.sources.scratch import store
+from stockrecon.sources.scratch import Shelf, exists
 from stockrecon.sources.sinks import write_results
 
 POLL = "2 hours"
@@ -36,7 +36,8 @@ def arrivals(
 ) -> DataFrame:
     """Stream of archives dropped as ``<landing>/<subject>/<file>``.
 
-    ``archive_to`` moves a file there once its batch is done.
+    ``archive_to`` moves a file there after its batch: Spark does so when a later
+    batch is planned, so the last files stay until more arrive.
     """
     reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
     if files_per_batch:
@@ -56,15 +57,19 @@ def arrivals(
 def reconcile_batch(
     batch: DataFrame,
     out: str,
-    run: int,
+    run: str,
     as_of: dt.date | str,
     *,
     gate_on_bursts: bool = False,
 ) -> dict[str, DataFrame]:
-    """Name, judge and reconcile the packages of one batch; returns what was written."""
+    """Name, judge and reconcile the packages of one batch; returns what was written.
+
+    Intermediate tables are deleted at the end.
+    """
     spark = batch.sparkSession
-    batch = store(batch)  # archives are read from the landing folder once
-    names = store(
+    shelf = Shelf(spark)
+    batch = shelf.put(batch)  # archives are read from the landing folder once
+    names = shelf.put(
         name_clients(
             batch.select("subject", "arrived", F.col("path").alias("package")),
             known_clients(spark, out, run),
@@ -76,21 +81,28 @@ def reconcile_batch(
     status.write.mode("overwrite").parquet(f"{out}/status/run={run}")
     status = spark.read.parquet(f"{out}/status/run={run}")
     usable = broadcast_if_small(status.where(F.col("status") == OK).select("client"))
-    lines = store(archive_lines(archives.join(usable, "client", "left_semi")))
+    lines = shelf.put(archive_lines(archives.join(usable, "client", "left_semi")))
     reports = reports_from_lines(lines)
     written = write_results(
         reports["rec"], reports["adj"], reports["rei"], as_of, out,
         run=run, gate_on_bursts=gate_on_bursts,
     )
+    shelf.clear()
     return {**written, "status": status}
 
 
-def known_clients(spark: SparkSession, out: str, run: int) -> DataFrame | None:
-    """Clients named by earlier runs, or nothing before the first."""
-    if run == 0:
+def known_clients(spark: SparkSession, out: str, run: str) -> DataFrame | None:
+    """Clients named by all other runs, or nothing before the first."""
+    if not exists(spark, f"{out}/status"):
         return None
-    status = spark.read.parquet(f"{out}/status")
-    return status.where(F.col("run") < run).select("client")
+    status = spark.read.option("basePath", f"{out}/status").parquet(f"{out}/status/*")
+    return status.where(F.col("run").cast("string") != run).select("client")
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the query that owns a checkpoint; it outlives restarts."""
+    text = spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id"))
+    return text.collect()[0][0]
 
 
 def stream_packages(
@@ -108,13 +120,15 @@ def stream_packages(
 ) -> StreamingQuery:
     """Start the pickup: with ``once`` take what is there and stop, else poll.
 
-    The checkpoint remembers which files were taken. A batch that is repeated
-    after a failure writes the same run again.
+    The checkpoint remembers which files were taken. A run is named by the query
+    and the batch: a batch that is repeated after a failure writes the same run
+    again, and another checkpoint on the same ``out`` writes runs of its own.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         day = as_of() if callable(as_of) else as_of
-        reconcile_batch(batch, out, batch_id, day, gate_on_bursts=gate_on_bursts)
+        run = f"{stream_id(spark, checkpoint)}-{batch_id}"
+        reconcile_batch(batch, out, run, day, gate_on_bursts=gate_on_bursts)
 
     trigger = {"availableNow": True} if once else {"processingTime": every}
     source = arrivals(

@@ -1,9 +1,12 @@
 import io
+import subprocess
+import sys
 import zipfile
+from decimal import Decimal
 
 import pytest
 from conftest import rows
-from golden import ADJ, AS_OF, REC, REI, REPORT, REPORT_COLUMNS
+from golden import ADJ, AS_OF, REC, REI, REPORT, REPORT_COLUMNS, frames
 from pyspark.sql import functions as F
 
 from stockrecon.functions.text import normalize_columns
@@ -86,11 +89,17 @@ def test_ragged_rows_quotes_bytes_null_words_and_column_order(spark, tmp_path):
         "S4,X4,B4,short\n"
         "S5,X5,B5,NULL,n/a,12.0,nan,x\n"
         'S6,X6,B6,"say ""hi""",NEW,-4,,7\n'
+        'S7,X7,B7,"two\nlines, still one",NEW,5,6,12.5\n'
+        "S8,X8,B8,one blank too many,NEW,1,2,3,\n"
+        "S8,X8,B8,three blanks too many,NEW,1,2,3,,,\n"
+        f"S8,X8,B8,far too long,NEW,1,2,3{',' * 30}9\n"
+        'S8,X8,B8,"too\nlong, too",NEW,1,2,3,4\n'
     )
     write_folder(tmp_path, "a", {"r-rec.csv": content})
     write_folder(tmp_path, "b", {"r-rec.csv": "fnsku,extra,sku\nX9,8,S9\n"})
-    got = read_report(spark, f"{tmp_path}/*/*", "rec")
-    assert dict(got.dtypes)["ending_balance"] == "bigint"
+    got = read_report(spark, f"{tmp_path}/*/*", "rec", count_columns=("ending_balance",))
+    types = dict(got.dtypes)
+    assert types["ending_balance"] == "decimal(38,6)" and types["extra"] == "string"
     names = ["client", "sku", "fnsku", "product_name", "condition", "discrepant_quantity",
              "quantity", "ending_balance", "extra"]
     assert rows(got, *names) == sorted([
@@ -98,7 +107,8 @@ def test_ragged_rows_quotes_bytes_null_words_and_column_order(spark, tmp_path):
         ("a", "S4", "X4", "short", None, None, None, None, None),
         ("a", "S5", "X5", None, None, 12, None, None, None),
         ("a", "S6", "X6", 'say "hi"', "NEW", -4, None, 7, None),
-        ("b", "S9", "X9", None, None, None, None, None, 8),
+        ("b", "S9", "X9", None, None, None, None, None, "8"),
+        ("a", "S7", "X7", "two\nlines, still one", "NEW", 5, 6, Decimal("12.5"), None),
     ], key=repr)
 
 
@@ -163,6 +173,65 @@ def test_reports_out_of_archives(spark):
     assert [tuple(r) for r in report.collect()] == REPORT
 
 
+def test_records_of_archives_may_hold_line_breaks(spark):
+    content = zipped({
+        "x_rec.csv": REC_HEAD + ",note\n"
+        'S1,X1,B1,"two\n\nlines ""here""",NEW,-3,1,kept\r\n'
+        "S2,X2,B2,long,NEW,-3,1,n,\n"
+        "S3,X3,B3,short\n",
+        "x_adj.csv": ADJ_HEAD + "\n",
+        "x_rei.csv": REI_HEAD + "\n",
+    })
+    frame = spark.createDataFrame(
+        [("c", "c.zip", bytearray(content))], "client string, archive string, content binary"
+    )
+    got = reports_from_lines(archive_lines(frame))["rec"]
+    assert rows(got, "fnsku", "product_name", "discrepant_quantity", "note") == [
+        ("X1", 'two\n\nlines "here"', -3, "kept"), ("X3", "short", None, None),
+    ]
+
+
+def test_plan_does_not_grow_with_the_number_of_layouts(spark):
+    names = REC_HEAD.split(",")
+    lines = []
+    for i in range(1000):
+        turn = names[i % 7 :] + names[: i % 7]
+        quoted = [f'"{n}"' if (i // 7) >> k & 1 else n for k, n in enumerate(turn)]
+        head = ",".join(quoted + [f"pad-{k}" for k in range(i % 5)])
+        cells = {"fnsku": f"X{i}", "discrepant-quantity": str(i)}
+        line = ",".join(cells.get(n, "t") for n in turn)
+        lines.append(("c", "a", f"f{i}_rec.csv", head, line))
+    assert len({line[3] for line in lines}) == 1000
+
+    def report(data):
+        frame = spark.createDataFrame(
+            data, "client string, archive string, name string, header string, line string"
+        )
+        return reports_from_lines(frame)["rec"]
+
+    many = report(lines)
+    assert rows(many, "fnsku", "discrepant_quantity") == sorted((f"X{i}", i) for i in range(1000))
+    size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString())
+    assert size(many) < 1.5 * size(report(lines[:35]))
+
+
+def test_workers_find_the_package_from_another_folder(tmp_path):
+    root = __file__.rsplit("/tests/", 1)[0]
+    (tmp_path / "job.py").write_text(
+        "import sys; sys.path.insert(0, sys.argv[1])\n"
+        "from pyspark.sql import SparkSession\n"
+        "from stockrecon.sources.archives import archive_members\n"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "f = s.createDataFrame([('c', 'c.zip', bytearray(b'x'))],"
+        " 'client string, archive string, content binary')\n"
+        "print('found', archive_members(f).count())\n"
+    )
+    done = subprocess.run(
+        [sys.executable, "job.py", root], cwd=tmp_path, capture_output=True, text=True, timeout=300
+    )
+    assert "found 1" in done.stdout, done.stderr[-2000:]
+
+
 def test_client_names_from_subjects(spark):
     mail = spark.createDataFrame(
         [
@@ -231,3 +300,53 @@ def test_stream_takes_each_package_once(spark, tmp_path):
     assert all(n == "Acme" or n.startswith("Acme_") for n in names)
     status = rows(spark.read.parquet(f"{out}/status"), "client", "status")
     assert ("Broken", "pack.zip - brocken *.zip") in status and len(status) == 3
+
+
+def folders(path):
+    return sorted(p.name for p in path.glob("*/shelf-*"))
+
+
+def test_two_checkpoints_share_an_output(spark, tmp_path):
+    before = folders(shelf_root(spark))
+    for turn, subject in enumerate(["Acme report", "Other report"]):
+        landing = tmp_path / f"landing{turn}"
+        write_folder(landing, subject, {"pack.zip": ARCHIVES["good"]})
+        query = stream_packages(
+            spark, str(landing), str(tmp_path / "out"), str(tmp_path / f"mark{turn}"),
+            as_of=AS_OF, once=True,
+        )
+        query.awaitTermination()
+        assert query.exception() is None
+    report = spark.read.parquet(str(tmp_path / "out" / "report"))
+    assert {r["client"] for r in report.select("client").distinct().collect()} == {"Acme", "Other"}
+    assert folders(shelf_root(spark)) == before  # nothing stored is left
+
+
+def shelf_root(spark):
+    from pathlib import Path
+
+    from stockrecon.sources.scratch import ensure_checkpoint_dir
+
+    return Path(ensure_checkpoint_dir(spark).removeprefix("file:")).parent
+
+
+def test_taken_files_move_to_the_archive(spark, tmp_path):
+    landing, kept = tmp_path / "landing", tmp_path / "kept"
+    for turn in range(2):
+        write_folder(landing, f"Acme{turn}", {"pack.zip": ARCHIVES["good"]})
+        query = stream_packages(
+            spark, str(landing), str(tmp_path / "out"), str(tmp_path / "mark"),
+            as_of=AS_OF, once=True, archive_to=str(kept),
+        )
+        query.awaitTermination()
+        assert query.exception() is None
+    assert [p.parent.name for p in kept.rglob("*.zip")] == ["Acme0"]
+    assert [p.parent.name for p in landing.rglob("*.zip")] == ["Acme1"]
+
+
+def test_results_of_one_client_without_a_name(spark, tmp_path):
+    inputs = frames(spark)
+    written = write_results(*inputs, AS_OF, str(tmp_path / "out"))
+    got = written["df_rec"].select(*[f"`{c}`" for c in REPORT_COLUMNS])
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(REPORT, key=repr)
+    assert rows(written["outcome"], "outcome") == [("Macros reply - Ok",)]
