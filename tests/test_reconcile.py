@@ -207,3 +207,30 @@ def test_hot_product_is_sliced_without_changing_the_rows(spark):
     assert sliced.count() == 61 * 2 + 2
     wide = product_table(adj, rei, flag_regrades(adj, buckets))
     assert product_rows(many, wide, hot_rows=7).count() == 63 + 1  # X2, X4, placeholder X3
+
+
+def test_further_stock_counts_keep_a_product_in_the_report(spark):
+    """Counts whose name stands before ``asin`` enter the non-zero test; others do not."""
+    rec, adj, rei = frames(spark, "acme")
+    idle = rec.where("fnsku = 'X4'")
+    for name, kept in (("adjusted_count", 1), ("Zone_count", 1), ("balance", 0)):
+        stock = rec.withColumn(name, F.when(F.col("fnsku") == "X4", 5).otherwise(0))
+        report = reconcile(stock, adj, rei, AS_OF)["df_rec"]
+        assert report.where("`00_fnsku` = 'X4'").count() == kept
+    text = rec.withColumn("adjusted_note", F.lit("2024-01-01"))
+    report = reconcile(text, adj, rei, AS_OF)["df_rec"]
+    assert report.where("`00_fnsku` = 'X4'").count() == 0 and idle.count() == 1
+    assert {r["adjusted_note"] for r in report.collect()} == {"2024-01-01", None}
+
+
+def test_stock_quantity_enters_the_damage_balance(spark):
+    rec, adj, rei = frames(spark, "acme")
+    more = rec.withColumn("quantity", F.lit(100).cast("long"))
+    plain, raised = (
+        {(r["00_fnsku"], r["disposition"]): r for r in reconcile(x, adj, rei, AS_OF)["df_rec"].collect()}
+        for x in (rec, more)
+    )
+    for key, row in plain.items():
+        stocked = 0 if key[0] == "X3" else 100
+        assert raised[key]["20_DMG"] == row["20_DMG"] + stocked
+        assert raised[key]["D_Regraded"] == stocked
