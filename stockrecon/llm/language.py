@@ -29,6 +29,9 @@ MAX_GRAMS = 1 << 15
 #: Per language: landmark texts, and further texts for the regression.
 LANDMARKS = 48
 FIT_ROWS = 800
+#: Over all languages: with very many of them, each gets fewer, but one at least.
+ALL_LANDMARKS = 1_024
+ALL_FIT_ROWS = 16_000
 RIDGE = 1e-3
 _POINTS = 1 << 19
 
@@ -127,7 +130,8 @@ def fit(
 ) -> KernelModel:
     """Fit on at most ``landmarks + fit_rows`` documents per language where ``training`` holds.
 
-    They are picked by a hash of the id among rows with id, text and language.
+    They are picked by a hash of the id among rows with id, text and language;
+    ``ALL_LANDMARKS`` and ``ALL_FIT_ROWS`` bound them over all languages.
     Texts are reduced to n-gram sets and kernel rows on the executors; the driver
     gets those of the bounded sample. Without any such row the model knows no
     language.
@@ -141,6 +145,8 @@ def fit(
     languages = sorted(r[0] for r in rows.select("lang").distinct().collect())
     if not languages:
         return KernelModel((), np.zeros(1 << HASH_BITS, np.int32), np.zeros((0, 0)), np.zeros(0))
+    landmarks = max(1, min(landmarks, ALL_LANDMARKS // len(languages)))
+    fit_rows = max(1, min(fit_rows, ALL_FIT_ROWS // len(languages)))
     ids = _picked(rows.select("id", "lang"), languages, landmarks + fit_rows, seed)
     shelf = Shelf(spark)
     sample = shelf.put(rows.join(F.broadcast(ids), ["id", "lang"]))  # bounded above
