@@ -4,7 +4,8 @@ Every dimension is a list of the candidates sorted by their component. A query
 reads its lists from the end that adds most, some rows deeper each time. What was
 read gives every candidate a lower and an upper bound of its score; candidates
 whose upper bound is under the k-th lower bound are out. Reading stops when few
-are left, and only those get their final score.
+are left, and only those get their final score. The bounds of a batch of queries
+are matrix products: what was read at a depth is the same for all of them.
 """
 
 from __future__ import annotations
@@ -22,7 +23,12 @@ from stockrecon.sources.shipping import ship_package
 #: Candidates and queries that meet in one task.
 CANDIDATE_BLOCK = 8_192
 QUERY_BLOCK = 2_048
-_DEPTHS = (1 / 16, 1 / 8, 1 / 4, 1 / 2, 1)
+#: Share of each list that has been read after each step.
+DEPTHS = (1 / 16, 1 / 4, 1 / 2, 1)
+#: Queries whose bounds are computed together.
+BATCH = 128
+#: Sums below this are exact in double precision, in which bounds are computed.
+_EXACT = 2.0**52
 
 
 class SortedLists:
@@ -33,32 +39,61 @@ class SortedLists:
         order = np.argsort(vectors, axis=0, kind="stable")
         self.place = np.empty_like(order, np.int32)
         np.put_along_axis(self.place, order, np.arange(len(ids))[:, None], axis=0)
-        self.sorted = np.take_along_axis(vectors, order, axis=0)
-
-    def top(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the best ``k``, more scores first, then smaller ids."""
-        n = len(self.ids)
-        alive = np.flatnonzero(self.ids != own)
-        last = np.arange(len(query))
-        best_end = np.where(query >= 0, self.sorted[-1], self.sorted[0]) * query
-        worst = np.where(query >= 0, self.sorted[0], self.sorted[-1]) * query
-        for share in _DEPTHS:
-            if len(alive) <= 4 * k:
-                break
+        self.sorted = np.take_along_axis(vectors, order, axis=0).astype(np.float64)
+        self.layers: dict[float, tuple] = {}
+
+    def _layer(self, share: float) -> tuple:
+        """What is read of both ends of all lists at a depth, as one matrix; the two edges."""
+        if share not in self.layers:
+            n = len(self.ids)
             depth = math.ceil(share * n)
-            # Where the reading of each list stands, and what an unread entry adds at most.
-            edge = np.where(query >= 0, n - depth, depth - 1)
-            most = np.minimum(self.sorted[edge, last] * query, best_end)
-            place = self.place[alive]
-            read = np.where(query >= 0, place >= edge, place <= edge)
-            parts = self.vectors[alive] * query
-            low = np.where(read, parts, worst).sum(axis=1)
-            high = np.where(read, parts, most).sum(axis=1)
-            bar = np.partition(low, len(low) - k)[len(low) - k]
-            alive = alive[high >= bar]
-        score = self.vectors[alive] @ query
-        best = np.lexsort((self.ids[alive], -score))[:k]
-        return self.ids[alive[best]], score[best]
+            top, bottom = self.place >= n - depth, self.place < depth
+            table = np.concatenate(
+                (self.vectors * top, self.vectors * bottom, ~top, ~bottom), axis=1
+            )
+            self.layers[share] = (
+                np.ascontiguousarray(table.T, np.float64),
+                self.sorted[n - depth], self.sorted[depth - 1],
+            )
+        return self.layers[share]
+
+    def _alive(self, own: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
+        """Queries by candidates: who can still be among the best ``k``."""
+        alive = self.ids[None, :] != own[:, None]
+        size = np.abs(self.sorted).max(initial=0) * np.abs(queries).max(initial=0)
+        if size * max(1, queries.shape[1]) >= _EXACT:
+            return alive
+        up, down = np.maximum(queries, 0.0), np.minimum(queries, 0.0)
+        for share in DEPTHS:
+            open_ = np.flatnonzero(alive.sum(axis=1) > 4 * k)
+            if not len(open_):
+                break
+            table, top_edge, bottom_edge = self._layer(share)
+            u, d = up[open_], down[open_]
+            # An unread entry adds at most its list's edge, at least its list's far end.
+            most = np.concatenate((u, d, u * top_edge, d * bottom_edge), axis=1) @ table
+            least = np.concatenate(
+                (u, d, u * self.sorted[0], d * self.sorted[-1]), axis=1
+            ) @ table
+            least[~alive[open_]] = -np.inf
+            n = least.shape[1]
+            bar = np.partition(least, n - k, axis=1)[:, n - k]
+            alive[open_] &= most >= bar[:, None]
+        return alive
+
+    def top(
+        self, own: np.ndarray, queries: np.ndarray, k: int
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query, ids and scores of the best ``k``, equal scores by smaller id."""
+        found = []
+        for at in range(0, len(own), BATCH):
+            part = queries[at : at + BATCH]
+            for query, alive in zip(part, self._alive(own[at : at + BATCH], part, k)):
+                left = np.flatnonzero(alive)
+                score = self.vectors[left] @ query
+                best = np.lexsort((self.ids[left], -score))[:k]
+                found.append((self.ids[left[best]], score[best]))
+        return found
 
 
 def _scaled(vector: str, factor: int):
@@ -131,14 +166,11 @@ def top_k(
             )
             lists = SortedLists(mine.column("id").to_numpy(), _matrix(mine.column("v"), width))
             asked_ids = theirs.column("id").to_numpy()
-            pairs = [
-                (own, *lists.top(own, query, k))
-                for own, query in zip(asked_ids, _matrix(theirs.column("v"), width))
-            ]
+            tops = lists.top(asked_ids, _matrix(theirs.column("v"), width), k)
             found = [
-                np.concatenate([np.full(len(ids), own, np.int64) for own, ids, _ in pairs]),
-                np.concatenate([ids for _, ids, _ in pairs]),
-                np.concatenate([scores for _, _, scores in pairs]),
+                np.repeat(asked_ids, [len(ids) for ids, _ in tops]),
+                np.concatenate([ids for ids, _ in tops]),
+                np.concatenate([scores for _, scores in tops]),
             ]
         return pa.table(
             [pa.array(c, pa.int64()) for c in found], names=["query_id", "vec_id", "score"]

@@ -49,13 +49,21 @@ def test_empty_tables(spark):
     assert top_k(some, some).count() == 0
 
 
+def test_scores_beyond_double_precision():
+    vectors = np.array([[2**30, 1], [2**30, 0], [2**30, 2]] * 20)
+    lists = SortedLists(np.arange(60), vectors)
+    ((ids, scores),) = lists.top(np.array([2]), np.array([[2**30, 1]]), 3)
+    assert list(ids) == [5, 8, 11] and set(scores) == {2**60 + 2}
+
+
 def test_lists_drop_most_candidates_before_scoring():
     rng = np.random.default_rng(1)
     vectors = rng.integers(-1000, 1000, (4000, 4))
     vectors[:20] *= 5
     lists = SortedLists(np.arange(4000), vectors)
     query = np.array([900, -800, 0, 700])
-    ids, scores = lists.top(-1, query, 10)
+    ((ids, scores),) = lists.top(np.array([-1]), query[None, :], 10)
+    assert lists._alive(np.array([-1]), query[None, :], 10).sum() < 400
     exact = vectors @ query
     best = np.lexsort((np.arange(4000), -exact))[:10]
     assert list(ids) == list(best) and list(scores) == list(exact[best])
