@@ -1,8 +1,8 @@
-"""Text helpers: client keys, report kinds, movement cases, column names."""
+"""Text helpers: client keys, report kinds, movement cases."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stockrecon.domain import BAD_STATES, NO_SUBJECT, OPPOSITE_REASON
@@ -33,8 +33,3 @@ def rule_keys() -> list[str]:
 def file_kind_matches(file_name: Column, kind: str) -> Column:
     """Whether a report file name announces ``kind`` after a separator."""
     return F.lower(file_name).rlike(rf"[ _-]{kind}.*\.csv")
-
-
-def normalize_columns(df: DataFrame) -> DataFrame:
-    """Dashes in column names become underscores."""
-    return df.toDF(*[c.replace("-", "_") for c in df.columns])

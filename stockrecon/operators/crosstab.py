@@ -32,7 +32,10 @@ def present_states(adj: DataFrame) -> list[str]:
     limit = int(adj.sparkSession.conf.get("spark.sql.pivotMaxValues"))
     found = [r[0] for r in states.limit(limit + 1).collect()]
     if len(found) > limit:
-        raise ValueError(f"more than {limit} stock states to show as columns")
+        raise ValueError(
+            f"more than {limit} stock states to show as columns;"
+            " crosstab_margins gives them as rows, however many"
+        )
     return sorted(found)
 
 

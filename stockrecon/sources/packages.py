@@ -10,14 +10,6 @@ from stockrecon.functions.text import client_key, file_kind_matches, repeat_suff
 from stockrecon.operators.skew import slice_for_join
 
 
-def classify_reports(files: DataFrame) -> DataFrame:
-    """One row per file and report kind its ``name`` announces."""
-    kinds = F.array_compact(
-        F.array(*[F.when(file_kind_matches(F.col("name"), k), F.lit(k)) for k in REPORT_KINDS])
-    )
-    return files.withColumn("kind", F.explode(kinds))
-
-
 def kinds_found(files: DataFrame, by: list[str]) -> DataFrame:
     """Per package, how many files announce each kind."""
     return files.groupBy(*by).agg(

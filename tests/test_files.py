@@ -9,7 +9,6 @@ from conftest import rows
 from golden import ADJ, AS_OF, REC, REI, REPORT, REPORT_COLUMNS, frames
 from pyspark.sql import functions as F
 
-from stockrecon.functions.text import normalize_columns
 from stockrecon.plans.reconcile import reconcile
 from stockrecon.sources import reports as csv_reports
 from stockrecon.sources.archives import (
@@ -120,10 +119,6 @@ def test_known_columns_skip_the_header_pass(spark, tmp_path, monkeypatch):
     assert rows(fast) == rows(slow) and fast.count() == len(ADJ)
 
 
-def test_dashes_in_column_names(spark):
-    assert normalize_columns(spark.createDataFrame([(1, 2)], ["a-b-c", "d"])).columns == ["a_b_c", "d"]
-
-
 BAD_CRC = bytearray(zipped(package_files()))
 BAD_CRC[80] ^= 0xFF
 
