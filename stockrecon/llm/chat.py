@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 HEAD, ROLE_END, PART, END = "### ", ": ", "<part/>", "</turn>\n"
 LEARNED_ROLE = "assistant"
+#: Turns whose places are added up together, so that long conversations take linear time.
+CHUNK = 256
 
 
 def escape(text: Column) -> Column:
@@ -40,6 +42,14 @@ def _unescape_role(role: Column) -> Column:
     return role
 
 
+def _chunks(items: Column, size: Column) -> Column:
+    """Consecutive parts of an array; an empty array has one empty part."""
+    last = F.greatest(F.floor((F.size(items) - 1) / size), F.lit(0)).cast("int")
+    return F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.slice(items, i * size + 1, size)
+    )
+
+
 def format_chats(
     turns: DataFrame, *, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
     text_col: str = "text", learned: str = LEARNED_ROLE,
@@ -86,14 +96,35 @@ def format_chats(
         )
 
     none = F.expr("cast(array() as array<struct<start:int,length:int>>)")
+    zero = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+
+    def later(state: Column, part: Column) -> Column:
+        one = F.array(F.struct(state["at"].alias("base"), part["spans"].alias("spans")))
+        return F.struct(
+            (state["at"] + part["at"]).alias("at"), F.concat(state["parts"], one).alias("parts")
+        )
+
+    parts = F.transform(_chunks(F.col("m"), F.lit(CHUNK)), lambda c: F.aggregate(c, zero, span))
+    no_parts = F.expr(
+        "cast(array() as array<struct<base:int,spans:array<struct<start:int,length:int>>>>)"
+    )
+    placed = F.aggregate(
+        parts, F.struct(F.lit(0).alias("at"), no_parts.alias("parts")), later,
+        lambda s: s["parts"],
+    )
+    spans = F.transform(
+        placed,
+        lambda part: F.transform(
+            part["spans"],
+            lambda s: F.struct((s["start"] + part["base"]).alias("start"), s["length"]),
+        ),
+    )
     return chats.select("conv_id", F.transform("turns", marked).alias("m")).select(
         "conv_id",
         F.array_join(
             F.transform("m", lambda x: F.concat(x["lead"], x["body"], x["tail"])), ""
         ).alias("formatted"),
-        F.aggregate(
-            "m", F.struct(F.lit(0).alias("at"), none.alias("spans")), span, lambda s: s["spans"]
-        ).alias("loss_spans"),
+        F.flatten(spans).alias("loss_spans"),
     )
 
 
@@ -114,10 +145,28 @@ def read_turns(formatted: Column) -> Column:
 
 
 def learned_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(
-        F.transform(
-            spans, lambda s: unescape(F.substr(formatted, s["start"] + 1, s["length"]))
-        ),
-        "",
-    )
+    """All text under the loss mask, unescaped, nothing between.
+
+    Spans are cut out of the part of the text that a chunk of them covers, since
+    finding a place in a text takes as long as the text before it.
+    """
+
+    def text_of(chunk: Column) -> Column:
+        first, last = F.get(chunk, F.lit(0)), F.get(chunk, F.size(chunk) - 1)
+        start = first["start"]
+        part = F.substr(formatted, start + 1, last["start"] + last["length"] - start)
+        return F.get(
+            F.transform(
+                F.array(part),
+                lambda p: F.array_join(
+                    F.transform(
+                        chunk, lambda s: unescape(F.substr(p, s["start"] - start + 1, s["length"]))
+                    ),
+                    "",
+                ),
+            ),
+            F.lit(0),
+        )
+
+    size = F.greatest(F.ceil(F.sqrt(F.size(spans))), F.lit(CHUNK)).cast("int")
+    return F.array_join(F.transform(_chunks(spans, size), text_of), "")

@@ -47,3 +47,22 @@ def test_long_conversation(spark):
     found = read(spark, rows)[1]
     assert len(found.turns) == 3_000
     assert found.learned == "".join(r[3] for r in rows if r[2] == "assistant")
+
+
+def test_long_conversation_reads_back(spark):
+    """More turns than are added up together, alternating and merged, some of them empty."""
+    n = 3 * chat.CHUNK + 5
+    rows = [
+        (1, i, "assistant" if i % 3 else "user", "" if i % 7 == 0 else f"ä{i} ## </turn>\n")
+        for i in range(n)
+    ]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.format_chats(table)
+    row = out.select(
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.learned_text(F.col("formatted"), F.col("loss_spans")).alias("learned"),
+        F.size("loss_spans").alias("spans"),
+    ).collect()[0]
+    assert [(t.role, t.text) for t in row.turns] == [(r[2], r[3]) for r in rows]
+    mine = [r[3] for r in rows if r[2] == "assistant"]
+    assert row.learned == "".join(mine) and row.spans == len(mine)

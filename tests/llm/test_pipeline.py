@@ -83,3 +83,34 @@ def test_odd_documents_pass_every_stage(spark, folder):
             out = stage(spark, docs, folder)
             assert name == corpus_pipeline.STAGES[-1][0] or out.columns == columns
             assert docs.limit(1).count() == 0 or out.count() > 0
+
+
+def test_missing_and_repeated_ids_lose_no_text(spark, folder):
+    """Rows are told apart where ids do not: every text stays once, whatever its id."""
+    base = "completely different words stand in text number"
+    texts = [f"{base} {i} " + " ".join(f"w{i}x{j}" for j in range(40)) for i in range(6)]
+    rows = [
+        (None, texts[0]), (None, texts[1]), (None, texts[1].upper()), (5, texts[1]),
+        (7, texts[2]), (7, texts[3]), (7, texts[3]), (8, texts[4]), (9, texts[4]),
+        (None, texts[5]), (None, texts[5]),
+    ]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "a", 0) for i, t in rows],
+        "doc_id long, text string, lang string, source string, row_number long",
+    )
+    want = sorted(
+        [(None, texts[0]), (5, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[4]),
+         (None, texts[5])], key=repr,
+    )
+    stage = dict(corpus_pipeline.STAGES)
+    single = stage["exact dedup"](spark, docs, folder)
+    assert single.columns == docs.columns
+    assert sorted([(r.doc_id, r.text) for r in single.collect()], key=repr) == want
+    near = stage["near dedup"](spark, single, folder)
+    assert near.columns == docs.columns
+    assert sorted([(r.doc_id, r.text) for r in near.collect()], key=repr) == want
+    first = stage["near dedup"](spark, docs, folder)
+    ids = sorted([(r.doc_id, r.text) for r in first.collect()], key=repr)
+    kept = sorted([(None, texts[0]), (5, texts[1]), (7, texts[2]), (7, texts[3]),
+                   (8, texts[4]), (None, texts[5])], key=repr)
+    assert [i for i, _ in ids] == [i for i, _ in kept]
