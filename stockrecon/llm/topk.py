@@ -22,7 +22,7 @@ from stockrecon.sources.shipping import ship_package
 
 #: Candidates and queries that meet in one task.
 CANDIDATE_BLOCK = 8_192
-QUERY_BLOCK = 2_048
+QUERY_BLOCK = 16_384
 #: Share of each list that has been read after each step.
 DEPTHS = (1 / 16, 1 / 4, 1 / 2, 1)
 #: Queries whose bounds are computed together.
