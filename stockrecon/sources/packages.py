@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockrecon.domain import REPORT_KINDS
 from stockrecon.functions.text import client_key, file_kind_matches, repeat_suffix
-from stockrecon.operators.skew import slice_for_join
+from stockrecon.sources.scratch import store
 
 
 def kinds_found(files: DataFrame, by: list[str]) -> DataFrame:
@@ -50,12 +52,19 @@ def allowed_only(packages: DataFrame, senders: DataFrame) -> DataFrame:
     return packages.join(allowed, "sender", "left_semi")
 
 
-def name_clients(packages: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+def name_clients(
+    packages: DataFrame,
+    seen: DataFrame | None = None,
+    keep: Callable[[DataFrame], DataFrame] = store,
+) -> DataFrame:
     """Add ``client`` from ``subject``; a repeated name gets its arrival time appended.
 
     ``packages`` needs ``subject``, ``arrived`` and a unique ``package``; ``seen``
     lists ``client`` names already in use. The first arrival of a new name keeps
-    it plain. Packages of one name in one second are numbered.
+    it plain. Packages of one name in one second are numbered. First arrivals are
+    stored by ``keep``, so packages are read once for them and once for the names;
+    both sides of the join come straight from their shuffle and Spark splits a
+    frequent name.
     """
     keyed = packages.withColumn("key", client_key(F.col("subject")))
     first = keyed.groupBy("key").agg(
@@ -66,8 +75,7 @@ def name_clients(packages: DataFrame, seen: DataFrame | None = None) -> DataFram
     else:
         used = seen.select(F.col("client").alias("key")).distinct().withColumn("known", F.lit(True))
         first = first.join(used, "key", "left").fillna(False, subset=["known"])
-    keyed, first = slice_for_join(keyed, first, ["key"])
-    keyed = keyed.join(first, ["key", "slice"])
+    keyed = keyed.join(keep(first), "key")
     plain = ~F.col("known") & (F.col("package") == F.col("first.package"))
     named = keyed.withColumn("again", F.when(~plain, repeat_suffix(F.col("arrived"))))
     same_second = Window.partitionBy("key", "again").orderBy("arrived", "package")

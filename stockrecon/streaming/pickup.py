@@ -73,6 +73,7 @@ def reconcile_batch(
         name_clients(
             batch.select("subject", "arrived", F.col("path").alias("package")),
             known_clients(spark, out, run),
+            keep=shelf.put,
         )
     )
     named = broadcast_if_small(names.select(F.col("package").alias("path"), "client"))
