@@ -14,10 +14,13 @@ from stockrecon.llm import (
     chat,
     exact_dedup,
     language,
+    lexical,
     line_dedup,
     mixing,
     quality,
+    repeats,
     simhash,
+    spelling,
     topk,
     url_filter,
 )
@@ -141,6 +144,29 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lexical.rank_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda total, s: total + s["past"] - s["first"]
+    )
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -153,6 +179,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_quality": op9_quality,
         "op10_top_k": op10_top_k,
+        "op11_spelling": op11_spelling,
+        "op12_lexical": op12_lexical,
+        "op13_repeats": op13_repeats,
     }
 
 

@@ -146,4 +146,28 @@ TWINS = {
             ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM s QUALIFY rank <= 10
     """,
+    "op12_lexical": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+        c AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(len(terms)) AS BIGINT) AS big_l
+              FROM d WHERE len(terms) > 0),
+        q AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        t AS (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d),
+        f AS (SELECT doc_id, n, term, count(*) AS tf FROM t
+              WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+        w AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+              FROM f, c GROUP BY term, big_n),
+        s AS (
+            SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf)
+                // (1000 * tf + 8 * (10 + (90 * n * big_n) // big_l)))) AS BIGINT) AS score
+            FROM q JOIN f USING (term) JOIN w USING (term), c GROUP BY item_id, doc_id)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id
+            ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM s WHERE score > 0 QUALIFY rank <= 10
+    """,
 }
