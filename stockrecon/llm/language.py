@@ -1,7 +1,8 @@
 """Language by string kernels.
 
 Two texts are as alike as the n-grams both contain, for all lengths up to three
-(a blended spectrum of presence), scaled by how many each contains. Landmark texts
+(a blended spectrum of presence), scaled by how many each contains. N-grams are told
+apart by a hash of ``HASH_BITS`` bits, which belongs to the kernel. Landmark texts
 span the space (Nyström), ridge regression separates every language from the
 rest, and a batch of texts is scored by one matrix product.
 """
@@ -23,9 +24,7 @@ from stockrecon.sources.shipping import ship_package
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
-#: Bits of an n-gram's hash, and the n-grams of the landmarks that count, most common first.
 HASH_BITS = 20
-MAX_GRAMS = 1 << 15
 #: Per language: landmark texts, and further texts for the regression.
 LANDMARKS = 48
 FIT_ROWS = 800
@@ -53,66 +52,101 @@ def _letters() -> np.ndarray:
     )
 
 
-def _grams(texts: list[str]):
-    """Hashed n-grams of each text, in portions: (text numbers, hashes, has letters)."""
-    group: list[tuple[int, str]] = []
+def _grams(texts: list[str], points_at_once: int = _POINTS):
+    """Hashed n-grams of each text, in portions: (text numbers, hashes, has letters).
+
+    A text ends in one blank. Long texts are cut; an n-gram is counted to the part it
+    begins in, and parts overlap so that each is seen once, as if there were no cut.
+    """
+    group: list[tuple[int, str, int]] = []
     size = 0
     reach = max(ORDERS) - 1
 
     def portion():
-        joined = "".join(part + " " * (reach + 1) for _, part in group)
-        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        points = np.frombuffer(
+            "".join(part for _, part, _ in group).encode("utf-32-le", "surrogatepass"), np.uint32
+        )
         letters = _letters()[points]
         points = np.where(letters, points, np.uint32(32)).astype(np.uint64)
-        owner = np.repeat(
-            np.array([k for k, _ in group]), [len(part) + reach + 1 for _, part in group]
-        )
+        sizes = np.array([len(part) for _, part, _ in group])
+        owner = np.repeat(np.array([k for k, _, _ in group]), sizes)
+        place = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        begins = np.repeat(np.array([last for _, _, last in group]), sizes)
+        left = np.repeat(sizes, sizes) - place
         code = np.zeros(len(points), np.uint64)
         owners, hashes = [], []
         for order in ORDERS:
             shifted = points[order - 1 :]
             code = code[: len(shifted)] * np.uint64(0x9E3779B97F4A7C15) + shifted + np.uint64(1)
             mixed = (code ^ (code >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            hashes.append((mixed >> np.uint64(64 - HASH_BITS)).astype(np.int64))
-            owners.append(owner[: len(shifted)])
+            n = len(shifted)
+            inside = (left[:n] >= order) & (place[:n] < begins[:n])
+            hashes.append((mixed >> np.uint64(64 - HASH_BITS)).astype(np.int64)[inside])
+            owners.append(owner[:n][inside])
         return np.concatenate(owners), np.concatenate(hashes), np.unique(owner[letters])
 
     for k, text in enumerate(texts):
-        text = text.lower()
-        for at in range(0, max(len(text), 1), _POINTS):
-            part = text[at : at + _POINTS + reach]
-            group.append((k, part))
+        text = text.lower() + " "
+        for at in range(0, len(text), points_at_once):
+            # N-grams begin in the first ``points_at_once`` places; the rest only ends them.
+            part = text[at : at + points_at_once + reach]
+            group.append((k, part, points_at_once))
             size += len(part)
-            if size >= _POINTS:
+            if size >= points_at_once:
                 yield portion()
                 group, size = [], 0
     if group:
         yield portion()
 
 
+class Presence:
+    """Which n-grams the texts of a batch have; one workspace for all batches."""
+
+    def __init__(self, slots: np.ndarray, width: int):
+        self.slots, self.width = slots, width
+        self.rows = max(1, min(32, (1 << 23) // max(width, 1)))
+        self.seen = np.zeros((self.rows, 1 << HASH_BITS), bool)
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For at most ``rows`` texts: known n-grams (0 or 1), root of all, has letters."""
+        table = np.zeros((len(texts), self.width + 1), np.float32)
+        lettered = np.zeros(len(texts), bool)
+        found = list(_grams(texts))
+        for owner, hashes, with_letters in found:
+            self.seen[owner, hashes] = True
+            table[owner, self.slots[hashes]] = 1  # unknown n-grams fall into the last column
+            lettered[with_letters] = True
+        many = np.count_nonzero(self.seen[: len(texts)], axis=1)
+        for owner, hashes, _ in found:
+            self.seen[owner, hashes] = False
+        return table[:, : self.width], np.sqrt(np.maximum(many, 1))[:, None], lettered
+
+    def batches(self, texts: list[str]):
+        for lo in range(0, len(texts), self.rows):
+            yield lo, self.of(texts[lo : lo + self.rows])
+
+
 def gram_sets(texts: list[str]) -> list[np.ndarray]:
     """The distinct hashed n-grams of each text."""
-    found = [np.empty(0, np.int64) for _ in texts]
-    for owner, hashes, _ in _grams(texts):
-        pairs = np.unique(owner << HASH_BITS | hashes)
-        for k in np.unique(owner):
-            mine = pairs[(pairs >> HASH_BITS) == k] & ((1 << HASH_BITS) - 1)
-            found[k] = np.union1d(found[k], mine)
-    return found
+    out = []
+    for text in texts:
+        parts = [np.unique(hashes) for _, hashes, _ in _grams([text])]
+        out.append(np.unique(np.concatenate(parts)))
+    return out
 
 
-def presence(texts: list[str], slots: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which known n-grams each text has (0 or 1), and whether it has letters."""
-    table = np.zeros((len(texts), width + 1), np.float32)
-    lettered = np.zeros(len(texts), bool)
-    for owner, hashes, with_letters in _grams(texts):
-        table[owner, slots[hashes]] = 1  # unknown n-grams fall into the last column
-        lettered[with_letters] = True
-    return table[:, :width], lettered
+#: Columns of the landmarks' table that are unpacked at once.
+_COLUMNS = 1 << 14
 
 
-def _norm(table: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(table.sum(axis=1, keepdims=True), 1))
+def shared_grams(has: np.ndarray, packed: np.ndarray) -> np.ndarray:
+    """How many n-grams each row of ``has`` shares with every landmark (rows of bits)."""
+    out = np.zeros((len(has), len(packed)))
+    for lo in range(0, has.shape[1], _COLUMNS):
+        bits = np.unpackbits(packed[:, lo // 8 : (lo + _COLUMNS) // 8], axis=1)
+        part = has[:, lo : lo + _COLUMNS]
+        out += part @ bits[:, : part.shape[1]].T.astype(np.float32)
+    return out
 
 
 def _picked(known: DataFrame, languages: list[str], rows: int, seed: int) -> DataFrame:
@@ -165,29 +199,33 @@ def fit(
         for r in marked.orderBy("id").select("text")
         .mapInArrow(reduce_texts, "grams array<bigint>").collect()
     ]
-    grams, counts = np.unique(np.concatenate(sets), return_counts=True)
-    grams = grams[np.argsort(-counts, kind="stable")[:MAX_GRAMS]]
-    width = len(grams)
+    grams = np.unique(np.concatenate(sets))
+    width = len(grams)  # bounded by the landmarks, and by the hash
     slots = np.full(1 << HASH_BITS, width, np.int32)
     slots[grams] = np.arange(width)
-    table = np.zeros((len(sets), width + 1), np.float32)
+    packed = np.zeros((len(sets), -(-width // 8)), np.uint8)
     for k, own in enumerate(sets):
-        table[k, slots[own]] = 1
-    table = table[:, :width] / _norm(table[:, :width])
-    values, vectors = np.linalg.eigh(table.astype(np.float64) @ table.T)
+        row = np.zeros(width, bool)
+        row[slots[own]] = True
+        packed[k] = np.packbits(row)
+    norm = np.sqrt(np.array([len(own) for own in sets], np.float64))
+    shared = np.concatenate(
+        [shared_grams(np.unpackbits(row[None], axis=1, count=width).astype(np.float32), packed)
+         for row in packed]
+    )
+    values, vectors = np.linalg.eigh(shared / norm[:, None] / norm)
     big = values > 1e-8 * values[-1]
-    whiten = vectors[:, big] / np.sqrt(values[big])
-    project = spark.sparkContext.broadcast((slots, table.T @ whiten))  # bounded by MAX_GRAMS
+    whiten = vectors[:, big] / np.sqrt(values[big]) / norm[:, None]
+    project = spark.sparkContext.broadcast((slots, packed, whiten))  # bounded by the landmarks
 
     def kernel_rows(batches):
-        known, basis = project.value
+        known, marks, basis = project.value
+        presence = Presence(known, width)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for lo in range(0, len(texts), 128):
-                has, _ = presence(texts[lo : lo + 128], known, len(basis))
-                z = has @ basis / _norm(has)
+            for lo, (has, root, _) in presence.batches(batch.column(1).to_pylist()):
+                z = shared_grams(has, marks) @ basis / root
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, 128),
+                    [batch.column(0).slice(lo, len(z)),
                      pa.array(list(z), pa.list_(pa.float64()))], names=["lang", "z"],
                 )
 
@@ -202,8 +240,12 @@ def fit(
     penalty = RIDGE * len(z) * np.eye(z.shape[1])
     penalty[-1, -1] = 0
     beta = np.linalg.solve(z.T @ z + penalty, z.T @ wanted)
-    weights = (table.T @ whiten @ beta[:-1]).astype(np.float32)
-    return KernelModel(tuple(languages), slots, weights, beta[-1])
+    combined = whiten @ beta[:-1]
+    weights = np.concatenate(
+        [np.unpackbits(packed[:, lo : lo + _COLUMNS // 8], axis=1).T @ combined
+         for lo in range(0, packed.shape[1], _COLUMNS // 8)]
+    )[:width]
+    return KernelModel(tuple(languages), slots, weights.astype(np.float32), beta[-1])
 
 
 def identify(
@@ -216,26 +258,25 @@ def identify(
     order. Repeated rows keep a row each; other columns are not read.
     """
     ship_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_GRAMS
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the landmarks
 
     def run(batches):
         m = shared.value
         names = np.array([*m.languages, UNKNOWN], object)
+        presence = Presence(m.slots, len(m.weights))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for lo in range(0, len(texts), 128):
-                part = texts[lo : lo + 128]
-                best = np.full(len(part), len(m.languages))
-                score = np.zeros(len(part))
+            for lo, (has, root, lettered) in presence.batches(texts):
+                best = np.full(len(has), len(m.languages))
+                score = np.zeros(len(has))
                 if m.languages:
-                    has, lettered = presence(part, m.slots, len(m.weights))
-                    margin = (has @ m.weights / _norm(has) + m.offsets).astype(np.float64)
+                    margin = (has @ m.weights / root + m.offsets).astype(np.float64)
                     odds = np.exp(4 * (margin - margin.max(axis=1, keepdims=True)))
                     odds /= odds.sum(axis=1, keepdims=True)
                     best = np.where(lettered, odds.argmax(axis=1), best)
                     score = np.where(lettered, odds.max(axis=1), 0.0)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, 128), pa.array(names[best], pa.string()),
+                    [batch.column(0).slice(lo, len(has)), pa.array(names[best], pa.string()),
                      pa.array(score, pa.float64())],
                     names=["doc_id", "lang_pred", "score"],
                 )

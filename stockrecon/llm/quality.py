@@ -82,7 +82,12 @@ def _isotonic(
 
 
 def _dictionary(pieces: list[bytes]) -> bytes:
-    """Trained dictionary, or the plain text where there is too little to train on."""
+    """Trained dictionary.
+
+    Where there is too little text to train on, zstandard gives none; the text itself, up
+    to the size of a dictionary, then serves as a raw one. This concerns the fit alone:
+    every text is scored as a whole in either case.
+    """
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, pieces).as_bytes()
     except zstandard.ZstdError:
@@ -96,7 +101,8 @@ def fit(
     """Fit on at most ``2 * fit_rows`` labelled documents per class, picked by a hash of the id.
 
     Half of them give whole texts, cut to pieces, to the dictionaries; the other
-    half, with the class shares of all ``labels``, calibrates. Rows with a null id
+    half, with the class shares of all ``labels``, calibrates. Each dictionary is
+    built from at most ``FIT_PIECES`` pieces, picked by their hash. Rows with a null id
     or label are left out; a class without any text leaves a model that scores
     every text with the share of the labels.
     """

@@ -56,7 +56,9 @@ def ranks_path() -> str:
 
 
 def crc_class(modulus: int):
-    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus))
+    """Fold of a row by its id; -1, which is no fold, where there is no id."""
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus))
+    return F.coalesce(fold, F.lit(-1).cast("long"))
 
 
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.CompressionModel:

@@ -130,7 +130,9 @@ def top_k(
     rows. Vectors that are null or hold a null or non-finite component take no
     part, shorter vectors are filled up with zeros, a repeated row is a candidate
     of its own, and of a repeated query id the greatest vector is asked. Scores
-    must fit a long.
+    must fit a long. Where the largest possible score of a block passes 2^52, bounds in
+    double precision would not be exact: its lists are then read to the end, and every
+    candidate gets its final score.
     """
     spark = vectors.sparkSession
     ship_package(spark)

@@ -1,5 +1,7 @@
 """DuckDB SQL with the same results as the queries that SQL can express."""
 
+from stockrecon.llm.url_filter import PUBLIC_SUFFIXES
+
 _LOWER = (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 )
@@ -46,14 +48,19 @@ _RULED = """
                        WHEN rule IS NOT NULL THEN 0 END AS good FROM j),
     h AS (
         SELECT host, count(good) AS n, coalesce(sum(good), 0) AS good,
-            array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain,
-            string_split(host, '.')[-1] AS suffix
-        FROM g GROUP BY host),
+            CASE WHEN two IN TWO_LABELS
+                 THEN array_to_string(list_slice(string_split(name, '.'), -3, -1), '.')
+                 ELSE two END AS domain,
+            CASE WHEN two IN TWO_LABELS THEN two ELSE string_split(name, '.')[-1] END AS suffix
+        FROM (SELECT *, regexp_replace(host, ':[0-9]*$', '') AS name,
+                array_to_string(list_slice(string_split(
+                    regexp_replace(host, ':[0-9]*$', ''), '.'), -2, -1), '.') AS two
+              FROM g) GROUP BY host, name, two),
     d AS (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM h GROUP BY ALL),
     s AS (SELECT suffix, sum(n) AS n, sum(good) AS good FROM d GROUP BY ALL),
     w AS (SELECT (coalesce(sum(good), 0) + 1) / (coalesce(sum(n), 0) + 2) AS m,
                  coalesce(sum(n), 0) AS above_n FROM s),
-"""
+""".replace("TWO_LABELS", str(PUBLIC_SUFFIXES))
 
 
 def _strength(groups: str) -> str:
@@ -116,21 +123,22 @@ TWINS = {
         FROM g JOIN b USING (host)
     """,
     "op7_line_dedup": r"""
-        WITH l AS (
-            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
-            FROM documents),
+        WITH r AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text
+                   FROM documents),
+        l AS (
+            SELECT rid, doc_id, unnest(string_split(text, chr(10))) AS line,
+                   generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM r),
         k AS (
             SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12)
                 || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
             FROM l),
         f AS (
             SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20
-            GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+            GROUP BY key HAVING count(DISTINCT rid) >= 3)
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (last <> doc_id) AS n_dropped,
             sha256(coalesce(string_agg(line, chr(10) ORDER BY pos)
-                FILTER (last IS NULL OR last = doc_id), '')) AS kept_sha256
-        FROM k LEFT JOIN f USING (key) GROUP BY doc_id
+                FILTER (last IS NULL OR doc_id IS NULL OR last = doc_id), '')) AS kept_sha256
+        FROM k LEFT JOIN f USING (key) GROUP BY rid, doc_id
     """,
     "op10_top_k": """
         WITH v AS (

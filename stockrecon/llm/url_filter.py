@@ -22,6 +22,13 @@ LEAST_SHARE = 0.5
 #: Limits of the correlation of pages in one group, which sets the strength of the prior.
 CORRELATION = (0.001, 0.999)
 
+# --- fixed values: public suffixes of two labels, where no other list is given -------
+PUBLIC_SUFFIXES = (
+    "ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br",
+    "com.cn", "com.mx", "com.tr", "gov.uk", "ne.jp", "net.au", "or.jp", "org.au", "org.uk",
+)
+# --------------------------------------------------------------------------------------
+
 _LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -36,13 +43,22 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def domain_of(host: Column) -> Column:
-    """Registered domain: the last two labels."""
-    return F.substring_index(host, ".", -2)
+def _name(host: Column) -> Column:
+    """The host without its port."""
+    return F.regexp_replace(host, ":[0-9]*$", "")
+
+
+def suffix_of(host: Column, suffixes: Sequence[str] = PUBLIC_SUFFIXES) -> Column:
+    """The last two labels where these are a listed public suffix, else the last."""
+    two = F.substring_index(_name(host), ".", -2)
+    return F.when(two.isin(*suffixes), two).otherwise(F.substring_index(two, ".", -1))
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def domain_of(host: Column, suffixes: Sequence[str] = PUBLIC_SUFFIXES) -> Column:
+    """Registered domain: the public suffix and the label before it."""
+    name = _name(host)
+    two = F.substring_index(name, ".", -2)
+    return F.when(two.isin(*suffixes), F.substring_index(name, ".", -3)).otherwise(two)
 
 
 def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Column:
@@ -87,7 +103,9 @@ def _strength(groups: DataFrame, mean: str) -> float:
     return 1 / rho - 1
 
 
-def host_reputation(outcomes: DataFrame, shelf: Shelf) -> DataFrame:
+def host_reputation(
+    outcomes: DataFrame, shelf: Shelf, suffixes: Sequence[str] = PUBLIC_SUFFIXES
+) -> DataFrame:
     """``host, n, good, mean, upper`` from rows ``host, good`` (1, 0 or null).
 
     Hosts whose outcomes are all null are listed too, with the prior of their
@@ -97,14 +115,14 @@ def host_reputation(outcomes: DataFrame, shelf: Shelf) -> DataFrame:
         outcomes.groupBy("host")
         .agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
         .select(
-            "host", domain_of(F.col("host")).alias("domain"),
-            suffix_of(F.col("host")).alias("suffix"), "n", "good",
+            "host", domain_of(F.col("host"), suffixes).alias("domain"),
+            suffix_of(F.col("host"), suffixes).alias("suffix"), "n", "good",
         )
     )
     sums = [F.sum("n").alias("n"), F.sum("good").alias("good")]
     domains = shelf.put(hosts.groupBy("suffix", "domain").agg(*sums))
-    suffixes = shelf.put(domains.groupBy("suffix").agg(*sums))
-    row = suffixes.agg(*sums).collect()[0]
+    by_suffix = shelf.put(domains.groupBy("suffix").agg(*sums))
+    row = by_suffix.agg(*sums).collect()[0]
     overall = ((row["good"] or 0) + 1) / ((row["n"] or 0) + 2)
 
     def shrunk(groups: DataFrame, above: str, name: str) -> DataFrame:
@@ -119,11 +137,11 @@ def host_reputation(outcomes: DataFrame, shelf: Shelf) -> DataFrame:
         )
         return groups.withColumn(name, mean)
 
-    suffixes = suffixes.withColumns({"whole": F.lit(overall), "above_n": F.lit(row["n"] or 0)})
-    suffixes = shrunk(suffixes, "whole", "suffix_mean").select(
+    by_suffix = by_suffix.withColumns({"whole": F.lit(overall), "above_n": F.lit(row["n"] or 0)})
+    by_suffix = shrunk(by_suffix, "whole", "suffix_mean").select(
         "suffix", "suffix_mean", F.col("n").alias("above_n")
     )
-    domains = shrunk(domains.join(shelf.put(suffixes), "suffix"), "suffix_mean", "domain_mean")
+    domains = shrunk(domains.join(shelf.put(by_suffix), "suffix"), "suffix_mean", "domain_mean")
     domains = shelf.put(domains.select("domain", "domain_mean", F.col("n").alias("above_n")))
     hosts = shrunk(hosts.join(domains, "domain"), "domain_mean", "mean")
     total = F.col("n") + F.col("strength")
@@ -139,13 +157,15 @@ def host_reputation(outcomes: DataFrame, shelf: Shelf) -> DataFrame:
 def judge_pages(
     pages: DataFrame, rules: Sequence[tuple[str, str]], *, id_col: str = "page_id",
     url_col: str = "url", good_col: str | None = None,
+    suffixes: Sequence[str] = PUBLIC_SUFFIXES,
 ) -> DataFrame:
     """One row per page: ``page_id, host, path, rule, verdict, upper``.
 
     A rule decides where one fits, else the reputation of the host. Labelled
     outcomes are ``good_col`` (1 good, 0 bad, null unknown) or, without it, the
     decisions of the rules. Hosts without outcomes lean on their domain, suffix
-    and the whole. Null urls and urls without ``://`` have the empty host; repeated
+    and the whole; ``suffixes`` lists the public suffixes of two labels, and a port belongs
+    to the host alone. Null urls and urls without ``://`` have the empty host; repeated
     rows keep a row each; other columns are not read.
     """
     url = F.col(url_col).cast("string")
@@ -158,7 +178,9 @@ def judge_pages(
     )
     ruled = F.when(F.col("action") == "allow", 1).when(F.col("action") == "block", 0)
     good = F.col("outcome") if good_col else ruled
-    known = host_reputation(judged.select("host", good.alias("good")), Shelf(pages.sparkSession))
+    known = host_reputation(
+        judged.select("host", good.alias("good")), Shelf(pages.sparkSession), suffixes
+    )
     own = F.when(F.col("upper") < LEAST_SHARE, "block").otherwise("allow")
     return judged.join(known.select("host", "upper"), "host").select(
         "page_id", "host", "path", "rule", F.coalesce("action", own).alias("verdict"), "upper"

@@ -1,4 +1,6 @@
+import math
 import os
+import unicodedata
 import zlib
 
 import numpy as np
@@ -9,6 +11,7 @@ from common import empty_documents, odd_documents
 from stockrecon.llm import language, registry
 
 SF = "/root/testdata/sf0.01"
+SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
@@ -51,10 +54,75 @@ def test_no_training_rows(spark):
     assert {(r.lang_pred, r.score) for r in rows} == {("und", 0.0)}
 
 
-def test_portions_do_not_change_the_sets(monkeypatch):
-    texts = ["Über den Fluss", "", "a" * 50 + "b" * 50, "12 34"]
-    whole = language.gram_sets(texts)
-    monkeypatch.setattr(language, "_POINTS", 7)
-    for a, b in zip(whole, language.gram_sets(texts)):
-        # a cut adds at most the grams with the blanks behind a portion
-        assert set(a) <= set(b)
+def test_a_cut_changes_nothing():
+    texts = ["Über den Fluss", "", "a" * 50 + "b" * 50, "12 34", "x"]
+    for text in texts:
+        whole = language.gram_sets([text])[0].tolist()
+        for size in (1, 2, 3, 7, 1 << 19):
+            cut = np.concatenate([h for _, h, _ in language._grams([text], size)])
+            assert sorted(set(cut.tolist())) == whole == sorted(plain_grams(text))
+    # Neighbours in a batch do not lend each other n-grams.
+    together = language.Presence(np.zeros(1 << language.HASH_BITS, np.int32), 0).of(texts)
+    assert [round(float(r) ** 2) for r in together[1].ravel()] == [len(plain_grams(t)) for t in texts]
+    long = "ab" * 300_000
+    assert language.gram_sets([long])[0].tolist() == sorted(plain_grams(long[:100]))
+
+
+def plain_grams(text):
+    points = [ord(c) if unicodedata.category(c)[0] == "L" else 32 for c in text.lower() + " "]
+    found = set()
+    for order in (1, 2, 3):
+        for i in range(len(points) - order + 1):
+            code = 0
+            for p in points[i : i + order]:
+                code = (code * 0x9E3779B97F4A7C15 + p + 1) % 2**64
+            found.add(((code ^ (code >> 29)) * 0xBF58476D1CE4E5B9 % 2**64) >> 44)
+    return found
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no tables")
+def test_query_against_a_plain_version(spark):
+    """Kernel, Nyström features, ridge weights and scores in plain numpy."""
+    docs = registry.table(spark, SMALL, "documents")
+    rows = {r.doc_id: r for r in docs.collect()}
+    grams = {i: plain_grams(r.text or "") for i, r in rows.items()}
+    fit = docs.where(registry.crc_class(4) != 2).where("lang is not null and text is not null")
+    known = fit.select(F.col("doc_id").alias("id"), "lang")
+    names = sorted(r[0] for r in known.select("lang").distinct().collect())
+    sample = language._picked(known, names, language.LANDMARKS + language.FIT_ROWS, 4)
+    sample_ids = sorted(r.id for r in sample.collect())
+    marks = sorted(r.id for r in language._picked(sample, names, language.LANDMARKS, 5).collect())
+
+    def kernel(a, b):
+        return len(grams[a] & grams[b]) / math.sqrt(max(len(grams[a]), 1) * max(len(grams[b]), 1))
+
+    values, vectors = np.linalg.eigh(np.array([[kernel(a, b) for b in marks] for a in marks]))
+    big = values > 1e-8 * values[-1]
+    whiten = vectors[:, big] / np.sqrt(values[big])
+    features = {i: np.append(np.array([kernel(i, m) for m in marks]) @ whiten, 1) for i in rows}
+    z = np.array([features[i] for i in sample_ids])
+    wanted = np.array([[1.0 if rows[i].lang == n else -1.0 for n in names] for i in sample_ids])
+    penalty = language.RIDGE * len(z) * np.eye(z.shape[1])
+    penalty[-1, -1] = 0
+    beta = np.linalg.solve(z.T @ z + penalty, z.T @ wanted)
+    found = registry.op4_language(spark, SMALL).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        text = rows[r.doc_id].text or ""
+        if not any(unicodedata.category(c)[0] == "L" for c in text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        odds = np.exp(4 * (features[r.doc_id] @ beta))
+        odds /= odds.sum()
+        assert r.score == pytest.approx(odds.max(), abs=1e-3)
+        if np.sort(odds)[-1] - np.sort(odds)[-2] > 1e-2:
+            assert r.lang_pred == names[int(odds.argmax())]
+
+
+def test_rows_without_an_id_and_repeated_rows(spark, tmp_path):
+    docs = odd_documents(spark)
+    docs.unionByName(docs).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = registry.op4_language(spark, str(tmp_path)).collect()
+    assert len(rows) == 2 * docs.count()
+    assert all(isinstance(r.held_out, bool) for r in rows)
+    assert {r.held_out for r in rows if r.doc_id is None} == {False}

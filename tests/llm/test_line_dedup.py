@@ -1,8 +1,8 @@
-import hashlib
-
+import duckdb
 import pytest
 
 from common import empty_documents, lower_ascii, odd_documents
+from stockrecon.llm import registry
 from stockrecon.llm.line_dedup import LineRuns, dedup_lines
 from stockrecon.sources.scratch import Shelf
 
@@ -70,4 +70,20 @@ def test_runs_move_up_and_leave_out_what_is_settled(spark):
     runs.add(spark.createDataFrame([(5, 1, 1), (4, 2, 2)], "doc_id long, h1 long, h2 long"))
     assert [len(level) for level in runs.levels] == [0, 1]
     assert sorted(map(tuple, runs.levels[1][0].collect())) == [(1, 1, 2, 9), (2, 2, 2, 7)]
-    assert hashlib.sha256(b"").hexdigest()
+
+
+def test_query_and_sql_count_repeated_rows_alike(spark, tmp_path):
+    """Two rows of one id and a third document make three; rows without an id keep all."""
+    line = "a line that is long enough to count"
+    rows = [(1, line), (1, line), (2, f"{line}\nshort"), (None, line), (3, "a line of two rows only"),
+            (3, "a line of two rows only"), (4, f"{line} too"), (5, f"{line} too")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(registry.oracle_sql()["op7_line_dedup"]).fetchall()
+    got = registry.op7_line_dedup(spark, str(tmp_path)).select(
+        "doc_id", "n_lines", "n_dropped", "kept_sha256"
+    )
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert sum(r[2] for r in want) == 2

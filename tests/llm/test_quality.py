@@ -3,11 +3,14 @@ import zlib
 
 import numpy as np
 import pytest
+import zstandard
+from pyspark.sql import functions as F
 
 from common import empty_documents, odd_documents
 from stockrecon.llm import quality, registry
 
 SF = "/root/testdata/sf0.01"
+SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
@@ -68,3 +71,64 @@ def test_isotonic_pools_rise():
         np.array([0.0, 1, 2, 3]), np.array([0.0, 1, 0, 1]), np.ones(4)
     )
     assert list(at) == [0, 1.5, 3] and list(chance) == sorted(chance)
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no tables")
+def test_query_against_a_plain_version(spark):
+    """Size differences, calibration and scores, given the two dictionaries."""
+    docs = registry.table(spark, SMALL, "documents")
+    model = registry.quality_model(spark, docs, SMALL)
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+
+    def size(text, dictionary):
+        total = 0
+        for at in range(0, len(text), 1024):
+            pack = zstandard.ZstdCompressor(
+                level=3, dict_data=zstandard.ZstdCompressionDict(dictionary),
+                write_content_size=False, write_dict_id=False,
+            )
+            total += len(pack.compress(text[at : at + 1024]))
+        return total
+
+    sizes = {i: (size(t, model.good), size(t, model.bad)) for i, t in texts.items()}
+    difference = {i: (b - a) / (a + b) if a else 0.0 for i, (a, b) in sizes.items()}
+    labels = registry.table(spark, SMALL, "labels").where(registry.crc_class(5) != 0)
+    known = labels.select(
+        "doc_id", "quality", (F.xxhash64(F.lit(10), "doc_id") % 2 == 0).alias("first")
+    ).collect()
+    share = np.mean([r.quality for r in known])
+    rest = [(difference[r.doc_id], r.quality) for r in known if not r.first and texts[r.doc_id]]
+    rest.sort()
+    d, y = (np.array(c, float) for c in zip(*rest))
+    weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
+    # The rising curve of least squares, by its max-min formula.
+    n = len(y)
+    mean = [[np.average(y[i : k + 1], weights=weight[i : k + 1]) for k in range(i, n)] for i in range(n)]
+    fitted = [max(min(mean[i][j - i :]) for i in range(j + 1)) for j in range(n)]
+    at, chance = [], []
+    for value in sorted(set(np.round(fitted, 9))):
+        own = np.isclose(fitted, value, atol=1e-8)
+        w = weight[own].sum()
+        at.append(np.average(d[own], weights=weight[own]))
+        chance.append(((weight * y)[own].sum() + 0.5) / (w + 1))
+    for r in registry.op9_quality(spark, SMALL).collect():
+        want = np.interp(difference[r.doc_id], at, chance)
+        assert r.score == pytest.approx(want, abs=1e-6)
+        assert r.predicted == (r.score >= 0.3)
+
+
+def test_equal_differences_are_calibrated_as_one():
+    at, chance = quality._isotonic(
+        np.array([1.0, 1, 1, 2, 2]), np.array([1.0, 0, 1, 0, 1]), np.ones(5)
+    )
+    assert list(at) == sorted(set(at)) and list(chance) == sorted(chance)
+
+
+def test_rows_without_an_id(spark, tmp_path):
+    docs = odd_documents(spark)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(3, 1), (4, 0), (None, 1)], "doc_id long, quality int").write.parquet(
+        f"{tmp_path}/labels.parquet"
+    )
+    rows = registry.op9_quality(spark, str(tmp_path)).collect()
+    assert len(rows) == docs.count() and all(isinstance(r.held_out, bool) for r in rows)

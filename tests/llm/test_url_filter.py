@@ -61,3 +61,32 @@ def test_small_hosts_are_shrunk_to_their_domain(spark):
     found = {r.host: r for r in url_filter.host_reputation(outcomes, Shelf(spark)).collect()}
     assert found["s.x.com"].mean < found["u.y.com"].mean
     assert abs(found["big.x.com"].mean - 0.1) < 0.05
+
+
+def test_domains_and_suffixes(spark):
+    hosts = {
+        "a.co.uk": ("a.co.uk", "co.uk"), "x.b.co.uk:80": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"),
+        "www.a.org:8080": ("a.org", "org"), "org": ("org", "org"), "": ("", ""), "b:": ("b", "b"),
+        "x.y.city.zz": ("city.zz", "zz"),
+    }
+    frame = spark.createDataFrame([(h,) for h in hosts], "host string")
+    for extra, want in (((), None), (("city.zz",), ("y.city.zz", "city.zz"))):
+        listed = (*url_filter.PUBLIC_SUFFIXES, *extra)
+        got = frame.select(
+            "host", url_filter.domain_of(frame.host, listed), url_filter.suffix_of(frame.host, listed)
+        ).collect()
+        for host, domain, suffix in got:
+            assert (domain, suffix) == (want if want and "city" in host else hosts[host])
+
+
+def test_neighbours_under_a_public_suffix_do_not_share_a_name(spark):
+    rows = [(k, f"http://www.bad.co.uk:80/{k}", "", "", 0) for k in range(300)]
+    rows += [(300 + k, f"http://www.fine.co.uk/{k}", "", "", 1) for k in range(300)]
+    rows += [(900, "http://new.bad.co.uk/", "", "", None), (901, "http://www.bad.co.uk/", "", "", None),
+             (902, "http://other.co.uk/", "", "", None),
+             (903, "http://x.com/" + "y" * 2_000_000, "", "", None)]
+    pages = spark.createDataFrame(rows, SCHEMA)
+    got = url_filter.judge_pages(pages, [], good_col="good").collect()
+    verdict = {r.page_id: r.verdict for r in got}
+    assert verdict[900] == verdict[901] == "block"  # the port is not part of the domain
+    assert verdict[902] == verdict[903] == "allow" and len(got) == len(rows)
