@@ -6,6 +6,7 @@ import importlib.util
 import os
 import sys
 import tempfile
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -18,8 +19,8 @@ from stockrecon import fixtures
 from stockrecon.functions.text import client_key
 from stockrecon.operators import bursts, catalogue, clip, crosstab, measures, products, regrades
 from stockrecon.plans import reconcile as plan
-from stockrecon.sources import archives, packages
-from stockrecon.sources.scratch import store
+from stockrecon.sources import archives, packages, reports, sinks
+from stockrecon.sources.scratch import ensure_checkpoint_dir, store
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -87,7 +88,8 @@ def _report(
     """Report, clipped adjustments and their stored burst buckets."""
     adj = _adj(spark, sf_dir)
     buckets = store(bursts.burst_buckets(adj))
-    report = plan.build_report(fixtures.stock(spark, sf_dir), adj, _rei(spark, sf_dir), buckets)
+    rec, rei = fixtures.stock(spark, sf_dir), _rei(spark, sf_dir)
+    report = plan.build_report(rec, adj, rei, buckets)
     if gate_on_bursts:
         report = plan.with_bursts_only(report, buckets)
     return report, adj, buckets
@@ -187,6 +189,41 @@ def _report_lines_rei(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reread(fixtures.csv_lines(rows, "x_rei.csv", F.col("client") == "C2"), "rei")
 
 
+def _landing(lines: DataFrame) -> str:
+    """Lines written as CSV files of clients, in the shared folder."""
+    spark = lines.sparkSession
+    return fixtures.drop_files(lines, f"{ensure_checkpoint_dir(spark)}/files-{uuid.uuid4().hex}")
+
+
+def _read_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adjustments by way of files in two layouts, all cells of one of them quoted."""
+    rows = _iso(fixtures.adjustments(spark, sf_dir), "adjusted_date")
+    rows = rows.withColumn("note", F.concat(F.lit("at "), "fulfillment_center_id"))
+    turned = F.col("client").isin("C0", "C2")
+    return reports.read_report(
+        spark, f"{_landing(fixtures.csv_lines(rows, 'x_adj.csv', turned))}/*/*", "adj"
+    )
+
+
+def _stray_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _iso(fixtures.adjustments(spark, sf_dir), "adjusted_date")
+    return reports.read_report(spark, f"{_landing(fixtures.with_odd_notes(rows))}/*/*", "adj")
+
+
+def _unparsed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _iso(fixtures.adjustments(spark, sf_dir), "adjusted_date")
+    landing = _landing(fixtures.with_unparsed_cells(rows))
+    return reports.report_losses(reports.raw_rows(spark, f"{landing}/*/*", "adj")[0], "adj")
+
+
+def _written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a committed run, read back."""
+    out = f"{ensure_checkpoint_dir(spark)}/runs-{uuid.uuid4().hex}"
+    rec, adj, rei = fixtures.stock(spark, sf_dir), _adj(spark, sf_dir), _rei(spark, sf_dir)
+    sinks.write_results(rec, adj, rei, fixtures.AS_OF, out, run="r1")
+    return sinks.read_results(spark, out, "report").drop("run")
+
+
 def _overlong_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adjustments of which four in five have surplus cells: some, blank ones, very many."""
     rows = _iso(fixtures.adjustments(spark, sf_dir), "adjusted_date")
@@ -234,6 +271,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "assign_bursts": on_adj(bursts.assign_bursts),
         "assign_bursts_window": on_adj(bursts.assign_bursts_window),
+        "burst_totals": on_adj(bursts.burst_totals),
         "detect_regrades": on_adj(regrades.detect_regrades),
         "regrade_sums": on_adj(lambda adj: regrades.regrade_sums(regrades.detect_regrades(adj))),
         "reason_pivot_1": on_adj(products.reason_pivot_1),
@@ -270,6 +308,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_lines_rec": _report_lines_rec,
         "report_lines_rei": _report_lines_rei,
         "overlong_rows": _overlong_rows,
+        "read_folder": _read_folder,
+        "stray_quotes": _stray_quotes,
+        "unparsed_cells": _unparsed_cells,
+        "written_report": _written_report,
         "package_status": lambda spark, sf: archives.package_status(fixtures.members(spark, sf)),
         **_llm()[0],
     }

@@ -351,6 +351,29 @@ _STATEMENTS: dict[str, str] = {
         SELECT client, adjusted_date, fnsku, fulfillment_center_id, reason, disposition,
                transaction_item_id, quantity
         FROM adj_all WHERE transaction_item_id // 500 % 5 = 0""",
+    "read_folder": """
+        SELECT client, adjusted_date, fnsku, fulfillment_center_id, reason, disposition,
+               transaction_item_id, quantity, 'at ' || fulfillment_center_id AS note
+        FROM adj_all""",
+    "stray_quotes": """
+        SELECT client, adjusted_date, fnsku, fulfillment_center_id, reason, disposition,
+               transaction_item_id, quantity,
+               notes[CAST(place % 5 AS INTEGER) + 1] AS first_note,
+               notes[CAST((place + 1) % 5 AS INTEGER) + 1] AS last_note
+        FROM (SELECT *, transaction_item_id // 500 AS place,
+                     ['5" pipe', 'a, "b"' || chr(10) || 'c', 'say ""twice""', 'end 6"',
+                      'closed then "open'] AS notes
+              FROM adj_all)""",
+    "unparsed_cells": """
+        SELECT client, 'adj' AS kind, count(*) AS rows,
+               count(*) FILTER (WHERE transaction_item_id // 500 % 7 = 5) AS skipped_rows,
+               count(*) FILTER (WHERE transaction_item_id // 500 % 7 IN (1, 2, 3)) AS unparsed_cells
+        FROM adj_all GROUP BY client""",
+    "written_report": "SELECT * FROM report",
+    "burst_totals": """
+        SELECT client, tr_id, max(transaction_item_id) AS last_id, count(*) AS adjustments,
+               CAST(coalesce(sum(quantity), 0) AS BIGINT) AS quantity
+        FROM bursts WHERE tr_id <> 0 GROUP BY client, tr_id""",
     "package_status": """
         SELECT 'C' || pack AS client, 'p' || pack || '.zip' AS archive,
                CASE pack % 6 WHEN 1 THEN 'not ZIP file attached'

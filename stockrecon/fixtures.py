@@ -157,3 +157,72 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(problem.isNull(), name).alias("name"),
         ((turn == 3) & (F.col("p_partkey") % 3 == 0)).alias("in_folder"),
     )
+
+
+FILES_PER_CLIENT = 4
+
+
+def drop_files(lines: DataFrame, folder: str) -> str:
+    """Write ``client, name, header, line`` as CSV files ``<folder>/<client>/<n>_<name>``.
+
+    A client's rows are dealt to several files, each with the header. Returns a pattern
+    that finds them all.
+    """
+    spark = lines.sparkSession
+    by = ["client", "name", "part"]
+    dealt = lines.withColumn("part", F.pmod(F.xxhash64("line"), F.lit(FILES_PER_CLIENT)))
+    heads = dealt.groupBy(*by).agg(F.max("header").alias("line"), F.lit(0).alias("place"))
+    text = dealt.select(*by, "line", F.lit(1).alias("place")).unionByName(heads)
+    (
+        text.repartition(*by).sortWithinPartitions(*by, "place").select(*by, "line")
+        .write.partitionBy(*by).text(f"{folder}/written")
+    )
+    # Only names change: one call for each file.
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for file in system.globStatus(path(f"{folder}/written/*/*/*/part-*")):
+        source = file.getPath()
+        values, at = [], source.getParent()
+        for _ in by:
+            values.append(at.getName().partition("=")[2])
+            at = at.getParent()
+        part, name, client = values
+        system.mkdirs(path(f"{folder}/landing/{client}"))
+        system.rename(source, path(f"{folder}/landing/{client}/{part}_{name}"))
+    return f"{folder}/landing"
+
+
+def odd_note(place: Column) -> tuple[Column, Column]:
+    """A note as written in a CSV file and as read: inch marks, quotes, line breaks."""
+    kinds = [
+        ('5" pipe', '5" pipe'), ('"a, ""b""\nc"', 'a, "b"\nc'), ('say ""twice""', 'say ""twice""'),
+        ('end 6"', 'end 6"'), ('"closed" then "open', 'closed then "open'),
+    ]
+    return tuple(_pick([k[i] for k in kinds], place % len(kinds)) for i in (0, 1))
+
+
+def with_odd_notes(rows: DataFrame) -> DataFrame:
+    """Adjustments as CSV lines with an odd note at the start and at the end of each."""
+    place = F.expr("transaction_item_id div 500")
+    columns = [c for c in rows.columns if c != "client"]
+    cells = [odd_note(place)[0], *[csv_cell(F.col(c), False) for c in columns], odd_note(place + 1)[0]]
+    names = ["first-note", *[c.replace("_", "-") for c in columns], "last-note"]
+    return rows.select(
+        "client", F.lit("x_adj.csv").alias("name"), F.lit(",".join(names)).alias("header"),
+        F.concat_ws(",", *cells).alias("line"),
+    )
+
+
+def with_unparsed_cells(rows: DataFrame) -> DataFrame:
+    """Adjustments as CSV lines whose quantity is, in turn, a number, none, or too much."""
+    turn = F.expr("transaction_item_id div 500 % 7")
+    columns = [c for c in rows.columns if c not in ("client", "quantity")]
+    quantity = (
+        F.when(turn == 1, "12.5").when(turn == 2, "abc").when(turn == 3, '"1,5"').when(turn == 4, "7.0")
+        .when(turn == 5, "1,2").otherwise(csv_cell(F.col("quantity"), False))
+    )
+    names = [*[c.replace("_", "-") for c in columns], "quantity"]
+    return rows.select(
+        "client", F.lit("x_adj.csv").alias("name"), F.lit(",".join(names)).alias("header"),
+        F.concat_ws(",", *[csv_cell(F.col(c), False) for c in columns], quantity).alias("line"),
+    )

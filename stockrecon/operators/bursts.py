@@ -5,8 +5,8 @@ id (``tr_id``); an adjustment that is alone gets 0.
 
 Two forms give the same answer:
 
-* ``assign_bursts_window`` orders all rows of a client in one window. Simple,
-  and fine while every client is small.
+* ``assign_bursts_window`` compares every row with its neighbours in id order, by an
+  ordered scan over range blocks.
 * ``assign_bursts`` first reduces rows to id buckets as wide as the allowed gap.
   Ids in one bucket are always close, so a burst is a run of buckets, and a
   bucket's neighbours can only be the buckets next to it. Runs are linked in
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from stockrecon.domain import MAX_ID_GAP, keys_of
 from stockrecon.functions.text import movement_case, rule_keys
+from stockrecon.operators.ordered import in_block, range_blocks, with_carried, with_edges
 
 ID = "transaction_item_id"
 
@@ -144,22 +145,45 @@ def assign_bursts(adj: DataFrame, gap: int = MAX_ID_GAP, fanout: int = FANOUT) -
     return attach_bursts(adj, burst_buckets(adj, gap, fanout), gap)
 
 
-def assign_bursts_window(adj: DataFrame, gap: int = MAX_ID_GAP) -> DataFrame:
-    """Add ``tr_id`` to every adjustment with one ordered window per client."""
-    order = Window.partitionBy(*keys_of(adj)).orderBy(F.col(ID).asc_nulls_last())
-    back = F.col(ID) - F.lag(ID).over(order)
-    ahead = F.lead(ID).over(order) - F.col(ID)
+def assign_bursts_window(
+    adj: DataFrame, gap: int = MAX_ID_GAP, blocks: int | None = None
+) -> DataFrame:
+    """Add ``tr_id`` to every adjustment by an ordered scan over range blocks.
+
+    Neighbours and the burst that is open at the start of a block come from the
+    blocks' edges; rows are stored once.
+    """
+    part = keys_of(adj)
+    # Equal ids are told apart by a mixed number, so that a crowded id is cut too.
+    dealt = adj.withColumn("_turn", F.xxhash64(F.monotonically_increasing_id()))
+    rows = with_edges(range_blocks(dealt, part, [ID, "_turn"], blocks=blocks), part, ID)
+    order = in_block(part, [ID])
+    back = F.col(ID) - F.coalesce(F.lag(ID).over(order), "edge_before")
+    ahead = F.coalesce(F.lead(ID).over(order), "edge_after") - F.col(ID)
     joins = F.coalesce(back <= gap, F.lit(False))
     opens = F.coalesce(ahead <= gap, F.lit(False))
     first = F.when(joins, None).otherwise(F.when(opens, F.col(ID)).otherwise(F.lit(0)))
+    started = rows.withColumn("first_id", first)
+    return with_carried(started, part, "first_id", [ID], "tr_id").select(*adj.columns, "tr_id")
+
+
+def burst_totals(adj: DataFrame, gap: int = MAX_ID_GAP, fanout: int = FANOUT) -> DataFrame:
+    """One row per burst: ``tr_id, last_id, adjustments, quantity``.
+
+    Buckets are summed before the shuffle and bursts are summed over their buckets, so
+    no task holds the rows of a burst or of a client.
+    """
+    part = keys_of(adj)
+    present = adj.dropna(subset=[*part, ID])
+    sums = present.groupBy(*part, bucket_of(gap=gap).alias("bucket")).agg(
+        F.max(ID).alias("last_id"), F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("q")
+    )
     return (
-        adj.withColumn("first_id", first)
-        .withColumn("lone", ~joins & ~opens)
-        .withColumn(
-            "tr_id",
-            F.last("first_id", ignorenulls=True).over(
-                order.rowsBetween(Window.unboundedPreceding, 0)
-            ),
+        sums.join(burst_buckets(adj, gap, fanout), [*part, "bucket"])
+        .groupBy(*part, "tr_id")
+        .agg(
+            F.max("last_id").alias("last_id"),
+            F.sum("n").alias("adjustments"),
+            F.coalesce(F.sum("q"), F.lit(0)).cast("long").alias("quantity"),
         )
-        .select(*adj.columns, "tr_id")
     )

@@ -13,14 +13,15 @@ from pyspark.sql import functions as F
 from stockrecon.domain import REPORT_KINDS
 from stockrecon.functions.text import file_kind_matches
 from stockrecon.sources.packages import exactly_one_each, kinds_found
+from stockrecon.sources.records import records_of
 from stockrecon.sources.reports import (
-    CSV_OPTIONS,
     ENCODING,
-    cell_schema,
+    LOSSES,
+    cell_values,
     further_names,
-    header_names,
-    header_width,
+    report_losses,
     shape_rows,
+    with_names,
 )
 from stockrecon.sources.shipping import ship_package
 
@@ -34,7 +35,7 @@ MAC_FOLDER = "__MACOSX"
 
 LINES_PER_BATCH = 20_000
 MEMBERS = "client string, archive string, problem string, name string, in_folder boolean"
-LINES = "client string, archive string, name string, header string, line string"
+CONTENTS = f"{MEMBERS}, header string, line string"
 
 
 def _files(archive: zipfile.ZipFile) -> dict[str, zipfile.ZipInfo]:
@@ -78,24 +79,48 @@ def _open_package(content: bytes):
     return found, None
 
 
-def archive_members(archives: DataFrame) -> DataFrame:
-    """One row per file of every archive, or one with the ``problem``.
+def archive_contents(archives: DataFrame) -> DataFrame:
+    """Files and CSV records of every archive, each archive opened once.
 
-    ``archives`` has ``client``, ``archive`` (file name) and ``content``.
+    ``archives`` has ``client``, ``archive`` (file name) and ``content``. A file gives
+    a row without ``line``, then one for each record after its ``header``; an archive
+    that cannot be used gives one row with its ``problem``. Members are streamed
+    record by record; only the archive itself is held in memory.
     """
     ship_package(archives.sparkSession)
+    columns = [field.split()[0] for field in CONTENTS.split(", ")]
 
-    def listing(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def reading(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
             for client, archive, content in frame.itertuples(index=False):
                 found, problem = _open_package(content)
-                for path in found or [None]:
-                    folder = path is not None and "/" in path
-                    rows.append((client, archive, problem, path, folder))
-            yield pd.DataFrame(rows, columns=["client", "archive", "problem", "name", "in_folder"])
+                files = [(client, archive, problem, p, p is not None and "/" in p, None, None)
+                         for p in found or [None]]
+                yield pd.DataFrame(files, columns=columns)
+                for path, (source, entry) in (found or {}).items():
+                    with source.open(entry) as stream:
+                        lines = io.TextIOWrapper(stream, encoding=ENCODING, newline="")
+                        records = records_of(lines)
+                        header = next(records, "")
+                        while batch := [x for _, x in zip(range(LINES_PER_BATCH), records)]:
+                            row = (client, archive, None, path, "/" in path, header)
+                            yield pd.DataFrame([(*row, x) for x in batch], columns=columns)
+
+    return archives.select("client", "archive", "content").mapInPandas(reading, CONTENTS)
+
 
-    return archives.select("client", "archive", "content").mapInPandas(listing, MEMBERS)
+def members_of(contents: DataFrame) -> DataFrame:
+    """One row per file of every archive, or one with the ``problem``."""
+    return contents.where("line is null").select(*[f.split()[0] for f in MEMBERS.split(", ")])
+
+
+def lines_of(contents: DataFrame) -> DataFrame:
+    """CSV records of every file of every readable archive, with the file's header record."""
+    return contents.where("line is not null").select("client", "archive", "name", "header", "line")
+
+
+def archive_members(archives: DataFrame) -> DataFrame:
+    return members_of(archive_contents(archives))
 
 
 def package_status(members: DataFrame) -> DataFrame:
@@ -120,46 +145,15 @@ def package_status(members: DataFrame) -> DataFrame:
     )
 
 
-def _records(lines: Iterator[str]) -> Iterator[str]:
-    """CSV records without blank ones; lines join up while a quote is open."""
-    held = ""
-    for line in lines:
-        held += line
-        if held.count('"') % 2 == 0:
-            if held.strip():
-                yield held.rstrip("\r\n")
-            held = ""
-    if held.strip():
-        yield held.rstrip("\r\n")
-
-
 def archive_lines(archives: DataFrame) -> DataFrame:
-    """CSV records of every file of every readable archive, with the file's header line.
+    return lines_of(archive_contents(archives))
 
-    Members are streamed record by record; only the archive itself is held in memory.
-    """
-    ship_package(archives.sparkSession)
 
-    def reading(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for client, archive, content in frame.itertuples(index=False):
-                found, _ = _open_package(content)
-                for path, (source, entry) in (found or {}).items():
-                    with source.open(entry) as stream:
-                        lines = _records(io.TextIOWrapper(stream, encoding=ENCODING, newline=""))
-                        header = next(lines, "")
-                        while batch := [x for _, x in zip(range(LINES_PER_BATCH), lines)]:
-                            yield pd.DataFrame(
-                                {
-                                    "client": client,
-                                    "archive": archive,
-                                    "name": path,
-                                    "header": header,
-                                    "line": batch,
-                                }
-                            )
-
-    return archives.select("client", "archive", "content").mapInPandas(reading, LINES)
+def _raw_rows(lines: DataFrame, kind: str) -> DataFrame:
+    named = lines.withColumn("name", F.concat(F.lit("_"), "name"))
+    return with_names(named.where(file_kind_matches(F.col("name"), kind))).select(
+        "client", "header", "names", cell_values(F.col("line")).alias("cells")
+    )
 
 
 def reports_from_lines(
@@ -169,16 +163,17 @@ def reports_from_lines(
 
     Reads ``lines`` once per report and once for the header lines, so store it first.
     """
-    lines = lines.withColumn("name", F.concat(F.lit("_"), "name"))
     reports = {}
     for kind in REPORT_KINDS:
-        own = lines.where(file_kind_matches(F.col("name"), kind))
-        headers = own.select("header").distinct()
-        width = max(1, header_width(headers))
-        further = further_names(header_names(headers, width), kind)
-        ddl = ", ".join(f"{cell} string" for cell in cell_schema(width).names)
-        cells = header_names(own, width).select(
-            "client", "names", F.from_csv("line", ddl, CSV_OPTIONS).alias("cells")
-        ).select("client", "names", "cells.*")
-        reports[kind] = shape_rows(cells, width, further, kind, count_columns)
+        rows = _raw_rows(lines, kind)
+        further = further_names(with_names(rows.select("header").distinct()), kind)
+        reports[kind] = shape_rows(rows, further, kind, count_columns)
     return reports
+
+
+def losses_from_lines(lines: DataFrame, count_columns: tuple[str, ...] = ()) -> DataFrame:
+    """``report_losses`` of ``archive_lines``, one row per client and kind."""
+    losses = lines.sparkSession.createDataFrame([], LOSSES)
+    for kind in REPORT_KINDS:
+        losses = losses.unionByName(report_losses(_raw_rows(lines, kind), kind, count_columns))
+    return losses

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockrecon.domain import REPORT_KINDS
 from stockrecon.functions.text import client_key, file_kind_matches, repeat_suffix
+from stockrecon.operators.ordered import BLOCK, range_blocks, with_number
 from stockrecon.sources.scratch import store
 
 
@@ -61,10 +62,9 @@ def name_clients(
 
     ``packages`` needs ``subject``, ``arrived`` and a unique ``package``; ``seen``
     lists ``client`` names already in use. The first arrival of a new name keeps
-    it plain. Packages of one name in one second are numbered. First arrivals are
-    stored by ``keep``, so packages are read once for them and once for the names;
-    both sides of the join come straight from their shuffle and Spark splits a
-    frequent name.
+    it plain. Packages of one name in one second are numbered, by block counts.
+    First arrivals and later packages are stored by ``keep``; both sides of the join
+    come straight from their shuffle and Spark splits a frequent name.
     """
     keyed = packages.withColumn("key", client_key(F.col("subject")))
     first = keyed.groupBy("key").agg(
@@ -78,9 +78,12 @@ def name_clients(
     keyed = keyed.join(keep(first), "key")
     plain = ~F.col("known") & (F.col("package") == F.col("first.package"))
     named = keyed.withColumn("again", F.when(~plain, repeat_suffix(F.col("arrived"))))
-    same_second = Window.partitionBy("key", "again").orderBy("arrived", "package")
-    number = F.row_number().over(same_second)
-    clash = F.when(F.col("again").isNotNull() & (number > 1), F.concat(F.lit("_"), number))
+    # One second of one name may hold any number of packages.
+    columns = ["key", "again"]
+    rest = range_blocks(named.where("again is not null"), columns, ["arrived", "package"], keep)
+    counted = with_number(rest, columns, ["arrived", "package"], "number").drop(BLOCK)
+    named = named.where("again is null").withColumn("number", F.lit(1).cast("long")).unionByName(counted)
+    clash = F.when(F.col("number") > 1, F.concat(F.lit("_"), "number"))
     return named.withColumn(
         "client",
         F.concat("key", F.coalesce("again", F.lit("")), F.coalesce(clash, F.lit(""))),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -11,6 +13,15 @@ from stockrecon.functions.text import file_kind_matches
 from stockrecon.operators.skew import broadcast_if_small
 from stockrecon.schemas import REPORT_SCHEMAS
 from stockrecon.sources.packages import exactly_one_each, kinds_found, report_status
+from stockrecon.sources.records import (
+    block_states,
+    cell_text,
+    cells_of,
+    cut_records,
+    file_lines,
+    is_blank,
+    leaves_open,
+)
 from stockrecon.sources.scratch import store
 
 # --- fixed values: cell texts that stand for "no value" ---------------------
@@ -21,26 +32,15 @@ NULL_WORDS = [
 # ----------------------------------------------------------------------------
 
 ENCODING = "ISO-8859-1"  # decodes any byte, so no second attempt is ever needed
-RAW = "raw"  # the whole record, where its cell count is not that of the schema
-CSV_OPTIONS = {
-    "sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
+RAW = "raw"
+#: Lines as they are, the header line of each file left out. No byte of a report is a separator.
+LINE_OPTIONS = {
+    "sep": "\u0001", "quote": "", "header": True, "encoding": ENCODING, "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": RAW,
 }
 FRACTIONS = "decimal(38,6)"
 
 
-def cell_schema(width: int) -> StructType:
-    """Positional cells, and the raw record of rows with more or fewer."""
-    return StructType([StructField(f"c{i}", StringType()) for i in range(width)]).add(
-        RAW, StringType()
-    )
-
-
-def _separators(record: Column) -> Column:
-    """Separators of a CSV record outside its quotes."""
-    return F.regexp_count(F.regexp_replace(record, '"(?:[^"]|"")*"', ""), F.lit(","))
-
-
 def _number(cell: Column) -> Column:
     """Whole number, also when written like ``12.0``."""
     return F.coalesce(
@@ -49,20 +49,10 @@ def _number(cell: Column) -> Column:
     )
 
 
-def header_width(headers: DataFrame) -> int:
-    """Cells of the widest ``header`` line; 0 if there is none."""
-    row = headers.agg(F.max(_separators(F.col("header")))).collect()[0]
-    return 0 if row[0] is None else row[0] + 1
-
-
-def header_names(headers: DataFrame, width: int) -> DataFrame:
-    """Add ``names``, the column names of each ``header`` line, dashes replaced."""
-    ddl = ", ".join(f"c{i} string" for i in range(width))
-    cells = F.from_csv("header", ddl, {k: v for k, v in CSV_OPTIONS.items() if v != RAW})
-    names = [F.replace(F.coalesce(cells[f"c{i}"], F.lit("")), F.lit("-"), F.lit("_"))
-             for i in range(width)]
-    count = _separators(F.col("header")) + 1
-    return headers.withColumn("names", F.slice(F.array(*names), F.lit(1), count))
+def with_names(headers: DataFrame) -> DataFrame:
+    """Add ``names``, the column names of each ``header`` record, dashes replaced."""
+    name = lambda c: F.replace(cell_text(c), F.lit("-"), F.lit("_"))
+    return headers.withColumn("names", F.transform(cells_of(F.col("header")), name))
 
 
 def further_names(named: DataFrame, kind: str) -> list[str]:
@@ -72,35 +62,68 @@ def further_names(named: DataFrame, kind: str) -> list[str]:
     return sorted(r[0] for r in found.collect())
 
 
+def cell_values(record: Column) -> Column:
+    """What the cells of a record say; null where one stands for no value."""
+    texts = F.transform(cells_of(record), cell_text)
+    return F.transform(texts, lambda text: F.when(~text.isin(NULL_WORDS), text))
+
+
+def _cell(name: str) -> Column:
+    """Value of the cell under a name; null where the layout, or the row, lacks it."""
+    place = F.array_position("names", name)
+    return F.when(place > 0, F.get("cells", (place - 1).cast("int")))
+
+
+def _typed(name: str, kind: str, count_columns: tuple[str, ...]) -> Column | None:
+    """The number in a cell, or None for a column of text."""
+    known = {f.name: f.dataType for f in REPORT_SCHEMAS[kind]}
+    if isinstance(known.get(name), LongType):
+        return _number(_cell(name))
+    return _cell(name).try_cast(FRACTIONS) if name in count_columns else None
+
+
+def _fits() -> Column:
+    return F.size("cells") <= F.size("names")
+
+
 def shape_rows(
-    cells: DataFrame, width: int, further: list[str], kind: str,
-    count_columns: tuple[str, ...] = (),
+    rows: DataFrame, further: list[str], kind: str, count_columns: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Name and type positional cells ``c0, c1, …`` by the ``names`` of the row's header.
+    """Name and type the ``cells`` of a row (``cell_values``) by the ``names`` of its header.
 
     Rows longer than their header go, whatever the surplus cells hold; short ones
     end in nulls. Columns a layout lacks are null. Columns beyond the known ones
     (``further``) are text unless listed in ``count_columns``. Each cell is looked
     up by the position of its name, so any number of layouts gives the same plan.
     """
-    known = {f.name: f.dataType for f in REPORT_SCHEMAS[kind]}
-    row = F.array(*[F.col(f"c{i}") for i in range(width)])
     out = []
-    for name in [*known, *further]:
-        if name in ("client", ""):
-            continue
-        place = F.array_position("names", name)
-        value = F.when(place > 0, F.get("cells", (place - 1).cast("int")))
-        value = F.when(~value.isin(NULL_WORDS), value)
-        if isinstance(known.get(name), LongType):
-            value = _number(value)
-        elif name in count_columns:
-            value = value.try_cast(FRACTIONS)
-        out.append(value.alias(name))
-    # The first cell is named too: Spark refuses to read nothing but raw records.
-    n_cells = F.coalesce(_separators(F.col(RAW)) + 1, F.lit(width))
-    fits = (n_cells <= F.size("names")) & (F.length(F.coalesce("c0", F.lit(""))) >= 0)
-    return cells.where(fits).withColumn("cells", row).select("client", *out)
+    for name in [*REPORT_SCHEMAS[kind].names, *further]:
+        if name not in ("client", ""):
+            value = _typed(name, kind, count_columns)
+            out.append((_cell(name) if value is None else value).alias(name))
+    return rows.where(_fits()).select("client", *out)
+
+
+def report_losses(
+    rows: DataFrame, kind: str, count_columns: tuple[str, ...] = ()
+) -> DataFrame:
+    """What reading loses, per client: ``kind, rows, skipped_rows, unparsed_cells``.
+
+    ``skipped_rows`` are longer than their header. ``unparsed_cells`` stand in number
+    columns of the other rows and are neither empty nor a whole number (in
+    ``count_columns``: nor a decimal); they are read as null.
+    """
+    unparsed = F.lit(0)
+    for name in [*REPORT_SCHEMAS[kind].names, *count_columns]:
+        value = _typed(name, kind, count_columns)
+        if value is not None:
+            unparsed += (_cell(name).isNotNull() & value.isNull()).cast("int")
+    return rows.groupBy("client").agg(
+        F.lit(kind).alias("kind"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~_fits()).alias("skipped_rows"),
+        F.coalesce(F.sum(F.when(_fits(), unparsed)), F.lit(0)).cast("long").alias("unparsed_cells"),
+    )
 
 
 def client_of(path: Column) -> Column:
@@ -115,29 +138,87 @@ def name_of(path: Column) -> Column:
     )
 
 
-def _csv_files(spark: SparkSession, paths, kind: str, schema: StructType, **options) -> DataFrame:
-    """Cells of every file of a kind; file names are filtered while listing."""
-    reader = spark.read.schema(schema).option("encoding", ENCODING)
-    for key, value in {**CSV_OPTIONS, **options}.items():
-        reader = reader.option(key, value)
-    files = reader.csv(paths).withColumn("path", F.col("_metadata.file_path"))
-    return files.where(
-        file_kind_matches(F.replace(F.col("_metadata.file_name"), F.lit("%20"), F.lit(" ")), kind)
-    )
+def _of_kind(file_name: Column, kind: str) -> Column:
+    return file_kind_matches(F.replace(file_name, F.lit("%20"), F.lit(" ")), kind)
+
+
+def _lines(spark: SparkSession, paths, kind: str) -> DataFrame:
+    """Lines of every file of a kind; file names are filtered while listing."""
+    return file_lines(spark, paths, ENCODING).where(_of_kind(F.col("file_name"), kind))
 
 
 def file_headers(spark: SparkSession, paths, kind: str) -> DataFrame:
-    """First non-blank line of every file of a kind: ``path``, ``header``."""
-    line = StructType([StructField("line", StringType())])
-    lines = _csv_files(spark, paths, kind, line, sep="\u0001", quote="", header=False)
-    return (
-        lines.where((F.col("_metadata.file_block_start") == 0) & (F.trim("line") != ""))
-        .select("path", "line", F.monotonically_increasing_id().alias("position"))
-        .groupBy("path")
-        .agg(F.min_by("line", "position").alias("header"))
+    """``path, header, broken`` for every file of a kind that is not blank.
+
+    ``broken`` files have a line that leaves a quoted cell open. In all others each line
+    is a record, and ``header`` is the first that is not blank.
+    """
+    lines = _lines(spark, paths, kind)
+    first = (
+        lines.where((F.col("block") == 0) & ~is_blank(F.col("line"))).groupBy("path")
+        .agg(F.min_by("line", F.struct("place", "nth")).alias("header"))
+    )
+    # A flag that combines before the shuffle; the few header lines come beside it.
+    broken = lines.groupBy("path").agg(F.max(leaves_open(F.col("line"))).alias("broken"))
+    return first.join(broken, "path").withColumn(
+        "header", F.regexp_replace("header", r"[\r\n]+\z", "")
     )
 
 
+def _plain_rows(spark: SparkSession, paths, kind: str) -> DataFrame:
+    """``path, record`` of files whose lines are records, without their headers."""
+    schema = StructType([StructField(c, StringType()) for c in ("line", RAW)])
+    lines = spark.read.schema(schema).options(**LINE_OPTIONS).csv(paths)
+    return lines.where(_of_kind(F.col("_metadata.file_name"), kind)).select(
+        F.col("_metadata.file_path").alias("path"), F.coalesce(RAW, "line").alias("record")
+    )
+
+
+def _broken_rows(spark: SparkSession, paths, kind: str, files: DataFrame):
+    """Headers, and ``path, record``, of files whose cells hold line breaks."""
+    lines = _lines(spark, paths, kind).join(files, "path", "left_semi")
+    records = cut_records(lines, store(block_states(lines)))
+    headers = records.where("number = 1").select("path", F.col("record").alias("header"))
+    return headers, records.where("number > 1").select("path", "record")
+
+
+def raw_rows(
+    spark: SparkSession, paths: str | list[str], kind: str, *, columns: list[str] | None = None,
+    multi_line: bool = True,
+) -> tuple[DataFrame, list[str]] | None:
+    """``client, names, cells`` of every row of a kind, and the further names; None without files."""
+    if columns is not None and not multi_line:
+        names = [c.replace("-", "_") for c in columns]
+        rows = _plain_rows(spark, paths, kind).withColumn("names", F.array(*map(F.lit, names)))
+        further = sorted(set(names) - set(REPORT_SCHEMAS[kind].names))
+    else:
+        files = store(file_headers(spark, paths, kind))
+        plain = files if not multi_line else files.where("not broken")
+        parts = []
+        if plain.limit(1).count():
+            parts.append((plain.select("path", "header"), _plain_rows(spark, paths, kind)))
+        if multi_line and files.where("broken").limit(1).count():
+            broken = broadcast_if_small(files.where("broken").select("path"))
+            headers, records = _broken_rows(spark, paths, kind, broken)
+            parts.append((store(headers), records))
+        if not parts:
+            return None
+        named = with_names(reduce(DataFrame.unionByName, [headers for headers, _ in parts]))
+        further = further_names(named, kind)
+        rows = reduce(
+            DataFrame.unionByName,
+            [
+                records.join(broadcast_if_small(with_names(headers).select("path", "names")), "path")
+                for headers, records in parts
+            ],
+        )
+    rows = rows.select(
+        client_of(F.col("path")).alias("client"), "names",
+        cell_values(F.col("record")).alias("cells"),
+    )
+    return rows, further
+
+
 def read_report(
     spark: SparkSession,
     paths: str | list[str],
@@ -151,32 +232,17 @@ def read_report(
 
     Columns are found by header name, so files may order them differently: one
     more pass over the text finds the header lines, and rows are mapped by the
-    layout of their file. Give ``columns`` when every file is known to have that
-    layout; the extra pass is then left out. Cells may hold line breaks inside
-    quotes; with ``multi_line=False`` they may not, and large files are split
-    among tasks.
+    layout of their file. The same pass finds the files whose cells hold line
+    breaks inside quotes; these are cut by ``records``. Files of either sort are
+    split among tasks. A quote opens a quoted cell only at the start of a cell.
+
+    With ``multi_line=False`` every line is taken as a row. If ``columns`` is given
+    too, every file has that layout, and the extra pass is left out.
     """
-    if columns is not None:
-        width = len(columns)
-        names = [c.replace("-", "_") for c in columns]
-        further = sorted(set(names) - set(REPORT_SCHEMAS[kind].names))
-        headers = None
-    else:
-        headers = store(file_headers(spark, paths, kind))
-        width = header_width(headers)
-        if not width:
-            return spark.createDataFrame([], REPORT_SCHEMAS[kind])
-        headers = header_names(headers, width)
-        further = further_names(headers, kind)
-        headers = headers.select("path", "names")
-    cells = _csv_files(
-        spark, paths, kind, cell_schema(width), header=True, multiLine=multi_line
-    ).withColumn("client", client_of(F.col("path")))
-    if headers is None:
-        cells = cells.withColumn("names", F.array(*map(F.lit, names)))
-    else:
-        cells = cells.join(broadcast_if_small(headers), "path")
-    return shape_rows(cells, width, further, kind, count_columns)
+    found = raw_rows(spark, paths, kind, columns=columns, multi_line=multi_line)
+    if found is None:
+        return spark.createDataFrame([], REPORT_SCHEMAS[kind])
+    return shape_rows(*found, kind, count_columns)
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -191,18 +257,36 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+LOSSES = "client string, kind string, rows long, skipped_rows long, unparsed_cells long"
+
+
+def with_losses(status: DataFrame, losses: DataFrame) -> DataFrame:
+    """``status`` with ``skipped_rows`` and ``unparsed_cells`` of each client, 0 where unread."""
+    counts = ["skipped_rows", "unparsed_cells"]
+    total = losses.groupBy("client").agg(*[F.sum(c).alias(c) for c in counts])
+    return status.join(total, "client", "left").fillna(0, subset=counts)
+
+
 def read_packages(
     spark: SparkSession, root: str, *, count_columns: tuple[str, ...] = (), multi_line: bool = True
 ) -> dict[str, DataFrame]:
-    """The three reports of every complete client folder, and ``status`` of all."""
+    """The three reports of every complete client folder, ``status`` of all, and ``losses``.
+
+    ``losses`` is ``report_losses`` of the complete folders, one row per client and kind;
+    ``status`` has their sums. Both read the files when they are asked for.
+    """
     files = list_files(spark, root)
-    status = report_status(files)
     complete = kinds_found(files, ["client"]).where(exactly_one_each()).select("client")
     complete = broadcast_if_small(store(complete))
-    reports = {
-        kind: read_report(
-            spark, f"{root}/*/*", kind, count_columns=count_columns, multi_line=multi_line
-        ).join(complete, "client", "left_semi")
-        for kind in REPORT_KINDS
-    }
-    return {**reports, "status": status}
+    reports, losses = {}, [spark.createDataFrame([], LOSSES)]
+    for kind in REPORT_KINDS:
+        found = raw_rows(spark, f"{root}/*/*", kind, multi_line=multi_line)
+        if found is None:
+            reports[kind] = spark.createDataFrame([], REPORT_SCHEMAS[kind])
+            continue
+        rows, further = found
+        rows = rows.join(complete, "client", "left_semi")
+        reports[kind] = shape_rows(rows, further, kind, count_columns)
+        losses.append(report_losses(rows, kind, count_columns))
+    losses = reduce(DataFrame.unionByName, losses)
+    return {**reports, "status": with_losses(report_status(files), losses), "losses": losses}

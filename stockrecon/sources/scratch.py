@@ -28,17 +28,40 @@ def store(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a file or folder, in any store that Spark reads."""
+def _found(spark: SparkSession, path: str):
+    """A path and its file system, of any store that Spark reads."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder."""
+    place, system = _found(spark, path)
+    return system.exists(place)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; nothing happens where there is none."""
+    place, system = _found(spark, path)
+    system.delete(place, True)
+
+
+def move(spark: SparkSession, path: str, folder: str) -> None:
+    """Move a file below ``folder``, keeping its name and that of its own folder."""
+    place, system = _found(spark, path)
+    target, _ = _found(spark, f"{folder}/{place.getParent().getName()}")
+    system.mkdirs(target)
+    named = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, place.getName())
+    if system.exists(place) and not system.rename(place, named):
+        raise OSError(f"cannot move {path} to {named.toString()}")
 
 
 class Shelf:
     """Written tables of one job under the checkpoint folder.
 
     ``put`` computes a frame once into Parquet and reads it back; ``clear``
-    deletes everything that was put, after which those frames are dead.
+    deletes everything that was put, after which those frames are dead. As a
+    context it clears itself, also when the job fails.
     """
 
     def __init__(self, spark: SparkSession):
@@ -46,6 +69,12 @@ class Shelf:
         self.folder = f"{ensure_checkpoint_dir(spark)}/shelf-{uuid.uuid4().hex}"
         self._tables = 0
 
+    def __enter__(self) -> Shelf:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.clear()
+
     def place(self) -> str:
         self._tables += 1
         return f"{self.folder}/{self._tables}"
@@ -57,6 +86,4 @@ class Shelf:
         return stored.select(*[f"`{c}`" for c in df.columns])
 
     def clear(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, self.folder)

@@ -12,15 +12,17 @@ from pyspark.sql.streaming import StreamingQuery
 from stockrecon.operators.skew import broadcast_if_small
 from stockrecon.sources.archives import (
     OK,
-    archive_lines,
-    archive_members,
+    archive_contents,
+    lines_of,
+    losses_from_lines,
+    members_of,
     package_status,
     reports_from_lines,
 )
 from stockrecon.sources.packages import name_clients
-from stockrecon.sources.reports import client_of, name_of
-from stockrecon.sources.scratch import Shelf, exists
-from stockrecon.sources.sinks import write_results
+from stockrecon.sources.reports import client_of, name_of, with_losses
+from stockrecon.sources.scratch import Shelf, delete, exists, move
+from stockrecon.sources.sinks import is_committed, read_results, write_results
 
 POLL = "2 hours"
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -31,19 +33,12 @@ def _today() -> dt.date:
 
 
 def arrivals(
-    spark: SparkSession, landing: str, *, files_per_batch: int | None = None,
-    archive_to: str | None = None,
+    spark: SparkSession, landing: str, *, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Stream of archives dropped as ``<landing>/<subject>/<file>``.
-
-    ``archive_to`` moves a file there after its batch: Spark does so when a later
-    batch is planned, so the last files stay until more arrive.
-    """
+    """Stream of archives dropped as ``<landing>/<subject>/<file>``."""
     reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if archive_to:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_to)
     files = reader.load(f"{landing}/*/*")
     return files.select(
         "path",
@@ -64,40 +59,53 @@ def reconcile_batch(
 ) -> dict[str, DataFrame]:
     """Name, judge and reconcile the packages of one batch; returns what was written.
 
-    Intermediate tables are deleted at the end.
+    The verdicts (``status``, with what reading lost) and the files taken (``taken``) are
+    tables of the run and become visible with it. Intermediate tables are deleted at
+    the end, also of a batch that fails.
     """
     spark = batch.sparkSession
-    shelf = Shelf(spark)
-    batch = shelf.put(batch)  # archives are read from the landing folder once
-    names = shelf.put(
-        name_clients(
-            batch.select("subject", "arrived", F.col("path").alias("package")),
-            known_clients(spark, out, run),
-            keep=shelf.put,
+    with Shelf(spark) as shelf:
+        batch = shelf.put(batch)  # archives are read from the landing folder once
+        names = shelf.put(
+            name_clients(
+                batch.select("subject", "arrived", F.col("path").alias("package")),
+                known_clients(spark, out, run),
+                keep=shelf.put,
+            )
+        )
+        named = broadcast_if_small(names.select(F.col("package").alias("path"), "client"))
+        contents = shelf.put(archive_contents(batch.join(named, "path")))
+        status = shelf.put(package_status(members_of(contents)))
+        usable = broadcast_if_small(status.where(F.col("status") == OK).select("client"))
+        lines = lines_of(contents).join(usable, "client", "left_semi")
+        status = with_losses(status, losses_from_lines(lines))
+        reports = reports_from_lines(lines)
+        return write_results(
+            reports["rec"], reports["adj"], reports["rei"], as_of, out,
+            run=run, gate_on_bursts=gate_on_bursts,
+            further={"status": status, "taken": batch.select("path")},
         )
-    )
-    named = broadcast_if_small(names.select(F.col("package").alias("path"), "client"))
-    archives = batch.join(named, "path")
-    status = package_status(archive_members(archives))
-    status.write.mode("overwrite").parquet(f"{out}/status/run={run}")
-    status = spark.read.parquet(f"{out}/status/run={run}")
-    usable = broadcast_if_small(status.where(F.col("status") == OK).select("client"))
-    lines = shelf.put(archive_lines(archives.join(usable, "client", "left_semi")))
-    reports = reports_from_lines(lines)
-    written = write_results(
-        reports["rec"], reports["adj"], reports["rei"], as_of, out,
-        run=run, gate_on_bursts=gate_on_bursts,
-    )
-    shelf.clear()
-    return {**written, "status": status}
 
 
 def known_clients(spark: SparkSession, out: str, run: str) -> DataFrame | None:
-    """Clients named by all other runs, or nothing before the first."""
-    if not exists(spark, f"{out}/status"):
-        return None
-    status = spark.read.option("basePath", f"{out}/status").parquet(f"{out}/status/*")
-    return status.where(F.col("run").cast("string") != run).select("client")
+    """Clients named by all other committed runs, or nothing before the first."""
+    status = read_results(spark, out, "status")
+    return None if status is None else status.where(F.col("run") != run).select("client")
+
+
+def clear_taken(spark: SparkSession, out: str, run: str, archive_to: str | None) -> None:
+    """Move the files of a committed run to ``archive_to``, or delete them.
+
+    Files that are gone already are passed over, so this may be repeated.
+    """
+    taken = read_results(spark, out, "taken")
+    if taken is None:
+        return
+    for row in taken.where(F.col("run") == run).select("path").toLocalIterator():
+        if archive_to:
+            move(spark, row["path"], archive_to)
+        else:
+            delete(spark, row["path"])
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -117,24 +125,31 @@ def stream_packages(
     every: str = POLL,
     files_per_batch: int | None = None,
     archive_to: str | None = None,
+    remove_taken: bool = False,
     gate_on_bursts: bool = False,
 ) -> StreamingQuery:
     """Start the pickup: with ``once`` take what is there and stop, else poll.
 
     The checkpoint remembers which files were taken. A run is named by the query
     and the batch: a batch that is repeated after a failure writes the same run
-    again, and another checkpoint on the same ``out`` writes runs of its own.
+    again, unless it was committed before, and another checkpoint on the same
+    ``out`` writes runs of its own. With ``archive_to`` the files of a batch move there,
+    with ``remove_taken`` they are deleted, in either case right after the run's commit
+    and never before; what a failure leaves of that is done with the next batch.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         day = as_of() if callable(as_of) else as_of
-        run = f"{stream_id(spark, checkpoint)}-{batch_id}"
-        reconcile_batch(batch, out, run, day, gate_on_bursts=gate_on_bursts)
+        name = stream_id(spark, checkpoint)
+        run = f"{name}-{batch_id}"
+        if not is_committed(spark, out, run):
+            reconcile_batch(batch, out, run, day, gate_on_bursts=gate_on_bursts)
+        if archive_to or remove_taken:
+            for done in (f"{name}-{batch_id - 1}", run):
+                clear_taken(spark, out, done, archive_to)
 
     trigger = {"availableNow": True} if once else {"processingTime": every}
-    source = arrivals(
-        spark, landing, files_per_batch=files_per_batch, archive_to=archive_to
-    )
+    source = arrivals(spark, landing, files_per_batch=files_per_batch)
     return (
         source.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)

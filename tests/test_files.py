@@ -19,7 +19,9 @@ from stockrecon.sources.archives import (
 )
 from stockrecon.sources.packages import allowed_only, name_clients
 from stockrecon.sources.reports import read_packages, read_report
-from stockrecon.sources.sinks import write_results
+from stockrecon.sources import sinks
+from stockrecon.sources.sinks import read_results, write_results
+from stockrecon.streaming import pickup
 from stockrecon.streaming.pickup import stream_packages
 
 REC_HEAD = "sku,fnsku,asin,product-name,condition,discrepant-quantity,quantity"
@@ -115,7 +117,9 @@ def test_known_columns_skip_the_header_pass(spark, tmp_path, monkeypatch):
     write_folder(tmp_path, "a", package_files())
     slow = read_report(spark, f"{tmp_path}/*/*", "adj")
     monkeypatch.setattr(csv_reports, "file_headers", None)
-    fast = read_report(spark, f"{tmp_path}/*/*", "adj", columns=ADJ_HEAD.split(","))
+    fast = read_report(
+        spark, f"{tmp_path}/*/*", "adj", columns=ADJ_HEAD.split(","), multi_line=False
+    )
     assert rows(fast) == rows(slow) and fast.count() == len(ADJ)
 
 
@@ -241,6 +245,17 @@ def test_client_names_from_subjects(spark):
         "package long, subject string, arrived string",
     ).withColumn("arrived", F.col("arrived").cast("timestamp"))
     seen = spark.createDataFrame([("old",)], "client string")
+    crowd = mail.where("package = 4").select(
+        F.explode(F.sequence(F.lit(100), F.lit(5099))).alias("package"), "subject", "arrived"
+    ).repartition(4)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        many = name_clients(mail.unionByName(crowd), seen)
+        named = dict(many.select("package", "client").collect())
+        assert named[4] == "Acme_240102_100000_2" and named[3] == "Acme_240102_100000"
+        assert all(named[p] == f"Acme_240102_100000_{p - 97}" for p in range(100, 5100))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
     assert rows(name_clients(mail, seen), "package", "client") == [
         (1, "Acme_240101_100000"), (2, "Acme"), (3, "Acme_240102_100000"),
         (4, "Acme_240102_100000_2"), (5, "was_no_subj_"), (6, "was_no_subj__240103_100000"),
@@ -266,7 +281,44 @@ def test_written_results_equal_the_lazy_ones_and_can_be_repeated(spark, tmp_path
         assert rows(written[name], *df.columns) == rows(df)
     assert rows(written["outcome"], "client", "outcome") == [("acme", "Macros reply - Ok")]
     assert written["pivot"].count() == 13
-    assert (tmp_path / "out" / "report" / "run=3" / "client=acme").is_dir()
+    tries = list((tmp_path / "out" / "report" / "run=3").iterdir())
+    assert len(tries) == 1 and (tries[0] / "client=acme").is_dir()  # the repeat replaced the first
+    shown = read_results(spark, str(tmp_path / "out"), "report")
+    assert rows(shown.drop("run"), *lazy["df_rec"].columns) == rows(lazy["df_rec"])
+    assert {r["run"] for r in shown.collect()} == {"3"}
+    assert read_results(spark, str(tmp_path / "none"), "report") is None
+    assert read_results(spark, str(tmp_path / "out"), "status") is None
+
+
+def test_a_run_that_fails_between_two_tables_is_not_seen(spark, tmp_path, monkeypatch):
+    write_folder(tmp_path / "in", "acme", package_files())
+    write_folder(tmp_path / "in", "007", package_files())
+    found = read_packages(spark, str(tmp_path / "in"))
+    inputs = [found[k] for k in ("rec", "adj", "rei")]
+    out = str(tmp_path / "out")
+    write_results(*inputs, AS_OF, out, run="1")
+    before = {t: rows(read_results(spark, out, t)) for t in ("report", "adjustments", "outcome")}
+    shelves = folders(shelf_root(spark))
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    for run in ("1", "2"):
+        with monkeypatch.context() as patch:
+            patch.setattr(sinks, "pivot_long", fail)  # report and crosstab are there by then
+            with pytest.raises(RuntimeError):
+                write_results(*inputs, AS_OF, out, run=run)
+        with monkeypatch.context() as patch:  # not even what a killed process leaves
+            patch.setattr(sinks, "pivot_long", fail)
+            patch.setattr(sinks.Run, "discard", lambda self: None)
+            with pytest.raises(RuntimeError):
+                write_results(*inputs, AS_OF, out, run=run)
+        assert {t: rows(read_results(spark, out, t)) for t in before} == before
+    assert folders(shelf_root(spark)) == shelves
+    write_results(*inputs, AS_OF, out, run="2")
+    report = read_results(spark, out, "report")
+    assert rows(report.where("run = '2'").drop("run")) == rows(report.where("run = '1'").drop("run"))
+    assert {r["client"] for r in report.collect()} == {"acme", "007"}
 
 
 def test_stream_takes_each_package_once(spark, tmp_path):
@@ -279,7 +331,7 @@ def test_stream_takes_each_package_once(spark, tmp_path):
         query = stream_packages(spark, landing, out, mark, as_of=AS_OF, once=True)
         query.awaitTermination()
         assert query.exception() is None
-        return spark.read.parquet(f"{out}/report")
+        return read_results(spark, out, "report")
 
     drop("Acme report", "pack.zip", ARCHIVES["mac"])
     drop("Broken", "pack.zip", ARCHIVES["crc"])
@@ -293,7 +345,7 @@ def test_stream_takes_each_package_once(spark, tmp_path):
     names = {r["client"] for r in again.select("client").distinct().collect()}
     assert "Acme" in names and len(names) == 2
     assert all(n == "Acme" or n.startswith("Acme_") for n in names)
-    status = rows(spark.read.parquet(f"{out}/status"), "client", "status")
+    status = rows(read_results(spark, out, "status"), "client", "status")
     assert ("Broken", "pack.zip - brocken *.zip") in status and len(status) == 3
 
 
@@ -312,7 +364,7 @@ def test_two_checkpoints_share_an_output(spark, tmp_path):
         )
         query.awaitTermination()
         assert query.exception() is None
-    report = spark.read.parquet(str(tmp_path / "out" / "report"))
+    report = read_results(spark, str(tmp_path / "out"), "report")
     assert {r["client"] for r in report.select("client").distinct().collect()} == {"Acme", "Other"}
     assert folders(shelf_root(spark)) == before  # nothing stored is left
 
@@ -325,18 +377,56 @@ def shelf_root(spark):
     return Path(ensure_checkpoint_dir(spark).removeprefix("file:")).parent
 
 
-def test_taken_files_move_to_the_archive(spark, tmp_path):
+def run_stream(spark, tmp_path, **options):
+    query = stream_packages(
+        spark, str(tmp_path / "landing"), str(tmp_path / "out"), str(tmp_path / "mark"),
+        as_of=AS_OF, once=True, **options,
+    )
+    query.awaitTermination()
+    return query
+
+
+def test_taken_files_leave_with_the_commit(spark, tmp_path):
     landing, kept = tmp_path / "landing", tmp_path / "kept"
     for turn in range(2):
         write_folder(landing, f"Acme{turn}", {"pack.zip": ARCHIVES["good"]})
-        query = stream_packages(
-            spark, str(landing), str(tmp_path / "out"), str(tmp_path / "mark"),
-            as_of=AS_OF, once=True, archive_to=str(kept),
-        )
-        query.awaitTermination()
-        assert query.exception() is None
-    assert [p.parent.name for p in kept.rglob("*.zip")] == ["Acme0"]
-    assert [p.parent.name for p in landing.rglob("*.zip")] == ["Acme1"]
+        assert run_stream(spark, tmp_path, archive_to=str(kept)).exception() is None
+        assert not list(landing.rglob("*.zip"))
+    assert sorted(p.parent.name for p in kept.rglob("*.zip")) == ["Acme0", "Acme1"]
+    write_folder(landing, "Acme2", {"pack.zip": ARCHIVES["good"]})
+    assert run_stream(spark, tmp_path, remove_taken=True).exception() is None
+    assert not list(landing.rglob("*.zip"))
+    report = read_results(spark, str(tmp_path / "out"), "report")
+    assert report.count() == 12 and report.select("run").distinct().count() == 3
+
+
+def test_a_batch_that_fails_keeps_its_files_and_one_that_was_committed_is_not_repeated(
+    spark, tmp_path, monkeypatch
+):
+    landing = tmp_path / "landing"
+    write_folder(landing, "Acme", {"pack.zip": ARCHIVES["good"]})
+    shelves = folders(shelf_root(spark))
+
+    def fail(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "pivot_long", fail)
+        with pytest.raises(Exception, match="lost"):
+            run_stream(spark, tmp_path, remove_taken=True)
+    assert len(list(landing.rglob("*.zip"))) == 1
+    assert read_results(spark, str(tmp_path / "out"), "report") is None
+    assert folders(shelf_root(spark)) == shelves
+    with monkeypatch.context() as patch:  # committed, then lost before the files were removed
+        patch.setattr(pickup, "clear_taken", fail)
+        with pytest.raises(Exception, match="lost"):
+            run_stream(spark, tmp_path, remove_taken=True)
+    assert len(list(landing.rglob("*.zip"))) == 1
+    with monkeypatch.context() as patch:
+        patch.setattr(pickup, "reconcile_batch", fail)  # not called again
+        assert run_stream(spark, tmp_path, remove_taken=True).exception() is None
+    assert not list(landing.rglob("*.zip"))
+    assert read_results(spark, str(tmp_path / "out"), "report").count() == 4
 
 
 def test_results_of_one_client_without_a_name(spark, tmp_path):
