@@ -7,7 +7,7 @@ each window of ``length`` bytes only the least 16-byte name is sent on: windows
 are equal have the same one, and neighbouring windows share it, about one in 18
 bytes. Spark sorts these, and names found in one document only are dropped with all
 their windows. The positions left are sorted once more, now with the bytes their
-windows span, and their ranks doubled from 16 to ``length``. Equal final ranks are
+windows span, and their ranks doubled up to ``length``. Equal final ranks are
 verified on the bytes, so a clash of names cannot remove anything.
 
 Names held by very many documents take another way to the same answer: their
@@ -29,8 +29,8 @@ LENGTH = 50
 #: Bytes of the first ranks that Spark sorts.
 FIRST = 16
 #: Bytes, and windows, that a task works on at once.
-PORTION = 1 << 20
-CHUNK = 1 << 19
+PORTION = 1 << 18
+CHUNK = 1 << 18
 #: Documents of one name above which its windows are grouped by Spark, not in one task.
 HOT = 1 << 16
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x94D049BB133111EB)
@@ -150,29 +150,32 @@ def _shared_only(batches):
 
 _SPANS = pa.schema(
     [("name", pa.int64()), ("doc", pa.int64()), ("which", pa.int64()), ("start", pa.int64()),
-     ("hot", pa.bool_()), ("body", pa.binary())]
+     ("body", pa.binary())]
 )
 
 
 def _spans_of(length: int):
-    """The bytes around every position that is left: ``name, doc, which, start, hot, body``."""
+    """The bytes around every position that is left: ``name, doc, which, start, body``."""
 
-    def known(lists) -> np.ndarray:
-        row = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
-        return lists.flatten().to_numpy().view(np.uint64) ^ (row.astype(np.uint64) * _B)
+    def known(lists) -> tuple[np.ndarray, np.ndarray]:
+        """Names mixed with the number of their row, and where each row's begin."""
+        sizes = lists.value_lengths().fill_null(0).to_numpy()
+        row = np.repeat(np.arange(len(lists)), sizes)
+        names = lists.flatten().to_numpy().view(np.uint64) ^ (row.astype(np.uint64) * _B)
+        return names, np.concatenate(([0], np.cumsum(sizes)))
 
     def run(batches):
         unzip = zstandard.ZstdDecompressor()
         for batch in batches:
             docs, which = (batch.column(i).to_numpy() for i in (0, 1))
-            left, hot = known(batch.column(3)), known(batch.column(4))
+            left, begin = known(batch.column(3))
             texts = [unzip.decompress(b) for b in batch.column(2).to_pylist()]
             for portion in _portions(texts, length):
                 joined, names, part, at, many = _runs(portion, length)
                 row = np.array([k for k, _, _ in portion])[part]
                 key = names.view(np.uint64) ^ (row.astype(np.uint64) * _B)
-                is_hot = np.isin(key, hot)
-                some = np.flatnonzero(np.isin(key, left) | is_hot)
+                mine = left[begin[portion[0][0]] : begin[portion[-1][0] + 1]]
+                some = np.flatnonzero(np.isin(key, mine))
                 origin = np.array([place for _, place, _ in portion])
                 sizes = np.array([len(p) for _, _, p in portion])
                 start = at - (np.cumsum(sizes) - sizes)[part] + origin[part]
@@ -180,7 +183,7 @@ def _spans_of(length: int):
                 bodies = [joined[i:j] for i, j in zip(at[some].tolist(), ends)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names[some]), pa.array(docs[row[some]]),
-                     pa.array(which[row[some]]), pa.array(start[some]), pa.array(is_hot[some]),
+                     pa.array(which[row[some]]), pa.array(start[some]),
                      pa.array(bodies, pa.binary())],
                     schema=_SPANS,
                 )
@@ -245,7 +248,7 @@ def _resolve(length: int):
                 continue
             held.append(batch)
             rows += batch.num_rows
-            if rows * (length - FIRST + 1) < CHUNK:
+            if rows * length < CHUNK:
                 continue
             table = pa.Table.from_batches(held)
             names = table.column("name").to_numpy()
@@ -349,12 +352,9 @@ def remove_repeats(
     ``spans`` are the maximal removed runs, ``past`` exclusive. Strings are judged on
     the input and never cross documents. Repeated rows keep a row each and count as
     one document. Rows without an id lose nothing and take nothing from others.
-    Other columns are not read; an empty table gives an empty result. ``length`` must
-    be at least 16. Names in more than ``hot`` documents are resolved by groupings; the
+    Other columns are not read; an empty table gives an empty result. Names in more than ``hot`` documents are resolved by groupings; the
     result does not depend on it.
     """
-    if length < FIRST:
-        raise ValueError(f"length must be at least {FIRST}")
     spark = docs.sparkSession
     ship_package(spark)
     shelf = Shelf(spark)
@@ -385,21 +385,21 @@ def remove_repeats(
     zipped = source.select("doc", which.alias("which"), "text").mapInArrow(
         _zipped, "doc long, which long, body binary"
     )
-    # One shuffle of the texts: both joins below read it.
+    # One shuffle of the texts: all joins below read it.
     texts = zipped.where("doc is not null").repartition("doc")
-    spans = texts.join(lists, "doc").select("doc", "which", "body", "names", "hot_names").mapInArrow(
-        _spans_of(length),
-        "name long, doc long, which long, start long, hot boolean, body binary",
-    )
-    cover = "doc long, which long, first long, past long"
-    if any_hot:
-        spans = shelf.put(spans)
+
+    def spans(names: str) -> DataFrame:
+        own = lists.where(F.size(names) > 0).select("doc", names)
+        return texts.join(own, "doc").select("doc", "which", "body", names).mapInArrow(
+            _spans_of(length), "name long, doc long, which long, start long, body binary"
+        )
+
     found = (
-        (spans.where("not hot") if any_hot else spans).repartition("name")
-        .sortWithinPartitions("name").mapInArrow(_resolve(length), cover)
+        spans("names").repartition("name").sortWithinPartitions("name")
+        .mapInArrow(_resolve(length), "doc long, which long, first long, past long")
     )
     if any_hot:
-        found = found.unionByName(_hot_cover(spans.where("hot"), length))
+        found = found.unionByName(_hot_cover(spans("hot_names"), length))
     gone = found.groupBy("doc").agg(F.collect_list(F.struct("which", "first", "past")).alias("gone"))
     without_id = zipped.where("doc is null").select(
         "doc", "which", "body", F.lit(None).cast(gone.schema["gone"].dataType).alias("gone")
