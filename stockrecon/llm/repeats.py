@@ -31,6 +31,8 @@ FIRST = 16
 #: Bytes, and windows, that a task works on at once.
 PORTION = 1 << 18
 CHUNK = 1 << 18
+#: Rows whose texts a task holds at once.
+ROWS = 512
 #: Documents of one name above which its windows are grouped by Spark, not in one task.
 HOT = 1 << 16
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x94D049BB133111EB)
@@ -58,6 +60,13 @@ def _least(values: np.ndarray, span: int) -> np.ndarray:
     return values
 
 
+def _slices(batches, rows: int = ROWS):
+    """Batches cut to so few rows that their texts, as a list, stay small."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def _portions(texts, length: int, size: int = PORTION):
     """Lists of (text number, place, bytes); each window of a text starts in one of them."""
     held, weight = [], 0
@@ -98,7 +107,7 @@ def _first_ranks(length: int):
     """Map side: ``name, doc``, each name of a portion once for a document."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             docs = batch.column(0).to_numpy()
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for portion in _portions([t or b"" for t in texts], length):
@@ -166,7 +175,7 @@ def _spans_of(length: int):
 
     def run(batches):
         unzip = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in _slices(batches):
             docs, which = (batch.column(i).to_numpy() for i in (0, 1))
             left, begin = known(batch.column(3))
             texts = [unzip.decompress(b) for b in batch.column(2).to_pylist()]
@@ -289,7 +298,7 @@ def _hot_cover(spans: DataFrame, length: int) -> DataFrame:
 
 def _zipped(batches):
     pack = zstandard.ZstdCompressor(level=1, write_content_size=True)
-    for batch in batches:
+    for batch in _slices(batches):
         texts = batch.column(2).cast(pa.binary()).to_pylist()
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:2], pa.array([pack.compress(t or b"") for t in texts], pa.binary())],
@@ -315,7 +324,7 @@ _SPAN_LIST = pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))
 
 def _cut(batches):
     unzip = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in _slices(batches):
         which = batch.column(1).to_pylist()
         lists = batch.column(3)
         sizes = lists.value_lengths().fill_null(0).to_numpy()
