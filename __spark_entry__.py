@@ -89,7 +89,7 @@ def _report(
     adj = _adj(spark, sf_dir)
     buckets = store(bursts.burst_buckets(adj))
     rec, rei = fixtures.stock(spark, sf_dir), _rei(spark, sf_dir)
-    report = plan.build_report(rec, adj, rei, buckets)
+    report = plan.build_report(rec, adj, rei, buckets, store)
     if gate_on_bursts:
         report = plan.with_bursts_only(report, buckets)
     return report, adj, buckets

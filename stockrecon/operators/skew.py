@@ -5,53 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000  # rows of one key that deserve a task of their own
-MAX_HOT_KEYS = 10_000  # no key outside the list can hold more than 1/10,000 of the rows
 KEY_COPIES = 64
 BROADCAST_ROWS = 100_000
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys with the number of ``slices`` each should be cut into.
-
-    At most ``MAX_HOT_KEYS`` rows whatever the input, so the list may be
-    broadcast. It only steers balance: keys off the list are joined unsliced.
-    """
-    return (
-        df.dropna(subset=keys)
-        .groupBy(*keys)
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > hot_rows)
-        .orderBy(F.desc("n"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col("n") / hot_rows).alias("slices"))
-    )
-
-
-def slice_for_join(
-    many: DataFrame, one: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, DataFrame]:
-    """Add a ``slice`` column to both sides; join on ``keys + ["slice"]``.
-
-    ``one`` has a single row per key. Rows of a hot key in ``many`` spread over
-    its slices by the input partition they come from, and the matching row of
-    ``one`` is repeated once per slice; ``slices`` in ``one`` says how often.
-    """
-    hot = F.broadcast(hot_keys(many, keys, hot_rows))
-    slices = F.coalesce("slices", F.lit(1).cast("long"))
-    many = (
-        many.join(hot, keys, "left")
-        .withColumn("slice", F.pmod(F.spark_partition_id().cast("long"), slices))
-        .drop("slices")
-    )
-    one = (
-        one.join(hot, keys, "left")
-        .withColumn("slices", slices)
-        .withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
-    )
-    return many, one
-
-
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast after counting that it has at most ``limit`` rows.
 
@@ -61,6 +18,12 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def _thinned(df: DataFrame, keys: list[str]) -> DataFrame:
+    copy = F.pmod(F.spark_partition_id(), F.lit(KEY_COPIES)).alias("copy")
+    thin = df.select(*keys, copy).groupBy(*keys, "copy").agg(F.count("*").alias("n"))
+    return thin.select(*keys)
+
+
 def keep_matching(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``df`` whose keys occur in ``other``.
 
@@ -68,6 +31,9 @@ def keep_matching(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame
     Grouping by a copy number too means the join still shuffles both sides
     itself, which is what lets adaptive execution split a hot key of ``df``.
     """
-    copy = F.pmod(F.spark_partition_id(), F.lit(KEY_COPIES)).alias("copy")
-    thin = other.select(*keys, copy).groupBy(*keys, "copy").agg(F.count("*").alias("n"))
-    return df.join(thin.select(*keys), keys, "left_semi")
+    return df.join(_thinned(other, keys), keys, "left_semi")
+
+
+def keep_missing(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``df`` whose keys do not occur in ``other``, thinned in the same way."""
+    return df.join(_thinned(other, keys), keys, "left_anti")

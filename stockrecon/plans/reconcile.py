@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -34,7 +35,7 @@ from stockrecon.operators.measures import (
 )
 from stockrecon.operators.products import fan_out_disposals, product_table
 from stockrecon.operators.regrades import flag_regrades
-from stockrecon.operators.skew import HOT_ROWS, keep_matching, slice_for_join
+from stockrecon.operators.skew import keep_matching, keep_missing
 from stockrecon.sources.scratch import store
 
 
@@ -58,57 +59,76 @@ def with_optional_counts(rec: DataFrame) -> DataFrame:
     return rec.withColumns({c: F.lit(0).cast("long") for c in missing})
 
 
-def product_rows(rec: DataFrame, products: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Stock rows with their product sums, internal names.
+def _branches(rec: DataFrame, products: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stock rows with their product sums, and placeholders of products without one.
 
-    A full outer join completes the catalogue too: a product without a stock row
-    becomes a placeholder if it has reimbursements. Every stock row of a
-    repeated product gets the full sums.
+    A product without a stock row becomes a placeholder if it has reimbursements.
+    Every stock row of a repeated product gets the full sums. Sums that are missing
+    are null.
     """
     keys = keys_of(rec, "fnsku")
+    stocked = rec.join(products, keys, "left")
+    missing = keep_missing(products.where("rei_rows > 0"), rec, keys)
+    placeholders = missing.select(
+        *[F.col(f.name) if f.name in keys else placeholder_value(f).alias(f.name)
+          for f in rec.schema],
+        *[f"`{c}`" for c in products.columns if c not in keys],
+    )
+    return stocked.drop("rei_rows"), placeholders.drop("rei_rows")
+
+
+def _prepared(rec: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Stock with the columns that sums need, and its number columns."""
     rec = with_own_names(with_optional_counts(rec))
-    numbers = [f.name for f in rec.schema if isinstance(f.dataType, NumericType)]
-    stock, sums = slice_for_join(rec.withColumn("stocked", F.lit(True)), products, keys, hot_rows)
-    # A sliced product is a stocked one, so a copy of it that meets no stock row
-    # is not a placeholder.
-    joined = stock.join(sums, keys + ["slice"], "full_outer").where(
-        "stocked OR (stocked IS NULL AND rei_rows > 0 AND slices = 1)"
-    )
-    filled = {
-        f.name: F.when(F.col("stocked"), F.col(f.name)).otherwise(placeholder_value(f))
-        for f in rec.schema
-        if f.name not in keys
-    }
-    return (
-        joined.withColumns(filled)
-        .drop("stocked", "slice", "slices", "rei_rows")
-        .fillna(0, subset=numbers + PRODUCT_SUMS)
-    )
+    return rec, [f.name for f in rec.schema if isinstance(f.dataType, NumericType)]
+
 
+def product_rows(rec: DataFrame, products: DataFrame) -> DataFrame:
+    """Stock rows and placeholders with their product sums, internal names."""
+    rec, numbers = _prepared(rec)
+    stocked, placeholders = _branches(rec, products)
+    return stocked.unionByName(placeholders).fillna(0, subset=numbers + PRODUCT_SUMS)
 
-def balanced_rows(rec: DataFrame, products: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+
+def balanced_rows(rec: DataFrame, products: DataFrame) -> DataFrame:
     """Stock rows, one per reimbursable disposal state, with sums and balances."""
-    rows = fan_out_disposals(product_rows(rec, products, hot_rows))
+    rows = fan_out_disposals(product_rows(rec, products))
     return derive_measures(rows.fillna(0, subset=["Disp_reimbrsble"]))
 
 
 def build_report(
-    rec: DataFrame, adj: DataFrame, rei: DataFrame, buckets: DataFrame, hot_rows: int = HOT_ROWS
+    rec: DataFrame, adj: DataFrame, rei: DataFrame, buckets: DataFrame,
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Per-product report from clipped inputs and the burst buckets of ``adj``.
 
+    ``keep`` may store the product sums, which are read for the stock rows and for the
+    placeholders; stored, they come to the joins straight from a shuffle, which is what
+    lets adaptive execution split a product with very many stock rows.
+
     Balances are zero when every quantity under them is, so the non-zero test
-    looks at one flag per product and the row's own quantities. That keeps the
-    condition short, which matters to whoever filters the report: the optimizer
-    restates a condition for every renamed column in it.
+    looks at one flag per product and the row's own quantities. It comes before the
+    columns are filled and renamed, and in each branch by itself: the optimizer
+    restates a condition for every filled or renamed column in it.
     """
-    products = product_table(adj, rei, flag_regrades(adj, buckets)).withColumn(
-        "moved", F.expr(any_nonzero(PRODUCT_SUMS))
+    products = keep(
+        product_table(adj, rei, flag_regrades(adj, buckets)).withColumn(
+            "moved", F.expr(any_nonzero(PRODUCT_SUMS))
+        )
     )
-    rows = fan_out_disposals(product_rows(rec, products, hot_rows))
-    own = any_nonzero(ROW_QUANTITIES + further_counts(with_own_names(rec)))
-    rows = rows.where(f"coalesce(moved, false) OR {own}").drop("moved")
-    return rename_measures(derive_measures(rows.fillna(0, subset=["Disp_reimbrsble"])))
+    rec, numbers = _prepared(rec)
+    own = any_nonzero(ROW_QUANTITIES + further_counts(rec))
+    filled = numbers + PRODUCT_SUMS + ["Disp_reimbrsble"]
+    stocked, placeholders = (
+        rename_measures(
+            derive_measures(
+                fan_out_disposals(part).where(f"coalesce(moved, false) OR {own}").drop("moved")
+                .fillna(0, subset=filled)
+            )
+        )
+        for part in _branches(rec, products)
+    )
+    return stocked.unionByName(placeholders)
 
 
 def with_bursts_only(df: DataFrame, buckets: DataFrame) -> DataFrame:
@@ -151,7 +171,7 @@ def reconcile(
     adj = clip_adjustments(adj, as_of, opening)
     rei = clip_reimbursements(rei, as_of, opening)
     buckets = keep(burst_buckets(adj))
-    report = build_report(rec, adj, rei, buckets)
+    report = build_report(rec, adj, rei, buckets, keep)
     if gate_on_bursts:
         report = with_bursts_only(report, buckets)
     report = keep(report)

@@ -191,22 +191,39 @@ def test_gate_on_bursts_is_per_client(spark):
     assert reconcile(*frames(spark), AS_OF, gate_on_bursts=True)["df_rec"].count() == 4
 
 
-def test_hot_product_is_sliced_without_changing_the_rows(spark):
+def test_adaptive_execution_splits_a_product_with_many_stock_rows(spark):
     rec, adj, rei = frames(spark, "acme")
-    many = rec.unionByName(
-        rec.where("fnsku = 'X1'")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(60))))
-        .drop("copy")
-        .repartition(6)
+    copies = rec.where("fnsku = 'X1'").select(
+        "*", F.explode(F.sequence(F.lit(1), F.lit(20_000))).alias("copy")
     )
+    many = rec.unionByName(
+        copies.withColumn("sku", F.sha2(F.col("copy").cast("string"), 256)).drop("copy")
+    ).repartition(8)
     adj, rei = clip_adjustments(adj, AS_OF), clip_reimbursements(rei, AS_OF)
     buckets = burst_buckets(adj)
-    plain = build_report(many, adj, rei, buckets)
-    sliced = build_report(many, adj, rei, buckets, hot_rows=7)
-    assert rows(sliced) == rows(plain)
-    assert sliced.count() == 61 * 2 + 2
-    wide = product_table(adj, rei, flag_regrades(adj, buckets))
-    assert product_rows(many, wide, hot_rows=7).count() == 63 + 1  # X2, X4, placeholder X3
+    plain = build_report(rec, adj, rei, buckets)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        hot = build_report(many, adj, rei, buckets, store)
+        assert len(hot.collect()) == 20_001 * 2 + 2
+        executed = hot._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in executed.split("== Initial Plan ==")[0]
+        assert rows(hot.where("length(sku) < 60")) == rows(plain)
+        wide = store(product_table(adj, rei, flag_regrades(adj, buckets)))
+        assert product_rows(many, wide).count() == 20_003 + 1  # X2, X4, placeholder X3
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_further_stock_counts_keep_a_product_in_the_report(spark):
