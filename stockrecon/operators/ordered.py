@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockrecon.operators.skew import broadcast_if_small
 from stockrecon.sources.scratch import store
 
 BLOCK = "range_block"
@@ -65,9 +66,11 @@ def with_carried(rows: DataFrame, by: list[str], value: str, order: list[str], n
         rows.where(F.col(value).isNotNull()).groupBy(*by, BLOCK)
         .agg(F.max_by(value, F.struct(*_last_key(order))).alias("tail"))
     )
-    blocks = rows.select(*by, BLOCK).distinct()
+    value_type = rows.schema[value].dataType
+    blocks = rows.select(*by, BLOCK, F.lit(None).cast(value_type).alias("tail"))
+    either = blocks.unionByName(tails).groupBy(*by, BLOCK).agg(F.max("tail").alias("tail"))
     until = _over_blocks(by).rowsBetween(Window.unboundedPreceding, -1)
-    carried = _on_block(blocks, tails, by).select(
+    carried = either.select(
         *by, BLOCK, F.last("tail", ignorenulls=True).over(until).alias("carried")
     )
     own = in_block(by, order).rowsBetween(Window.unboundedPreceding, 0)
@@ -95,7 +98,11 @@ def with_number(rows: DataFrame, by: list[str], order: list[str], name: str) ->
 
 
 def _on_block(rows: DataFrame, facts: DataFrame, by: list[str]) -> DataFrame:
-    """Rows with the facts of their key and block; null keys match themselves."""
-    named = facts.withColumnsRenamed({c: f"_{c}" for c in [*by, BLOCK]})
+    """Rows with the facts of their key and block; null keys match themselves.
+
+    The facts are stored and, where counting shows them to be few, broadcast, so that rows
+    are shuffled for their window alone.
+    """
+    named = broadcast_if_small(store(facts)).withColumnsRenamed({c: f"_{c}" for c in [*by, BLOCK]})
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*by, BLOCK]]
     return rows.join(named, same, "left").drop(*[f"_{c}" for c in [*by, BLOCK]])
