@@ -100,6 +100,12 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store(plan.drill_down(adj, report, buckets))
 
 
+def _reported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adjustments of reported products, the others held back by a Bloom filter."""
+    report, adj, _ = _report(spark, sf_dir)
+    return crosstab.of_reported_products(adj, store(report), prefilter=True)
+
+
 def _outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = fixtures.stock(spark, sf_dir)
     results = plan.reconcile(
@@ -288,6 +294,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "report": lambda spark, sf: measures.order_report(_report(spark, sf)[0]),
         "report_gated": lambda spark, sf: _report(spark, sf, gate_on_bursts=True)[0],
+        "reported_adjustments": _reported,
         "adj_filtered": _rows,
         "disposition_recode": on_adj(crosstab.recode_dispositions),
         "crosstab": on_rows(lambda rows: crosstab.order_crosstab(crosstab.crosstab(rows))),

@@ -293,6 +293,9 @@ _STATEMENTS: dict[str, str] = {
     "report": "SELECT * FROM report",
     "report_gated":
         "SELECT * FROM report WHERE client IN (SELECT client FROM bursts WHERE tr_id <> 0)",
+    "reported_adjustments": """
+        SELECT a.* FROM adj a WHERE EXISTS (
+            SELECT 1 FROM report r WHERE r.client = a.client AND r."00_fnsku" = a.fnsku)""",
     "adj_filtered": "SELECT * FROM drill",
     "disposition_recode": f"SELECT * REPLACE ({_RECODE}) FROM adj",
     "crosstab": _CROSSTAB,

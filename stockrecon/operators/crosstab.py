@@ -7,14 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from stockrecon.domain import DISPOSITIONS, DRILLDOWN_KEYS, DRILLDOWN_STATES, keys_of
+from stockrecon.operators.prefilter import may_match
 from stockrecon.operators.skew import keep_matching
 
 
-def of_reported_products(adj: DataFrame, report: DataFrame) -> DataFrame:
-    """Adjustments whose product is in the report."""
-    return keep_matching(
-        adj, report.withColumnRenamed("00_fnsku", "fnsku"), keys_of(adj, "fnsku")
-    )
+def of_reported_products(adj: DataFrame, report: DataFrame, prefilter: bool = False) -> DataFrame:
+    """Adjustments whose product is in the report.
+
+    With ``prefilter`` a Bloom filter of the reported products, which should be stored,
+    keeps most other adjustments out of the shuffle.
+    """
+    keys = keys_of(adj, "fnsku")
+    products = report.withColumnRenamed("00_fnsku", "fnsku").select(*keys)
+    return keep_matching(may_match(adj, products, keys) if prefilter else adj, products, keys)
 
 
 def recode_dispositions(adj: DataFrame) -> DataFrame:

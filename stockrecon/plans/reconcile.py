@@ -141,9 +141,15 @@ def with_bursts_only(df: DataFrame, buckets: DataFrame) -> DataFrame:
     return tagged.drop("any_burst")
 
 
-def drill_down(adj: DataFrame, report: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Adjustments of reported products with ``tr_id`` and drill-down state names."""
-    return recode_dispositions(attach_bursts(of_reported_products(adj, report), buckets))
+def drill_down(
+    adj: DataFrame, report: DataFrame, buckets: DataFrame, prefilter: bool = False
+) -> DataFrame:
+    """Adjustments of reported products with ``tr_id`` and drill-down state names.
+
+    ``prefilter`` is for a stored report, see ``of_reported_products``.
+    """
+    reported = of_reported_products(adj, report, prefilter)
+    return recode_dispositions(attach_bursts(reported, buckets))
 
 
 def reconcile(
@@ -175,7 +181,7 @@ def reconcile(
     if gate_on_bursts:
         report = with_bursts_only(report, buckets)
     report = keep(report)
-    rows = keep(drill_down(adj, report, buckets))
+    rows = keep(drill_down(adj, report, buckets, prefilter=store_shared))
     table = crosstab(rows)
     if ordered:
         report, table = order_report(report), order_crosstab(table)

@@ -180,7 +180,7 @@ def _write_tables(this, shelf, rec, adj, rei, as_of, opening, gate_on_bursts):
     if gate_on_bursts:
         report = with_bursts_only(report, buckets)
     report = this.write(order_report(report), "report")
-    rows = this.write(_balanced(drill_down(adj, report, buckets)), "adjustments")
+    rows = this.write(_balanced(drill_down(adj, report, buckets, prefilter=True)), "adjustments")
     table = this.write(order_crosstab(crosstab(rows)), "crosstab")
     long = this.write(_balanced(pivot_long(rows)), "pivot")
     clients = None
