@@ -19,7 +19,7 @@ from stockrecon import fixtures
 from stockrecon.functions.text import client_key
 from stockrecon.operators import bursts, catalogue, clip, crosstab, measures, products, regrades
 from stockrecon.plans import reconcile as plan
-from stockrecon.sources import archives, packages, reports, sinks
+from stockrecon.sources import archives, history, packages, reports, sinks
 from stockrecon.sources.scratch import ensure_checkpoint_dir, store
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -106,6 +106,14 @@ def _reported(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosstab.of_reported_products(adj, store(report), prefilter=True)
 
 
+def _from_history(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Results over stock and adjustments that were landed bucketed by product."""
+    path = f"{ensure_checkpoint_dir(spark)}/history-{uuid.uuid4().hex}"
+    rec = history.land_history(fixtures.stock(spark, sf_dir), f"{path}/rec")
+    adj = history.land_history(_iso(fixtures.adjustments(spark, sf_dir), "adjusted_date"), f"{path}/adj")
+    return plan.reconcile(rec, adj, _rei(spark, sf_dir), fixtures.AS_OF)
+
+
 def _outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = fixtures.stock(spark, sf_dir)
     results = plan.reconcile(
@@ -295,6 +303,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report": lambda spark, sf: measures.order_report(_report(spark, sf)[0]),
         "report_gated": lambda spark, sf: _report(spark, sf, gate_on_bursts=True)[0],
         "reported_adjustments": _reported,
+        "history_report": lambda spark, sf: _from_history(spark, sf)["df_rec"],
+        "history_adjustments": lambda spark, sf: _from_history(spark, sf)["df_adj_filtered"],
         "adj_filtered": _rows,
         "disposition_recode": on_adj(crosstab.recode_dispositions),
         "crosstab": on_rows(lambda rows: crosstab.order_crosstab(crosstab.crosstab(rows))),

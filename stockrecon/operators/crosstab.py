@@ -9,16 +9,20 @@ from pyspark.sql.types import StringType
 from stockrecon.domain import DISPOSITIONS, DRILLDOWN_KEYS, DRILLDOWN_STATES, keys_of
 from stockrecon.operators.prefilter import may_match
 from stockrecon.operators.skew import keep_matching
+from stockrecon.operators.sliced import is_sliced, keep_matching_sliced
 
 
 def of_reported_products(adj: DataFrame, report: DataFrame, prefilter: bool = False) -> DataFrame:
     """Adjustments whose product is in the report.
 
     With ``prefilter`` a Bloom filter of the reported products, which should be stored,
-    keeps most other adjustments out of the shuffle.
+    keeps most other adjustments out of the shuffle. Adjustments from a bucketed
+    history stay where they are.
     """
     keys = keys_of(adj, "fnsku")
     products = report.withColumnRenamed("00_fnsku", "fnsku").select(*keys)
+    if is_sliced(adj):
+        return keep_matching_sliced(adj, products, keys)
     return keep_matching(may_match(adj, products, keys) if prefilter else adj, products, keys)
 
 

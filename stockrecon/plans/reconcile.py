@@ -36,7 +36,9 @@ from stockrecon.operators.measures import (
 from stockrecon.operators.products import fan_out_disposals, product_table
 from stockrecon.operators.regrades import flag_regrades
 from stockrecon.operators.skew import keep_matching, keep_missing
-from stockrecon.sources.scratch import store
+from stockrecon.operators.sliced import SLICE, is_sliced, layout, per_slice
+from stockrecon.sources.history import put_sums
+from stockrecon.sources.scratch import Shelf, store
 
 
 ROW_QUANTITIES = ["discrepant_quantity", "quantity", "Disp_reimbrsble"]
@@ -64,10 +66,18 @@ def _branches(rec: DataFrame, products: DataFrame) -> tuple[DataFrame, DataFrame
 
     A product without a stock row becomes a placeholder if it has reimbursements.
     Every stock row of a repeated product gets the full sums. Sums that are missing
-    are null.
+    are null. Stock from a bucketed history stays where it is and the sums come once
+    per slice; they do so already where they were stored for it.
     """
     keys = keys_of(rec, "fnsku")
-    stocked = rec.join(products, keys, "left")
+    if is_sliced(rec):
+        sums = products if is_sliced(products) else per_slice(products, layout(rec)[0])
+        stocked = rec.join(sums, [*keys, SLICE], "left").drop(SLICE)
+        rec = rec.drop(SLICE)
+        if is_sliced(products):
+            products = products.where(F.col(SLICE) == "0").drop(SLICE)
+    else:
+        stocked = rec.join(products, keys, "left")
     missing = keep_missing(products.where("rei_rows > 0"), rec, keys)
     placeholders = missing.select(
         *[F.col(f.name) if f.name in keys else placeholder_value(f).alias(f.name)
@@ -98,24 +108,27 @@ def balanced_rows(rec: DataFrame, products: DataFrame) -> DataFrame:
 
 def build_report(
     rec: DataFrame, adj: DataFrame, rei: DataFrame, buckets: DataFrame,
-    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df, shelf: Shelf | None = None,
 ) -> DataFrame:
     """Per-product report from clipped inputs and the burst buckets of ``adj``.
 
     ``keep`` may store the product sums, which are read for the stock rows and for the
     placeholders; stored, they come to the joins straight from a shuffle, which is what
-    lets adaptive execution split a product with very many stock rows.
+    lets adaptive execution split a product with very many stock rows. For stock from a
+    bucketed history, ``shelf`` may store them in the buckets of the stock instead.
 
     Balances are zero when every quantity under them is, so the non-zero test
     looks at one flag per product and the row's own quantities. It comes before the
     columns are filled and renamed, and in each branch by itself: the optimizer
     restates a condition for every filled or renamed column in it.
     """
-    products = keep(
-        product_table(adj, rei, flag_regrades(adj, buckets)).withColumn(
-            "moved", F.expr(any_nonzero(PRODUCT_SUMS))
-        )
+    products = product_table(adj, rei, flag_regrades(adj, buckets)).withColumn(
+        "moved", F.expr(any_nonzero(PRODUCT_SUMS))
     )
+    if shelf and is_sliced(rec):
+        products = put_sums(products, rec, shelf.place())
+    else:
+        products = keep(products)
     rec, numbers = _prepared(rec)
     own = any_nonzero(ROW_QUANTITIES + further_counts(rec))
     filled = numbers + PRODUCT_SUMS + ["Disp_reimbrsble"]
@@ -177,7 +190,8 @@ def reconcile(
     adj = clip_adjustments(adj, as_of, opening)
     rei = clip_reimbursements(rei, as_of, opening)
     buckets = keep(burst_buckets(adj))
-    report = build_report(rec, adj, rei, buckets, keep)
+    shelf = Shelf(adj.sparkSession) if store_shared and is_sliced(rec) else None
+    report = build_report(rec, adj, rei, buckets, keep, shelf)
     if gate_on_bursts:
         report = with_bursts_only(report, buckets)
     report = keep(report)

@@ -176,7 +176,7 @@ def _write_tables(this, shelf, rec, adj, rei, as_of, opening, gate_on_bursts):
     adj = clip_adjustments(adj, as_of, opening)
     rei = clip_reimbursements(rei, as_of, opening)
     buckets = shelf.put(burst_buckets(adj))
-    report = build_report(rec, adj, rei, buckets, shelf.put)
+    report = build_report(rec, adj, rei, buckets, shelf.put, shelf)
     if gate_on_bursts:
         report = with_bursts_only(report, buckets)
     report = this.write(order_report(report), "report")
