@@ -1,9 +1,12 @@
 """Lines that many documents share, by levelled sorted runs of line hashes.
 
 Documents come in batches, largest ids first. A batch reduces to one row per line
-key: in how many documents, and the largest id. Keys that the runs already know
-from enough documents are taken out by an anti join, the rest is added as a sorted
-run of its own. Full levels are merged into one run of the next level.
+key: in how many documents, and the largest id. It meets every run in a merge join;
+keys that the runs together know from enough documents are taken out, the rest is
+added as a sorted run of its own. Full levels are merged into one run of the next
+level. All runs lie in the same buckets, each sorted by key, so merge joins and
+compactions read them in place: only the batch itself is shuffled, once, after it was
+combined.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ MIN_CHARS = 20
 MIN_DOCS = 3
 BATCHES = 4
 #: Runs of a level that are merged into one of the next.
-FAN_IN = 3
+FAN_IN = 2
 _KEY = ["h1", "h2"]
 
 
@@ -37,44 +40,66 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
 
 
 class LineRuns:
-    """Runs ``h1, h2, n, last`` on levels: documents that hold a key, and the largest id."""
+    """Runs ``h1, h2, n, last`` on levels: documents that hold a key, and the largest id.
 
-    def __init__(self, shelf: Shelf, *, min_docs: int = MIN_DOCS, fan_in: int = FAN_IN):
+    ``buckets`` defaults to ``spark.sql.shuffle.partitions``, in which a batch arrives
+    anyway; with another number Spark shuffles once more, and results are the same.
+    """
+
+    def __init__(
+        self, shelf: Shelf, *, min_docs: int = MIN_DOCS, fan_in: int = FAN_IN,
+        buckets: int | None = None,
+    ):
         self.shelf = shelf
         self.min_docs = min_docs
         self.fan_in = fan_in
+        self.buckets = buckets or int(shelf.spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = [[]]
 
-    @staticmethod
-    def _merged(runs: list[DataFrame]) -> DataFrame:
-        rows = reduce(DataFrame.unionByName, runs)
-        return rows.groupBy(*_KEY).agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+    def _merged(self, left: DataFrame, right: DataFrame) -> DataFrame:
+        """Two runs as one. A join, as Spark 4.1 groups a union of bucketed scans wrongly."""
+        theirs = right.select(*_KEY, F.col("n").alias("m"), F.col("last").alias("late"))
+        rows = left.join(theirs, _KEY, "full").select(
+            *_KEY,
+            (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"),
+            F.greatest("last", "late").alias("last"),
+        )
+        return self._run(rows)
 
     def _run(self, rows: DataFrame) -> DataFrame:
-        return self.shelf.put(rows.sortWithinPartitions(*_KEY))
+        return self.shelf.put_bucketed(rows, _KEY, self.buckets)
 
-    def settled(self) -> DataFrame | None:
-        """Keys known from enough documents, with the id that keeps them."""
-        runs = [run for level in self.levels for run in level]
-        return self._merged(runs).where(F.col("n") >= self.min_docs) if runs else None
+    def runs(self) -> list[DataFrame]:
+        return [run for level in self.levels for run in level]
+
+    def unsettled(self, own: DataFrame) -> DataFrame:
+        """Rows of ``own`` whose key the runs do not yet know from enough documents."""
+        known, columns = F.lit(0), own.columns
+        for i, run in enumerate(self.runs()):
+            own = own.join(run.select(*_KEY, F.col("n").alias(f"n{i}")), _KEY, "left")
+            known += F.coalesce(f"n{i}", F.lit(0))
+        return own.where(known < self.min_docs).select(*columns)
 
     def add(self, batch: DataFrame) -> None:
         """Take in ``doc_id, h1, h2``, one row per document and key, ids below all earlier ones."""
         own = batch.groupBy(*_KEY).agg(
             F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last")
         )
-        settled = self.settled()
-        if settled is not None:
-            own = own.join(settled, _KEY, "left_anti")
-        self.levels[0].append(self._run(own))
+        self.levels[0].append(self._run(self.unsettled(own)))
         level = 0
         while len(self.levels[level]) >= self.fan_in:
             if level + 1 == len(self.levels):
                 self.levels.append([])
-            self.levels[level + 1].append(self._run(self._merged(self.levels[level])))
+            self.levels[level + 1].append(reduce(self._merged, self.levels[level]))
             self.levels[level] = []
             level += 1
 
+    def settled(self) -> DataFrame:
+        """Keys known from enough documents, with the id that keeps them; merges all runs."""
+        whole = reduce(self._merged, self.runs())
+        self.levels = [[] for _ in self.levels[1:]] + [[whole]]
+        return whole.where(F.col("n") >= self.min_docs)
+
 
 def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
     """``doc_id, h1, h2`` for every key of a document, each once."""

@@ -72,6 +72,35 @@ def test_runs_move_up_and_leave_out_what_is_settled(spark):
     assert sorted(map(tuple, runs.levels[1][0].collect())) == [(1, 1, 2, 9), (2, 2, 2, 7)]
 
 
+def test_batches_meet_runs_and_runs_meet_without_an_exchange(spark, monkeypatch):
+    """Only the combined batch is shuffled: one exchange for it, none for two runs."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    written = []
+    put = Shelf.put_bucketed
+
+    def noting(self, df, by, buckets):
+        written.append(df._jdf.queryExecution().executedPlan().toString())
+        return put(self, df, by, buckets)
+
+    monkeypatch.setattr(Shelf, "put_bucketed", noting)
+    try:
+        runs = LineRuns(Shelf(spark), fan_in=3)
+        for batch in range(4):
+            ids = spark.range(1000 * (4 - batch), 1000 * (5 - batch))
+            runs.add(ids.selectExpr("id as doc_id", "id % 100 as h1", "id % 700 as h2"))
+        found = {(r.h1, r.h2): r.last for r in runs.settled().collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # Batches 1, 2, 3, their merge in two steps, batch 4, the last merge.
+    assert [plan.count("Exchange") for plan in written][:4] == [1, 1, 1, 0]
+    assert [plan.count("SortMergeJoin") for plan in written][:4] == [0, 1, 2, 1]
+    holders = {}
+    for i in range(1000, 5000):
+        holders.setdefault((i % 100, i % 700), []).append(i)
+    assert found == {k: max(v) for k, v in holders.items() if len(v) >= 3}
+
+
 def test_query_and_sql_count_repeated_rows_alike(spark, tmp_path):
     """Two rows of one id and a third document make three; rows without an id keep all."""
     line = "a line that is long enough to count"
