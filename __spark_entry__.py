@@ -114,6 +114,20 @@ def _from_history(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return plan.reconcile(rec, adj, _rei(spark, sf_dir), fixtures.AS_OF)
 
 
+def _grown_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over stock and adjustments that came in three landings each."""
+    path = f"{ensure_checkpoint_dir(spark)}/history-{uuid.uuid4().hex}"
+    adj = _iso(fixtures.adjustments(spark, sf_dir), "adjusted_date")
+    parts = {"rec": fixtures.stock(spark, sf_dir), "adj": adj}
+    for name, rows in parts.items():
+        part = F.pmod(F.xxhash64(*[f"`{c}`" for c in rows.columns]), F.lit(3))
+        history.land_history(rows.where(part == 0), f"{path}/{name}")
+        for i in (1, 2):
+            history.add_to_history(rows.where(part == i), f"{path}/{name}")
+    rec, adj = (history.open_history(spark, f"{path}/{name}") for name in parts)
+    return plan.reconcile(rec, adj, _rei(spark, sf_dir), fixtures.AS_OF)["df_rec"]
+
+
 def _outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = fixtures.stock(spark, sf_dir)
     results = plan.reconcile(
@@ -305,6 +319,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reported_adjustments": _reported,
         "history_report": lambda spark, sf: _from_history(spark, sf)["df_rec"],
         "history_adjustments": lambda spark, sf: _from_history(spark, sf)["df_adj_filtered"],
+        "history_grown": _grown_history,
         "adj_filtered": _rows,
         "disposition_recode": on_adj(crosstab.recode_dispositions),
         "crosstab": on_rows(lambda rows: crosstab.order_crosstab(crosstab.crosstab(rows))),

@@ -297,6 +297,7 @@ _STATEMENTS: dict[str, str] = {
         SELECT a.* FROM adj a WHERE EXISTS (
             SELECT 1 FROM report r WHERE r.client = a.client AND r."00_fnsku" = a.fnsku)""",
     "history_report": "SELECT * FROM report",
+    "history_grown": "SELECT * FROM report",
     "history_adjustments": "SELECT * FROM drill",
     "adj_filtered": "SELECT * FROM drill",
     "disposition_recode": f"SELECT * REPLACE ({_RECODE}) FROM adj",

@@ -2,7 +2,7 @@
 
 A slice is a share of a product's rows, so that a product with very many rows lies in
 many buckets. Whatever meets such a table comes once per slice; the table stays where
-it is. How many slices and buckets there are is metadata of the column.
+it is. How many slices and buckets there are is the comment of the column.
 """
 
 from __future__ import annotations
@@ -17,10 +17,15 @@ def is_sliced(df: DataFrame) -> bool:
     return SLICE in df.columns
 
 
+def layout_text(slices: int, buckets: int) -> str:
+    """Comment of the slice column of a bucketed table."""
+    return f"{slices} slices, {buckets} buckets"
+
+
 def layout(df: DataFrame) -> tuple[int, int]:
     """Slices of a product and buckets of the table."""
-    meta = df.schema[SLICE].metadata
-    return meta["slices"], meta["buckets"]
+    slices, buckets = df.schema[SLICE].metadata["comment"].split(", ")
+    return int(slices.split()[0]), int(buckets.split()[0])
 
 
 def with_slice(df: DataFrame, slices: int) -> DataFrame:

@@ -12,7 +12,14 @@ from stockrecon.operators.products import product_table
 from stockrecon.operators.regrades import flag_regrades
 from stockrecon.operators.sliced import SLICE, layout
 from stockrecon.plans.reconcile import product_rows, reconcile
-from stockrecon.sources.history import land_history, open_history, put_sums
+from stockrecon.sources import history
+from stockrecon.sources.history import (
+    add_to_history,
+    compact_history,
+    land_history,
+    open_history,
+    put_sums,
+)
 from stockrecon.sources.scratch import store
 from stockrecon.sources.sinks import read_results, write_results
 
@@ -121,3 +128,74 @@ def test_a_history_opens_again_and_keeps_nulls_and_odd_names(spark, tmp_path):
     empty = land_history(df.limit(0), str(tmp_path / "empty"))
     assert empty.count() == 0 and empty.columns == [*df.columns, SLICE]
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+
+
+def _in_parts(df, path, parts=3, **options):
+    """A history that grew: rows dealt to landings by their content."""
+    part = F.pmod(F.xxhash64(*[f"`{c}`" for c in df.columns]), F.lit(parts))
+    land_history(df.where(part == 0), path, **options)
+    for i in range(1, parts):
+        found = add_to_history(df.where(part == i), path)
+    return found
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_runs_over_a_history_that_grew(spark, tmp_path, compacted):
+    rec, adj, rei = frames(spark, "acme")
+    paths = [str(tmp_path / name) for name in ("rec", "adj")]
+    kept = [_in_parts(df, path, buckets=3, slices=4) for df, path in zip((rec, adj), paths)]
+    if compacted:
+        kept = [compact_history(spark, path) for path in paths]
+    plain, found = reconcile(rec, adj, rei, AS_OF), reconcile(*kept, rei, AS_OF)
+    for name in plain:
+        assert rows(found[name]) == rows(plain[name])
+
+
+def test_landings_are_not_moved_and_their_buckets_meet(spark, tmp_path, no_broadcast):
+    rec, adj, rei = frames(spark, "acme")
+    adj, rei = clip_adjustments(adj, AS_OF), clip_reimbursements(rei, AS_OF)
+    table = product_table(adj, rei, flag_regrades(adj, burst_buckets(adj)))
+    kept = _in_parts(rec, str(tmp_path / "rec"), buckets=4)
+    sums = put_sums(table, kept, str(tmp_path / "sums"))
+    found = product_rows(kept, sums)
+    assert len([j for j in _joins(found) if all("Exchange" not in side for side in j)]) == 1
+    plain = product_rows(rec, table)
+    assert rows(found.select(*sorted(plain.columns))) == rows(plain.select(*sorted(plain.columns)))
+    # The same product in all landings is one group.
+    copies = str(tmp_path / "copies")
+    land_history(rec, copies, buckets=4, slices=1)
+    twice = add_to_history(rec, copies).groupBy("client", "fnsku", SLICE).count()
+    once = rec.groupBy("client", "fnsku").agg((2 * F.count("*")).alias("count"))
+    assert rows(twice.drop(SLICE)) == rows(once)
+
+
+def test_landings_by_name_and_only_whole_ones(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "kept")
+    land_history(spark.createDataFrame([("x", 1)], "fnsku string, n long"), path, buckets=2)
+    add_to_history(spark.createDataFrame([("2", "y")], "n string, fnsku string"), path)
+    add_to_history(spark.createDataFrame([(None,), ("x",)], "fnsku string"), path)
+    want = sorted([(None, None), ("x", None), ("x", 1), ("y", 2)], key=repr)
+    assert sorted(map(tuple, open_history(spark, path).drop(SLICE).collect()), key=repr) == want
+    with pytest.raises(ValueError, match="other"):
+        add_to_history(spark.createDataFrame([("x", 1)], "fnsku string, other long"), path)
+    with pytest.raises(ValueError, match="add_to_history"):
+        land_history(spark.createDataFrame([("x", 1)], "fnsku string, n long"), path)
+
+    write = history.write_bucketed
+
+    def torn(df, *args):
+        write(df, *args)
+        raise RuntimeError("lost after the rows were written")
+
+    monkeypatch.setattr(history, "write_bucketed", torn)
+    with pytest.raises(RuntimeError):
+        add_to_history(spark.createDataFrame([("z", 9)], "fnsku string, n long"), path)
+    with pytest.raises(RuntimeError):
+        compact_history(spark, path)
+    monkeypatch.undo()
+    assert sorted(map(tuple, open_history(spark, path).drop(SLICE).collect()), key=repr) == want
+    compact_history(spark, path)
+    again = add_to_history(spark.createDataFrame([("z", 9)], "fnsku string, n long"), path)
+    assert sorted(map(tuple, again.drop(SLICE).collect()), key=repr) == sorted(
+        [*want, ("z", 9)], key=repr
+    )
