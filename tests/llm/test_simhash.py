@@ -93,6 +93,51 @@ def test_tiles_keep_every_link(spark, monkeypatch, seed):
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
 
 
+def test_boxes_hold_every_cell_and_meet_all_near_ones():
+    rng = np.random.default_rng(7)
+    cells = np.unique(rng.binomial(16, 0.5, (3000, 4)), axis=0)
+    sizes = rng.integers(1, 40, len(cells))
+    sizes[5] = 5000  # one crowded cell takes several tiles
+    boxes = simhash.Boxes(cells, sizes, 200)
+    inside = (cells >= boxes.low[boxes.box]) & (cells <= boxes.high[boxes.box])
+    assert inside.all()
+    held = np.bincount(boxes.box, weights=sizes)
+    assert (held <= 200 * boxes.tiles).all() and boxes.tiles[boxes.box[5]] == 25
+    for i in range(0, len(cells), 50):
+        near = np.flatnonzero(np.abs(cells - cells[i]).sum(axis=1) <= 4)
+        met = set(boxes.met_by(boxes.box[i], 4).tolist())
+        for box in set(boxes.box[near].tolist()):
+            tiles = range(boxes.first[box], boxes.first[box] + boxes.tiles[box])
+            assert met.issuperset(tiles)
+
+
+def test_boxes_send_a_fingerprint_to_few_tiles():
+    rng = np.random.default_rng(8)
+    cells, sizes = np.unique(rng.binomial(16, 0.5, (400_000, 4)), axis=0, return_counts=True)
+    boxes = simhash.Boxes(cells, sizes, 400)
+    total = boxes.tiles.sum()
+    held = np.bincount(boxes.box, weights=sizes)
+    copies = sum(n * len(boxes.met_by(box, 4)) for box, n in enumerate(held)) / held.sum()
+    assert total > 1000 and copies < 0.2 * total
+
+
+def test_tile_pairs_join_near_values_of_equal_and_of_crowded_counts(spark, monkeypatch):
+    """Each value meets its tile once, and two near values meet in both directions."""
+    monkeypatch.setattr(simhash, "TILE_ROWS", (16, 16))
+    crowded = sorted({(1 << i) | (1 << j) for i in range(16) for j in range(i)})  # one cell
+    fps = spark.createDataFrame([(v,) for v in [*crowded, 0, -1]], "fp long")
+    rows = simhash.tile_pairs(fps).collect()
+    tile = {r.fp: r.tile for r in rows}
+    met = {(r.fp, r.other) for r in rows}
+    assert len(met) == len(rows) and len(set(tile.values())) > 5
+    for a in tile:
+        for b in tile:
+            if ((a ^ b) & (2**64 - 1)).bit_count() <= 4:
+                assert (a, tile[b]) in met
+    assert (-1, tile[0]) not in met
+    assert simhash.tile_pairs(fps.limit(0)).count() == 0
+
+
 def test_forest_is_small_for_a_large_group():
     rng = np.random.default_rng(3)
     group = np.unique(np.uint64(12345) ^ (np.uint64(1) << rng.integers(0, 64, 500).astype(np.uint64)))
