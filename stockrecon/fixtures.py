@@ -6,11 +6,15 @@ The value maps are invented.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockrecon.domain import DISPOSITIONS
 from stockrecon.sources.archives import BROKEN, NOT_ZIP
+from stockrecon.sources.shipping import ship_package
 
 AS_OF = "2001-11-04"
 # The last one has stock but no movements; the one before, movements but no bursts.
@@ -159,34 +163,55 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-FILES_PER_CLIENT = 4
+def _as_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's lines of each client and name, many to a row; the first row has the header."""
+    seen = set()
+    for place, batch in enumerate(batches):
+        texts = {}
+        columns = [
+            batch.column(c).to_numpy(zero_copy_only=False).tolist()
+            for c in ("client", "name", "header", "line")
+        ]
+        for client, name, header, line in zip(*columns):
+            file = client, name
+            if file not in texts:
+                texts[file] = [] if file in seen else [header]
+                seen.add(file)
+            texts[file].append(line)
+        rows = [(*file, place, "\n".join(lines)) for file, lines in texts.items()]
+        types = [pa.string(), pa.string(), pa.int64(), pa.string()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows), types)], ["client", "name", "place", "line"]
+        )
 
 
 def drop_files(lines: DataFrame, folder: str) -> str:
     """Write ``client, name, header, line`` as CSV files ``<folder>/<client>/<n>_<name>``.
 
-    A client's rows are dealt to several files, each with the header. Returns a pattern
-    that finds them all.
+    Each task writes its own file of a client, with the header; no row changes its task.
+    Returns a pattern that finds them all.
     """
     spark = lines.sparkSession
-    by = ["client", "name", "part"]
-    dealt = lines.withColumn("part", F.pmod(F.xxhash64("line"), F.lit(FILES_PER_CLIENT)))
-    heads = dealt.groupBy(*by).agg(F.max("header").alias("line"), F.lit(0).alias("place"))
-    text = dealt.select(*by, "line", F.lit(1).alias("place")).unionByName(heads)
+    ship_package(spark)
+    by = ["client", "name"]
+    text = lines.select(*by, "header", "line").mapInArrow(
+        _as_files, "client string, name string, place long, line string"
+    )
     (
-        text.repartition(*by).sortWithinPartitions(*by, "place").select(*by, "line")
+        text.sortWithinPartitions(*by, "place").select(*by, "line")
         .write.partitionBy(*by).text(f"{folder}/written")
     )
     # Only names change: one call for each file.
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     system = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for file in system.globStatus(path(f"{folder}/written/*/*/*/part-*")):
+    for file in system.globStatus(path(f"{folder}/written/*/*/part-*")):
         source = file.getPath()
+        part = source.getName().split("-")[1]
         values, at = [], source.getParent()
         for _ in by:
             values.append(at.getName().partition("=")[2])
             at = at.getParent()
-        part, name, client = values
+        name, client = values
         system.mkdirs(path(f"{folder}/landing/{client}"))
         system.rename(source, path(f"{folder}/landing/{client}/{part}_{name}"))
     return f"{folder}/landing"

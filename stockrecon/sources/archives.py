@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 
 from stockrecon.domain import REPORT_KINDS
 from stockrecon.functions.text import file_kind_matches
+from stockrecon.schemas import REPORT_SCHEMAS
 from stockrecon.sources.packages import exactly_one_each, kinds_found
 from stockrecon.sources.records import records_of
 from stockrecon.sources.reports import (
     ENCODING,
     LOSSES,
-    cell_values,
-    further_names,
     report_losses,
     shape_rows,
+    with_cells,
     with_names,
 )
 from stockrecon.sources.shipping import ship_package
@@ -149,11 +149,28 @@ def archive_lines(archives: DataFrame) -> DataFrame:
     return lines_of(archive_contents(archives))
 
 
+def _kinds(lines: DataFrame) -> DataFrame:
+    """``lines`` with a flag per kind, whether the file's name announces it."""
+    name = F.concat(F.lit("_"), "name")
+    return lines.withColumns({f"is_{k}": file_kind_matches(name, k) for k in REPORT_KINDS})
+
+
 def _raw_rows(lines: DataFrame, kind: str) -> DataFrame:
-    named = lines.withColumn("name", F.concat(F.lit("_"), "name"))
-    return with_names(named.where(file_kind_matches(F.col("name"), kind))).select(
-        "client", "header", "names", cell_values(F.col("line")).alias("cells")
-    )
+    named = with_names(_kinds(lines).where(f"is_{kind}"))
+    return with_cells(named.select("client", "names", "line"), "line")
+
+
+def _further_names(lines: DataFrame) -> dict[str, list[str]]:
+    """``further_names`` of each kind, in one pass over the headers."""
+    flags = [f"is_{k}" for k in REPORT_KINDS]
+    headers = with_names(_kinds(lines).select("header", *flags).distinct())
+    found = headers.select(F.explode("names").alias("name"), *flags).distinct().collect()
+    return {
+        kind: sorted(
+            {r["name"] for r in found if r[f"is_{kind}"]} - set(REPORT_SCHEMAS[kind].names)
+        )
+        for kind in REPORT_KINDS
+    }
 
 
 def reports_from_lines(
@@ -163,12 +180,11 @@ def reports_from_lines(
 
     Reads ``lines`` once per report and once for the header lines, so store it first.
     """
-    reports = {}
-    for kind in REPORT_KINDS:
-        rows = _raw_rows(lines, kind)
-        further = further_names(with_names(rows.select("header").distinct()), kind)
-        reports[kind] = shape_rows(rows, further, kind, count_columns)
-    return reports
+    further = _further_names(lines)
+    return {
+        kind: shape_rows(_raw_rows(lines, kind), further[kind], kind, count_columns)
+        for kind in REPORT_KINDS
+    }
 
 
 def losses_from_lines(lines: DataFrame, count_columns: tuple[str, ...] = ()) -> DataFrame:

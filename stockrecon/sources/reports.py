@@ -10,17 +10,15 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from stockrecon.domain import REPORT_KINDS
 from stockrecon.functions.text import file_kind_matches
-from stockrecon.operators.skew import broadcast_if_small
+from stockrecon.operators.skew import BROADCAST_ROWS, broadcast_if_small
 from stockrecon.schemas import REPORT_SCHEMAS
 from stockrecon.sources.packages import exactly_one_each, kinds_found, report_status
 from stockrecon.sources.records import (
-    block_states,
-    cell_text,
-    cells_of,
+    block_facts,
+    cell_texts,
     cut_records,
     file_lines,
-    is_blank,
-    leaves_open,
+    linked_states,
 )
 from stockrecon.sources.scratch import store
 
@@ -51,8 +49,8 @@ def _number(cell: Column) -> Column:
 
 def with_names(headers: DataFrame) -> DataFrame:
     """Add ``names``, the column names of each ``header`` record, dashes replaced."""
-    name = lambda c: F.replace(cell_text(c), F.lit("-"), F.lit("_"))
-    return headers.withColumn("names", F.transform(cells_of(F.col("header")), name))
+    header = F.replace(F.col("header"), F.lit("-"), F.lit("_"))
+    return headers.withColumn("names", cell_texts(header))
 
 
 def further_names(named: DataFrame, kind: str) -> list[str]:
@@ -62,16 +60,24 @@ def further_names(named: DataFrame, kind: str) -> list[str]:
     return sorted(r[0] for r in found.collect())
 
 
-def cell_values(record: Column) -> Column:
-    """What the cells of a record say; null where one stands for no value."""
-    texts = F.transform(cells_of(record), cell_text)
-    return F.transform(texts, lambda text: F.when(~text.isin(NULL_WORDS), text))
+def with_cells(rows: DataFrame, record: str) -> DataFrame:
+    """Replace a record by ``cells``, what its cells say.
+
+    They pass an explode of one element, which the optimizer does not look through: a
+    condition on cells would otherwise cut each record once more.
+    """
+    cells = F.explode(F.array(cell_texts(F.col(record)))).alias("cells")
+    return rows.select(*[c for c in rows.columns if c != record], cells)
 
 
 def _cell(name: str) -> Column:
-    """Value of the cell under a name; null where the layout, or the row, lacks it."""
+    """Value of the cell under a name; null where the layout, or the row, lacks it.
+
+    Also null where the cell stands for no value.
+    """
     place = F.array_position("names", name)
-    return F.when(place > 0, F.get("cells", (place - 1).cast("int")))
+    cell = F.get("cells", (place - 1).cast("int"))
+    return F.when((place > 0) & ~cell.isin(NULL_WORDS), cell)
 
 
 def _typed(name: str, kind: str, count_columns: tuple[str, ...]) -> Column | None:
@@ -89,7 +95,7 @@ def _fits() -> Column:
 def shape_rows(
     rows: DataFrame, further: list[str], kind: str, count_columns: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Name and type the ``cells`` of a row (``cell_values``) by the ``names`` of its header.
+    """Name and type the ``cells`` of a row (``with_cells``) by the ``names`` of its header.
 
     Rows longer than their header go, whatever the surplus cells hold; short ones
     end in nulls. Columns a layout lacks are null. Columns beyond the known ones
@@ -147,22 +153,21 @@ def _lines(spark: SparkSession, paths, kind: str) -> DataFrame:
     return file_lines(spark, paths, ENCODING).where(_of_kind(F.col("file_name"), kind))
 
 
-def file_headers(spark: SparkSession, paths, kind: str) -> DataFrame:
-    """``path, header, broken`` for every file of a kind that is not blank.
+def file_headers(facts: DataFrame) -> DataFrame:
+    """``path, first_line, header, broken`` of files that are not blank, from ``block_facts``.
 
     ``broken`` files have a line that leaves a quoted cell open. In all others each line
-    is a record, and ``header`` is the first that is not blank.
+    is a record, and ``header`` is the first that is not blank. It is null where a broken
+    file's first record goes on in another block.
     """
-    lines = _lines(spark, paths, kind)
-    first = (
-        lines.where((F.col("block") == 0) & ~is_blank(F.col("line"))).groupBy("path")
-        .agg(F.min_by("line", F.struct("place", "nth")).alias("header"))
-    )
-    # A flag that combines before the shuffle; the few header lines come beside it.
-    broken = lines.groupBy("path").agg(F.max(leaves_open(F.col("line"))).alias("broken"))
-    return first.join(broken, "path").withColumn(
-        "header", F.regexp_replace("header", r"[\r\n]+\z", "")
+    files = facts.groupBy("path").agg(
+        *[
+            F.max(F.when(F.col("block") == 0, F.col(c))).alias(c)
+            for c in ("starts0", "first_line", "header")
+        ],
+        F.max("broken").alias("broken"),
     )
+    return files.where("starts0 > 0").drop("starts0")
 
 
 def _plain_rows(spark: SparkSession, paths, kind: str) -> DataFrame:
@@ -174,14 +179,31 @@ def _plain_rows(spark: SparkSession, paths, kind: str) -> DataFrame:
     )
 
 
-def _broken_rows(spark: SparkSession, paths, kind: str, files: DataFrame):
-    """Headers, and ``path, record``, of files whose cells hold line breaks."""
-    lines = _lines(spark, paths, kind).join(files, "path", "left_semi")
-    records = cut_records(lines, store(block_states(lines)))
-    headers = records.where("number = 1").select("path", F.col("record").alias("header"))
+def _broken_rows(lines: DataFrame, facts: DataFrame, files: DataFrame):
+    """Headers, and ``path, record``, of files whose cells hold line breaks.
+
+    ``files`` are their ``file_headers``.
+    """
+    paths = files.select("path")
+    if paths.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        # Lines must stay in order, so only a broadcast may choose among them.
+        lines = lines.join(F.broadcast(paths), "path", "left_semi")
+    states = store(linked_states(facts.join(paths, "path", "left_semi")))
+    records = cut_records(lines, states)
+    headers = files.where("header is not null").select("path", "header")
+    late = files.where("header is null").select("path")
+    if late.limit(1).count():
+        first = records.where("number = 1").join(late, "path", "left_semi")
+        headers = headers.unionByName(first.select("path", F.col("record").alias("header")))
     return headers, records.where("number > 1").select("path", "record")
 
 
+def _layouts(headers: DataFrame) -> DataFrame:
+    """``path, client, names`` of each file, found once and not in every row."""
+    client = client_of(F.col("path")).alias("client")
+    return with_names(headers).select("path", client, "names")
+
+
 def raw_rows(
     spark: SparkSession, paths: str | list[str], kind: str, *, columns: list[str] | None = None,
     multi_line: bool = True,
@@ -191,15 +213,19 @@ def raw_rows(
         names = [c.replace("-", "_") for c in columns]
         rows = _plain_rows(spark, paths, kind).withColumn("names", F.array(*map(F.lit, names)))
         further = sorted(set(names) - set(REPORT_SCHEMAS[kind].names))
+        rows = rows.withColumn("client", client_of(F.col("path")))
     else:
-        files = store(file_headers(spark, paths, kind))
-        plain = files if not multi_line else files.where("not broken")
+        lines = _lines(spark, paths, kind)
+        facts = store(block_facts(lines))
+        files = store(file_headers(facts))
+        plain = files.select("path", F.col("first_line").alias("header"))
+        if multi_line:
+            plain = files.where("not broken").select("path", "header")
         parts = []
         if plain.limit(1).count():
-            parts.append((plain.select("path", "header"), _plain_rows(spark, paths, kind)))
+            parts.append((plain, _plain_rows(spark, paths, kind)))
         if multi_line and files.where("broken").limit(1).count():
-            broken = broadcast_if_small(files.where("broken").select("path"))
-            headers, records = _broken_rows(spark, paths, kind, broken)
+            headers, records = _broken_rows(lines, facts, files.where("broken"))
             parts.append((store(headers), records))
         if not parts:
             return None
@@ -208,15 +234,11 @@ def raw_rows(
         rows = reduce(
             DataFrame.unionByName,
             [
-                records.join(broadcast_if_small(with_names(headers).select("path", "names")), "path")
+                records.join(broadcast_if_small(_layouts(headers)), "path")
                 for headers, records in parts
             ],
         )
-    rows = rows.select(
-        client_of(F.col("path")).alias("client"), "names",
-        cell_values(F.col("record")).alias("cells"),
-    )
-    return rows, further
+    return with_cells(rows.select("client", "names", "record"), "record"), further
 
 
 def read_report(
