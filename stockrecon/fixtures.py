@@ -97,8 +97,10 @@ def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(value: Column) -> Column:
         return F.when(busy, value).otherwise(0).cast("long")
 
+    # Few files hold very many parts: they are dealt to all cores before they multiply.
+    parts = table(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism)
     return (
-        table(spark, sf_dir, "part")
+        parts
         .withColumn("client", F.explode(F.array(*map(F.lit, CLIENTS))))
         .select(
             "client",

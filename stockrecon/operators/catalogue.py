@@ -21,10 +21,11 @@ def placeholder_value(field) -> Column:
 def complete_catalogue(rec: DataFrame, rei: DataFrame) -> DataFrame:
     """Stock rows plus a placeholder for every product known only from ``rei``."""
     keys = keys_of(rec, "fnsku")
-    known = rec.select(*keys).distinct().alias("known")
-    asked = rei.select(*keys).distinct().alias("asked")
-    same = [F.col(f"asked.{k}").eqNullSafe(F.col(f"known.{k}")) for k in keys]
-    missing = asked.join(known, same, "left_anti")
+    # One grouping tells them apart: no join that sorts the keys of both sides again.
+    known = rec.select(*keys, F.lit(1).alias("known"))
+    asked = rei.select(*keys, F.lit(0).alias("known"))
+    told = known.unionByName(asked).groupBy(*keys).agg(F.max("known").alias("known"))
+    missing = told.where(F.col("known") == 0)
     rows = missing.select(
         *[
             F.col(f.name) if f.name in keys else placeholder_value(f).alias(f.name)

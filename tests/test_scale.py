@@ -5,6 +5,7 @@ import glob
 from test_files import REC_HEAD, write_folder
 
 from stockrecon import fixtures
+from stockrecon.operators.catalogue import complete_catalogue
 from stockrecon.sources.archives import reports_from_lines
 from stockrecon.sources.reports import read_report
 
@@ -52,3 +53,20 @@ def test_a_record_is_cut_once(spark):
     assert _optimized(rec).count("split(line") == 1
     got = sorted((r["sku"], r["fnsku"], r["quantity"]) for r in rec.collect())
     assert got == [("S1", 'X"1', 2), ("S2", "X2", None), ("S4", "X4x", 5)]
+
+
+def test_the_catalogue_needs_no_join(spark):
+    """One grouping of both reports' keys; the join sorted all of them twice."""
+    rec = spark.createDataFrame(
+        [("c", "X1", "S1"), ("c", "X1", "S2"), ("d", None, "S3"), (None, "X4", "S4")],
+        "client string, fnsku string, sku string",
+    )
+    rei = spark.createDataFrame(
+        [("c", "X1"), ("d", "X1"), ("d", "X1"), ("d", None), (None, "X4"), (None, None)],
+        "client string, fnsku string",
+    )
+    full = complete_catalogue(rec, rei)
+    assert "Join" not in _optimized(full)
+    placed = full.where("sku = 'sku'").collect()
+    assert sorted((r["client"], r["fnsku"]) for r in placed if r["client"]) == [("d", "X1")]
+    assert len(placed) == 2 and full.count() == 6
