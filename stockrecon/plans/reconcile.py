@@ -36,7 +36,7 @@ from stockrecon.operators.measures import (
 from stockrecon.operators.products import fan_out_disposals, product_table
 from stockrecon.operators.regrades import flag_regrades
 from stockrecon.operators.skew import keep_matching, keep_missing
-from stockrecon.operators.sliced import SLICE, is_sliced, layout, per_slice
+from stockrecon.operators.sliced import SLICE, is_sliced, per_slice
 from stockrecon.sources.history import put_sums
 from stockrecon.sources.scratch import Shelf, store
 
@@ -71,7 +71,7 @@ def _branches(rec: DataFrame, products: DataFrame) -> tuple[DataFrame, DataFrame
     """
     keys = keys_of(rec, "fnsku")
     if is_sliced(rec):
-        sums = products if is_sliced(products) else per_slice(products, layout(rec)[0])
+        sums = products if is_sliced(products) else per_slice(products, rec)
         stocked = rec.join(sums, [*keys, SLICE], "left").drop(SLICE)
         rec = rec.drop(SLICE)
         if is_sliced(products):

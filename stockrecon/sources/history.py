@@ -20,7 +20,7 @@ from stockrecon.domain import keys_of
 from stockrecon.operators.sliced import SLICE, layout, layout_text, per_slice, with_slice
 from stockrecon.sources.scratch import exists
 
-#: Slices of a product; product sums are stored once per slice.
+#: Slices of a crowded product; its sums are stored once per slice.
 SLICES = 8
 _LAYOUT = "_layout"
 _LANDING = "landing string, replaces array<string>, schema string, buckets int, slices int"
@@ -106,7 +106,7 @@ def land_history(
     if exists(spark, f"{path}/{_LAYOUT}"):
         raise ValueError(f"there is a history in {path}; add_to_history adds to it")
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return _land(with_slice(df, slices), path, buckets, slices, [])
+    return _land(with_slice(df, slices, buckets), path, buckets, slices, [])
 
 
 def add_to_history(df: DataFrame, path: str) -> DataFrame:
@@ -128,7 +128,7 @@ def add_to_history(df: DataFrame, path: str) -> DataFrame:
             for f in wanted
         ]
     )
-    dealt = with_slice(shaped, first["slices"])
+    dealt = with_slice(shaped, first["slices"], first["buckets"])
     return _land(dealt, path, first["buckets"], first["slices"], [])
 
 
@@ -154,8 +154,9 @@ def open_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def put_sums(products: DataFrame, like: DataFrame, path: str) -> DataFrame:
-    """Store product sums once per slice, in the buckets of the sliced table ``like``."""
+    """Store product sums once per slice of their product in the sliced table ``like``, in
+    the buckets of that table."""
     slices, buckets = layout(like)
-    dealt = per_slice(products, slices)
+    dealt = per_slice(products, like)
     write_bucketed(dealt, path, buckets)
     return open_bucketed(products.sparkSession, [path], dealt.schema, buckets, slices)

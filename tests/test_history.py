@@ -115,6 +115,35 @@ def test_a_hot_product_and_its_copies_lie_in_many_slices(spark, tmp_path):
     assert len(shares) > 1 and max(r["count"] for r in shares) < 3_000
 
 
+def test_sums_come_once_unless_their_product_is_crowded(spark, tmp_path):
+    rows_of = F.when(F.col("id") == 0, 3_000).when(F.col("id") < 100, 20).otherwise(1)
+    product = F.when(F.col("id") < 120, F.concat(F.lit("X"), "id")).alias("fnsku")
+    many = spark.range(121).select(
+        F.lit("a").alias("client"), product,
+        F.explode(F.sequence(F.lit(1), rows_of)).alias("n"),
+    )
+    path = str(tmp_path / "kept")
+    kept = land_history(many, path, buckets=4, slices=4)
+    sums = many.groupBy("client", "fnsku").agg(F.count("*").alias("rows")).where("fnsku is not null")
+    stored = put_sums(sums, kept, str(tmp_path / "sums"))
+    copies = {r["fnsku"]: r["count"] for r in stored.groupBy("fnsku").count().collect()}
+    assert copies.pop("X0") == 4
+    assert len(copies) == 119 and set(copies.values()) == {1}
+    joined = kept.join(stored, ["client", "fnsku", SLICE])
+    assert joined.count() == many.dropna().count()
+    # A product that a later landing makes crowded meets its sums in all landings.
+    later = many.where("fnsku = 'X1'").limit(1).select(
+        "client", "fnsku", F.explode(F.sequence(F.lit(1), F.lit(4_000))).alias("n")
+    )
+    grown = add_to_history(later.repartition(4), path)
+    stored = put_sums(sums, grown, str(tmp_path / "more"))
+    assert stored.where("fnsku = 'X1'").count() == 4
+    assert grown.join(stored, ["client", "fnsku", SLICE]).count() == many.dropna().count() + 4_000
+    listed = sums.where("fnsku in ('X0', 'X1', 'X5')").withColumnRenamed("fnsku", "00_fnsku")
+    found = of_reported_products(grown, listed)
+    assert found.count() == 3_000 + 20 + 4_000 + 20 and found.columns == many.columns
+
+
 def test_a_history_opens_again_and_keeps_nulls_and_odd_names(spark, tmp_path):
     df = spark.createDataFrame(
         [("a", None, 1), (None, "x", 2), (None, None, None), ("a", "x", 1), ("a", "x", 1)],
