@@ -35,5 +35,9 @@ def keep_matching(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame
 
 
 def keep_missing(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``df`` whose keys do not occur in ``other``, thinned in the same way."""
-    return df.join(_thinned(other, keys), keys, "left_anti")
+    """Rows of ``df`` whose keys do not occur in ``other``, thinned in the same way.
+
+    The join is always by merge: the planner takes the size of ``other`` from its files, which
+    says nothing about rows that multiply after the scan, and would broadcast all its keys.
+    """
+    return df.join(_thinned(other, keys).hint("merge"), keys, "left_anti")

@@ -6,6 +6,7 @@ from test_files import REC_HEAD, write_folder
 
 from stockrecon import fixtures
 from stockrecon.operators.catalogue import complete_catalogue
+from stockrecon.operators.skew import keep_missing
 from stockrecon.sources.archives import reports_from_lines
 from stockrecon.sources.reports import read_report
 
@@ -70,3 +71,16 @@ def test_the_catalogue_needs_no_join(spark):
     placed = full.where("sku = 'sku'").collect()
     assert sorted((r["client"], r["fnsku"]) for r in placed if r["client"]) == [("d", "X1")]
     assert len(placed) == 2 and full.count() == 6
+
+
+def test_keys_of_stock_are_not_broadcast(spark, tmp_path):
+    """Its files are small, its rows are many: the planner only knows of the files."""
+    path = str(tmp_path / "parts")
+    spark.range(40).write.parquet(path)
+    stock = spark.read.parquet(path).selectExpr(
+        "explode(sequence(1, 50)) AS client", "concat('X', id) AS fnsku"
+    )
+    sums = spark.range(42).selectExpr("1 AS client", "concat('X', id) AS fnsku", "id AS n")
+    found = keep_missing(sums, stock, ["client", "fnsku"])
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["n"] for r in found.collect()) == [40, 41]
