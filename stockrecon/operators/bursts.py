@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from stockrecon.domain import MAX_ID_GAP, keys_of
 from stockrecon.functions.text import movement_case, rule_keys
 from stockrecon.operators.ordered import in_block, range_blocks, with_carried, with_edges
+from stockrecon.operators.skew import join_by
 
 ID = "transaction_item_id"
 
@@ -132,9 +133,10 @@ def attach_bursts(adj: DataFrame, buckets: DataFrame, gap: int = MAX_ID_GAP) ->
     can split a bucket that holds a large share of the rows.
     """
     part = keys_of(adj)
+    placed = adj.withColumn("bucket", bucket_of(gap=gap))
+    bursts = buckets.select(*part, "bucket", "tr_id")
     return (
-        adj.withColumn("bucket", bucket_of(gap=gap))
-        .join(buckets.select(*part, "bucket", "tr_id"), part + ["bucket"], "left")
+        join_by(placed, bursts, part + ["bucket"], "left")
         .withColumn("tr_id", F.coalesce("tr_id", F.lit(0).cast("long")))
         .select(*adj.columns, "tr_id")
     )

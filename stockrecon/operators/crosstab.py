@@ -23,7 +23,9 @@ def of_reported_products(adj: DataFrame, report: DataFrame, prefilter: bool = Fa
     products = report.withColumnRenamed("00_fnsku", "fnsku").select(*keys)
     if is_sliced(adj):
         return keep_matching_sliced(adj, products, keys)
-    return keep_matching(may_match(adj, products, keys) if prefilter else adj, products, keys)
+    if prefilter:
+        return keep_matching(may_match(adj, products, keys), products, keys, in_order=True)
+    return keep_matching(adj, products, keys)
 
 
 def recode_dispositions(adj: DataFrame) -> DataFrame:

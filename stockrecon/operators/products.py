@@ -165,7 +165,8 @@ def fan_out_disposals(df: DataFrame) -> DataFrame:
     """One row per reimbursable stock state of a product, or one row without state.
 
     Expects the columns of ``product_table``; they may be null for products
-    that have no movements.
+    that have no movements. The states are listed ahead of the explode, which would work
+    them out expression by expression, and only for products that have any.
     """
     drop = [f(s) for s in DISPOSED_REIMBURSABLE for f in (_state_sum, _state_rows)]
     cells = [
@@ -177,8 +178,10 @@ def fan_out_disposals(df: DataFrame) -> DataFrame:
         )
         for s in DISPOSED_REIMBURSABLE
     ]
+    disposed = reduce(Column.__or__, [F.col(f"`{_state_rows(s)}`") > 0 for s in DISPOSED_REIMBURSABLE])
+    listed = F.when(disposed, F.array_compact(F.array(*cells))).alias("cells")
     keep = [f"`{c}`" for c in df.columns if c not in drop]
     return (
-        df.select(*keep, F.explode_outer(F.array_compact(F.array(*cells))).alias("cell"))
+        df.select(*keep, listed).select(*keep, F.explode_outer("cells").alias("cell"))
         .select(*keep, f"cell.{_STATE}", "cell.Disp_reimbrsble")
     )

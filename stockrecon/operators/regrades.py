@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from stockrecon.domain import GOOD_STATES, MAX_ID_GAP, OPPOSITE_REASON, keys_of
 from stockrecon.functions.text import movement_case, rule_keys
 from stockrecon.operators.bursts import FANOUT, bucket_of, burst_buckets
+from stockrecon.operators.skew import join_by
 
 
 def burst_rules(buckets: DataFrame, gap: int = MAX_ID_GAP) -> DataFrame:
@@ -38,9 +39,10 @@ def ruled_buckets(buckets: DataFrame, gap: int = MAX_ID_GAP) -> DataFrame:
     a shuffle, so a burst with very many buckets can be split.
     """
     part = keys_of(buckets)
-    return buckets.select(
+    placed = buckets.select(
         *part, "bucket", "tr_id", bucket_of("tr_id", gap).alias("first_bucket")
-    ).join(burst_rules(buckets, gap), part + ["first_bucket"])
+    )
+    return join_by(placed, burst_rules(buckets, gap), part + ["first_bucket"])
 
 
 def flag_regrades(adj: DataFrame, buckets: DataFrame, gap: int = MAX_ID_GAP) -> DataFrame:
@@ -58,7 +60,7 @@ def flag_regrades(adj: DataFrame, buckets: DataFrame, gap: int = MAX_ID_GAP) ->
     )
     key_text = F.get(F.array(*map(F.lit, texts)), F.col("rule").cast("int"))
     return (
-        candidates.join(ruled_buckets(buckets, gap), part + ["bucket"])
+        join_by(candidates, ruled_buckets(buckets, gap), part + ["bucket"])
         .where(F.col("reason") == opposite)
         .select(
             *adj.columns,

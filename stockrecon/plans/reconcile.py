@@ -18,7 +18,7 @@ from stockrecon.domain import (
     measure_columns,
 )
 from stockrecon.operators.bursts import attach_bursts, burst_buckets
-from stockrecon.operators.catalogue import placeholder_value
+from stockrecon.operators.catalogue import complete_catalogue, placeholder_value
 from stockrecon.operators.clip import clip_adjustments, clip_reimbursements
 from stockrecon.operators.crosstab import (
     crosstab,
@@ -35,7 +35,7 @@ from stockrecon.operators.measures import (
 )
 from stockrecon.operators.products import fan_out_disposals, product_table
 from stockrecon.operators.regrades import flag_regrades
-from stockrecon.operators.skew import keep_matching, keep_missing
+from stockrecon.operators.skew import join_by, keep_matching, keep_missing
 from stockrecon.operators.sliced import SLICE, is_sliced, per_slice
 from stockrecon.sources.history import put_sums
 from stockrecon.sources.scratch import Shelf, store
@@ -77,7 +77,7 @@ def _branches(rec: DataFrame, products: DataFrame) -> tuple[DataFrame, DataFrame
         if is_sliced(products):
             products = products.where(F.col(SLICE) == "0").drop(SLICE)
     else:
-        stocked = rec.join(products, keys, "left")
+        stocked = join_by(rec, products, keys, "left")
     missing = keep_missing(products.where("rei_rows > 0"), rec, keys)
     placeholders = missing.select(
         *[F.col(f.name) if f.name in keys else placeholder_value(f).alias(f.name)
@@ -87,6 +87,16 @@ def _branches(rec: DataFrame, products: DataFrame) -> tuple[DataFrame, DataFrame
     return stocked.drop("rei_rows"), placeholders.drop("rei_rows")
 
 
+def _completed(rec: DataFrame, products: DataFrame) -> DataFrame:
+    """``_branches`` as one frame, for stored sums and stock that is shuffled anyway.
+
+    The keys of both are grouped once to find the placeholders, which meet the sums together
+    with the stock: sums are moved and sorted once, and keys are not sorted by themselves.
+    """
+    full = complete_catalogue(rec, products.where("rei_rows > 0"))
+    return join_by(full, products, keys_of(rec, "fnsku"), "left").drop("rei_rows")
+
+
 def _prepared(rec: DataFrame) -> tuple[DataFrame, list[str]]:
     """Stock with the columns that sums need, and its number columns."""
     rec = with_own_names(with_optional_counts(rec))
@@ -112,8 +122,8 @@ def build_report(
 ) -> DataFrame:
     """Per-product report from clipped inputs and the burst buckets of ``adj``.
 
-    ``keep`` may store the product sums, which are read for the stock rows and for the
-    placeholders; stored, they come to the joins straight from a shuffle, which is what
+    ``keep`` may store the product sums, which are read for the placeholders and for the
+    sums themselves; stored, they come to the joins straight from a shuffle, which is what
     lets adaptive execution split a product with very many stock rows. For stock from a
     bucketed history, ``shelf`` may store them in the buckets of the stock instead.
 
@@ -132,16 +142,17 @@ def build_report(
     rec, numbers = _prepared(rec)
     own = any_nonzero(ROW_QUANTITIES + further_counts(rec))
     filled = numbers + PRODUCT_SUMS + ["Disp_reimbrsble"]
-    stocked, placeholders = (
+    found = _branches(rec, products) if is_sliced(rec) else [_completed(rec, products)]
+    parts = [
         rename_measures(
             derive_measures(
                 fan_out_disposals(part).where(f"coalesce(moved, false) OR {own}").drop("moved")
                 .fillna(0, subset=filled)
             )
         )
-        for part in _branches(rec, products)
-    )
-    return stocked.unionByName(placeholders)
+        for part in found
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def with_bursts_only(df: DataFrame, buckets: DataFrame) -> DataFrame:
