@@ -50,12 +50,10 @@ def may_match(df: DataFrame, other: DataFrame, keys: list[str], words: int = WOR
     """
     if any(df.schema[k].dataType != other.schema[k].dataType for k in keys):
         return df
-    found = F.broadcast(key_words(other.select(*keys), words))
-    hashed = F.xxhash64(*[df[k] for k in keys])
-    mask = _bits(hashed)
-    known = df.dropna(subset=keys)
-    return known.join(
-        found,
-        (_word(hashed, words) == found["word"]) & (found["bits"].bitwiseAND(mask) == mask),
-        "left_semi",
-    )
+    found = F.broadcast(key_words(other.select(*keys), words).toDF("_at", "_bits"))
+    # Columns of their own: a join would hash the keys again for every use of its condition.
+    hashed = df.dropna(subset=keys).withColumn("_hash", F.xxhash64(*[f"`{k}`" for k in keys]))
+    known = hashed.withColumns({"_word": _word(F.col("_hash"), words), "_mask": _bits(F.col("_hash"))})
+    fits = F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask")
+    passed = known.join(found, (F.col("_word") == F.col("_at")) & fits, "left_semi")
+    return passed.select(*[f"`{c}`" for c in df.columns])
